@@ -1,0 +1,241 @@
+"""From mapped text columns to typed records, rejected rows and a report."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import (
+    canonical_value,
+    is_blank,
+    parse_date,
+    parse_number,
+    title_case_place,
+    upper_code,
+    wide_trim,
+)
+from ..plans.entities import EntitySpec, FieldSpec
+from ..sources.extracts import ROW_INDEX, named
+
+WARNINGS_SHOWN = 8
+
+
+@dataclass(frozen=True)
+class Materialized:
+    """What became of one extract: all four tables are lazy."""
+
+    flagged: DataFrame
+    records: DataFrame
+    rejects: DataFrame
+    report: DataFrame
+
+
+def _typed(spec: FieldSpec, raw: Column) -> Column:
+    if spec.type == "number":
+        return parse_number(raw)
+    if spec.type == "date":
+        return parse_date(raw)
+    if spec.type == "enum":
+        return canonical_value(raw, spec.enum)
+    if spec.clean == "place":
+        return title_case_place(wide_trim(raw))
+    if spec.clean == "code":
+        return upper_code(raw)
+    return wide_trim(raw)
+
+
+def _missing_reason(spec: FieldSpec, raw: str, value: str) -> Column:
+    """Why a field that must be there makes the row unusable, or null."""
+    if spec.type in ("date", "number"):
+        return F.when(
+            F.col(value).isNull(),
+            F.when(is_blank(F.col(raw)), f"missing_{spec.name}").otherwise(f"invalid_{spec.name}"),
+        )
+    return F.when(F.col(value) == "", f"missing_{spec.name}")
+
+
+def flag_rows(
+    df: DataFrame,
+    mapping: dict[str, str | None],
+    entity: EntitySpec,
+    dataset_id: str = "extract",
+    order_col: str = ROW_INDEX,
+) -> DataFrame:
+    """Project a text table onto an entity, marking the rows that cannot be kept.
+
+    Output: ``order_col``, ``dataset_id``, the typed fields, ``reject_reason``
+    (null for a good row), ``warnings``, and ``raw``, the mapped source texts,
+    for rejected rows only. A plain projection: no shuffle, and it works on
+    streaming tables.
+    """
+    fields = entity.fields
+    texts = df.select(
+        named(order_col),
+        *[
+            (
+                F.coalesce(named(mapping[f.name]).cast("string"), F.lit(""))
+                if mapping.get(f.name)
+                else F.lit("")
+            ).alias(f"raw_{f.name}")
+            for f in fields
+        ],
+    )
+    typed = texts.withColumns({f"val_{f.name}": _typed(f, F.col(f"raw_{f.name}")) for f in fields})
+
+    raw, value = (lambda f: f"raw_{f.name}"), (lambda f: f"val_{f.name}")
+    dropped_silently = F.coalesce(
+        *[_missing_reason(f, raw(f), value(f)) for f in fields if f.drop_if_missing],
+        F.lit(None).cast("string"),
+    )
+    unknown_enum = F.coalesce(
+        *[
+            F.when(F.col(value(f)).isNull(), f"unrecognized_{f.name}")
+            for f in fields
+            if f.type == "enum"
+        ],
+        F.lit(None).cast("string"),
+    )
+
+    def warning(f: FieldSpec, problem: str, outcome: str) -> Column:
+        return F.concat(
+            F.lit("("), F.col(value_of_key), F.lit(f'): {problem} {f.label.lower()} "'),
+            F.col(raw(f)), F.lit(f'" — {outcome}'),
+        )
+
+    value_of_key = f"val_{entity.key}"
+    notes = [
+        F.when(
+            F.col(value(f)).isNull() & ~is_blank(F.col(raw(f))),
+            warning(f, "unparseable", "treated as missing"),
+        )
+        for f in fields
+        if f.type == "date" and not f.drop_if_missing
+    ] + [
+        F.when(F.col(value(f)).isNull(), warning(f, "unrecognized", "row dropped"))
+        for f in fields
+        if f.type == "enum"
+    ]
+    no_notes = F.array().cast("array<string>")
+    warnings = (
+        F.when(dropped_silently.isNull(), F.array_compact(F.array(*notes))).otherwise(no_notes)
+        if notes
+        else no_notes
+    )
+    reason = F.coalesce(dropped_silently, unknown_enum)
+    raw_map = F.create_map(*[x for f in fields for x in (F.lit(f.name), F.col(raw(f)))])
+    return typed.select(
+        named(order_col),
+        F.lit(dataset_id).alias("dataset_id"),
+        *[
+            F.col(value(f)).alias(f.name, metadata={"comment": f.description})
+            for f in fields
+        ],
+        reason.alias("reject_reason"),
+        warnings.alias("warnings"),
+        F.when(reason.isNotNull(), raw_map).alias("raw"),
+    )
+
+
+def records_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDEX) -> DataFrame:
+    """The rows that were kept, with the entity's fields."""
+    return flagged.filter(F.col("reject_reason").isNull()).select(
+        named(order_col), "dataset_id", *entity.field_names
+    )
+
+
+def rejects_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDEX) -> DataFrame:
+    """Every row that was dropped, with the reason and its source texts."""
+    return flagged.filter(F.col("reject_reason").isNotNull()).select(
+        named(order_col),
+        "dataset_id",
+        F.lit(entity.name).alias("entity"),
+        F.col(entity.key).alias("record_key"),
+        "reject_reason",
+        "raw",
+    )
+
+
+def report_of(
+    flagged: DataFrame,
+    entity: EntitySpec,
+    dataset_id: str = "extract",
+    order_col: str = ROW_INDEX,
+) -> DataFrame:
+    """One row: records kept, rows dropped, and the first eight warnings.
+
+    Warnings name the 1-based row. Numbering the rows would take an ordered
+    pass over everything, so only the few warned rows are looked up: one
+    top-n finds their indexes, one aggregate of at most nine groups counts the
+    rows before each.
+    """
+    ix = named(order_col)
+    first_warnings = (
+        flagged.filter(F.size("warnings") > 0)
+        .select(ix.alias("ix"), F.posexplode("warnings").alias("pos", "text"))
+        .orderBy("ix", "pos", "text")
+        .limit(WARNINGS_SHOWN)
+        .agg(F.array_sort(F.collect_list(F.struct("ix", "pos", "text"))).alias("shown"))
+    )
+    marks = first_warnings.select(F.array_distinct(F.col("shown.ix")).alias("marks")).scalar()
+    passed = F.lit(0)
+    for i in range(WARNINGS_SHOWN):
+        passed = passed + F.coalesce((F.get(marks, F.lit(i)) <= ix).cast("int"), F.lit(0))
+    kept = F.col("reject_reason").isNull()
+    counted = (
+        flagged.select(passed.alias("passed"), kept.alias("kept"))
+        .groupBy("passed")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept"))
+    )
+    totals = counted.agg(
+        F.coalesce(F.sum("kept"), F.lit(0)).alias("records"),
+        F.coalesce(F.sum(F.col("n") - F.col("kept")), F.lit(0)).alias("dropped"),
+        F.collect_list(F.struct("passed", "n")).alias("counts"),
+    )
+
+    def row_number(mark_pos: Column) -> Column:
+        before = F.filter("counts", lambda c: c["passed"] < mark_pos)
+        return F.aggregate(before, F.lit(1).cast("bigint"), lambda acc, c: acc + c["n"])
+
+    return totals.withColumns({"shown": first_warnings.scalar(), "marks": marks}).select(
+        F.lit(entity.name).alias("entity"),
+        F.lit(dataset_id).alias("dataset_id"),
+        "records",
+        "dropped",
+        F.transform(
+            "shown",
+            lambda w: F.concat(
+                F.lit("Row "),
+                row_number(F.array_position(F.col("marks"), w["ix"])).cast("string"),
+                F.lit(" "),
+                w["text"],
+            ),
+        ).alias("warnings"),
+    )
+
+
+def materialize(
+    df: DataFrame,
+    mapping: dict[str, str | None],
+    entity: EntitySpec,
+    dataset_id: str = "extract",
+    order_col: str = ROW_INDEX,
+) -> Materialized:
+    """Typed records, rejects and report of one extract, all lazy.
+
+    Each table scans the extract again when it is used; the pipeline writes
+    the flagged rows once and derives all three from that.
+    """
+    flagged = flag_rows(df, mapping, entity, dataset_id, order_col)
+    return Materialized(
+        flagged=flagged,
+        records=records_of(flagged, entity, order_col),
+        rejects=rejects_of(flagged, entity, order_col),
+        report=report_of(flagged, entity, dataset_id, order_col),
+    )
+
+
+def record_totals(reports: DataFrame) -> DataFrame:
+    """Records kept over all entities."""
+    return reports.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"))

@@ -1,0 +1,301 @@
+"""Column statistics and data-quality findings.
+
+The table is unpivoted and grouped once by (column, value); this table of
+distinct values is staged and everything else is computed from it:
+
+* one aggregate per column gives counts, types and date formats;
+* samples, casing groups and typo pairs read only the columns they concern.
+
+No step gathers an unbounded group: per column at most four samples, three
+casing groups and 25 values for the typo check meet in one place.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ..functions import DATE_FORMATS, date_format_of, half_up, parse_number, wide_trim
+from ..sources.extracts import ROW_INDEX, as_text, named, with_row_index
+from ..sources.staging import stage
+
+# Fixed values of the findings.
+SAMPLES = 4
+HIGH_NULL_RATE = 0.2
+CASING_GROUPS_SHOWN = 3
+TYPO_MAX_VALUES = 25
+TYPO_MAX_EDITS = 2
+TYPO_PAIRS_SHOWN = 3
+BOOLEAN_WORDS = ("true", "false", "yes", "no", "y", "n", "1", "0")
+
+COLUMNS_PER_PASS = 64
+_SAMPLE_SLICES = 16
+
+
+def column_values(
+    df: DataFrame, columns: Sequence[str] | None = None, order_col: str = ROW_INDEX
+) -> DataFrame:
+    """Every distinct value of every column: (pos, value, n, first_ix).
+
+    The unpivot multiplies rows by columns inside a task only; values are
+    counted there before they are shuffled. Wide tables are read in several
+    passes over different columns.
+    """
+    df = with_row_index(df, order_col)
+    names = list(columns or [c for c in df.columns if c != order_col])
+    text = as_text(df, names, order_col)
+
+    def counted(start: int) -> DataFrame:
+        cells = F.array(
+            *[
+                F.struct(F.lit(i).alias("pos"), named(names[i]).alias("value"))
+                for i in range(start, min(start + COLUMNS_PER_PASS, len(names)))
+            ]
+        )
+        return (
+            text.select(named(order_col).cast("bigint").alias("ix"), F.inline(cells))
+            .groupBy("pos", "value")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("ix").alias("first_ix"))
+        )
+
+    return reduce(
+        DataFrame.unionByName, [counted(i) for i in range(0, len(names), COLUMNS_PER_PASS)]
+    )
+
+
+def _column_stats(values: DataFrame) -> DataFrame:
+    """One row per column, from fixed-size counters only."""
+    value, n, ix = F.col("value"), F.col("n"), F.col("first_ix")
+    filled = value != ""
+    fmt = F.col("fmt")
+
+    def always(rule: Column) -> Column:
+        # A column without values passes every rule.
+        return F.coalesce(F.bool_and(F.when(filled, rule)), F.lit(True))
+
+    # Bound for the samples: the smallest index in each of 16 slices of the
+    # values belongs to a different value, so the 4th smallest of these is not
+    # below the 4th smallest of all.
+    slice_no = F.pmod(F.hash(value), F.lit(_SAMPLE_SLICES))
+    firsts = F.array_sort(
+        F.array_compact(
+            F.array(
+                *[F.min(F.when(filled & (slice_no == i), ix)) for i in range(_SAMPLE_SLICES)]
+            )
+        )
+    )
+    formats = F.array(
+        *[
+            F.struct(F.min(F.when(fmt == f, ix)).alias("ix"), F.lit(f).alias("fmt"))
+            for f in DATE_FORMATS
+        ]
+    )
+    seen = F.array_sort(F.filter(formats, lambda f: f["ix"].isNotNull()))
+    return (
+        values.withColumn("fmt", F.when(filled, date_format_of(value)))
+        .groupBy("pos")
+        .agg(
+            F.sum("n").alias("total"),
+            F.sum(F.when(filled, 0).otherwise(n)).alias("null_count"),
+            F.count_if(filled).alias("distinct_count"),
+            always(value.rlike(r"^-?\d+\z")).alias("all_integer"),
+            always(parse_number(value).isNotNull()).alias("all_number"),
+            always(F.lower(value).isin(*BOOLEAN_WORDS)).alias("all_boolean"),
+            always(fmt.isNotNull()).alias("all_date"),
+            F.transform(seen, lambda f: f["fmt"]).alias("formats"),
+            F.coalesce(F.bool_or(value.contains("$") | value.contains(",")), F.lit(False)).alias(
+                "marked"
+            ),
+            F.coalesce(F.bool_or(value != wide_trim(value)), F.lit(False)).alias("padded"),
+            F.get(firsts, F.lit(SAMPLES - 1)).alias("sample_bound"),
+        )
+        .withColumn(
+            "inferred_type",
+            F.when(F.col("all_integer"), "integer")
+            .when(F.col("all_number"), "float")
+            .when(F.col("all_boolean"), "boolean")
+            .when(F.col("all_date"), "date")
+            .otherwise("string"),
+        )
+    )
+
+
+_STATS_SCHEMA = (
+    "pos int, column string, inferred_type string, total bigint, null_count bigint, "
+    "distinct_count bigint, formats array<string>, marked boolean, padded boolean, "
+    "sample_bound bigint"
+)
+
+
+def _samples(values: DataFrame, stats: DataFrame) -> DataFrame:
+    """The first distinct values of each column."""
+    bounds = stats.select("pos", "sample_bound")
+    rank = F.row_number().over(W.partitionBy("pos").orderBy("first_ix", "value"))
+    return (
+        values.filter(F.col("value") != "")
+        .join(F.broadcast(bounds), "pos")
+        .filter(F.col("sample_bound").isNull() | (F.col("first_ix") <= F.col("sample_bound")))
+        .select("pos", "first_ix", "value", rank.alias("rank"))
+        .filter(F.col("rank") <= SAMPLES)
+        .groupBy("pos")
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("s"))
+        .select("pos", F.col("s.value").alias("samples"))
+    )
+
+
+def _casing(values: DataFrame, string_columns: list[int]) -> DataFrame:
+    """Values written in several casings: the first three groups of each column."""
+    text = values.filter(F.col("pos").isin(string_columns) & (F.col("value") != "")).withColumn(
+        "folded", F.lower("value")
+    )
+    rank = F.row_number().over(W.partitionBy("pos").orderBy("group_ix", "folded"))
+    shown = (
+        text.groupBy("pos", "folded")
+        .agg(F.count(F.lit(1)).alias("variants"), F.min("first_ix").alias("group_ix"))
+        .filter(F.col("variants") > 1)
+        .select("pos", "folded", rank.alias("rank"), "group_ix")
+        .filter(F.col("rank") <= CASING_GROUPS_SHOWN)
+        .select("pos", "folded", "rank")
+    )
+    # At most three rows per column of the table's schema.
+    variants = (
+        text.join(F.broadcast(shown), ["pos", "folded"])
+        .groupBy("pos", "rank")
+        .agg(F.array_sort(F.collect_list(F.struct("first_ix", "value"))).alias("v"))
+        .select(
+            "pos",
+            "rank",
+            F.concat(F.lit('"'), F.array_join(F.col("v.value"), '" vs "'), F.lit('"')).alias("g"),
+        )
+    )
+    return (
+        variants.groupBy("pos")
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "g"))).alias("groups"))
+        .select("pos", F.array_join(F.col("groups.g"), ", ").alias("casing"))
+    )
+
+
+def _typos(values: DataFrame, short_columns: list[int], min_length: int) -> DataFrame:
+    """Pairs of similar values in columns that hold only a few values."""
+    listed = (
+        values.filter(F.col("pos").isin(short_columns) & (F.col("value") != ""))
+        .groupBy("pos")
+        # At most 25 values per column: others are not in ``short_columns``.
+        .agg(F.array_sort(F.collect_list(F.struct("first_ix", "value", "n"))).alias("v"))
+    )
+    left = listed.select("pos", "v", F.posexplode("v").alias("i", "a"))
+    both = left.select("pos", "i", "a", F.posexplode("v").alias("j", "b")).filter(
+        F.col("i") < F.col("j")
+    )
+    a, b = F.lower(F.col("a.value")), F.lower(F.col("b.value"))
+    alike = (
+        (a != b)
+        & (F.levenshtein(a, b, TYPO_MAX_EDITS) >= 0)
+        & (F.least(F.length(a), F.length(b)) >= min_length)
+    )
+    later_is_typo = F.col("a.n") >= F.col("b.n")
+    typo = F.when(later_is_typo, F.col("b.value")).otherwise(F.col("a.value"))
+    canon = F.when(later_is_typo, F.col("a.value")).otherwise(F.col("b.value"))
+    pair = F.concat(F.lit('"'), typo, F.lit('" ≈ "'), canon, F.lit('"'))
+    return (
+        both.filter(alike)
+        .groupBy("pos")
+        .agg(F.array_sort(F.collect_list(F.struct("i", "j", pair.alias("p")))).alias("pairs"))
+        .select(
+            "pos",
+            F.array_join(F.slice(F.col("pairs.p"), 1, TYPO_PAIRS_SHOWN), ", ").alias("typos"),
+        )
+    )
+
+
+def profile(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    order_col: str = ROW_INDEX,
+    typo_min_length: int = 0,
+) -> DataFrame:
+    """One row per column, in column order (``pos``).
+
+    Columns: pos, name, inferred_type, null_count, null_rate, distinct_count,
+    samples, issues, date_formats. Null means the empty text. ``order_col``
+    tells which value was seen first; rows sharing an index are taken in the
+    order of their texts.
+
+    Staging the distinct values and the per-column counters (one row per
+    column) run at once; the findings are lazy.
+    """
+    spark = df.sparkSession
+    names = list(columns or [c for c in df.columns if c != order_col])
+    values = stage(column_values(df, names, order_col), "column-values")
+
+    found = {r.pos: r for r in _column_stats(values).collect()}
+    rows = []
+    for pos, name in enumerate(names):
+        r = found.get(pos)
+        rows.append(
+            (pos, name, r.inferred_type, r.total, r.null_count, r.distinct_count,
+             list(r.formats), r.marked, r.padded, r.sample_bound)
+            if r is not None
+            else (pos, name, "integer", 0, 0, 0, [], False, False, None)
+        )
+    stats = spark.createDataFrame(rows, _STATS_SCHEMA)
+    string_columns = [p for p, r in found.items() if r.inferred_type == "string"]
+    short_columns = [p for p in string_columns if 1 < found[p].distinct_count <= TYPO_MAX_VALUES]
+
+    rate = F.coalesce(F.try_divide("null_count", "total"), F.lit(0.0))
+    numeric = F.col("inferred_type").isin("integer", "float")
+    is_date = F.col("inferred_type") == "date"
+    formats = F.when(is_date, F.col("formats")).otherwise(F.array().cast("array<string>"))
+    percent = half_up(rate * 100, 0).cast("bigint").cast("string")
+    issues = F.array_compact(
+        F.array(
+            F.when(
+                rate > HIGH_NULL_RATE,
+                F.concat(F.lit("High null rate — "), percent, F.lit("% of values are empty")),
+            ),
+            F.when(
+                F.size(formats) > 1,
+                F.concat(
+                    F.lit("Mixed date formats in one column: "), F.array_join(formats, ", ")
+                ),
+            ),
+            F.when(
+                numeric & F.col("marked"),
+                "Numeric values contain currency symbols or thousands separators",
+            ),
+            F.when(
+                F.col("casing").isNotNull(),
+                F.concat(F.lit("Inconsistent casing: "), F.col("casing")),
+            ),
+            F.when(
+                F.col("typos").isNotNull(), F.concat(F.lit("Possible typos: "), F.col("typos"))
+            ),
+            F.when(F.col("padded"), "Values contain leading or trailing whitespace"),
+        )
+    )
+    return (
+        stats.join(F.broadcast(_samples(values, stats)), "pos", "left")
+        .join(F.broadcast(_casing(values, string_columns)), "pos", "left")
+        .join(F.broadcast(_typos(values, short_columns, typo_min_length)), "pos", "left")
+        .select(
+            "pos",
+            F.col("column").alias("name"),
+            "inferred_type",
+            "null_count",
+            rate.alias("null_rate"),
+            "distinct_count",
+            F.coalesce("samples", F.array().cast("array<string>")).alias("samples"),
+            issues.alias("issues"),
+            formats.alias("date_formats"),
+        )
+        .orderBy("pos")
+    )
+
+
+def issue_total(profiles: DataFrame) -> DataFrame:
+    """How many findings a dataset has."""
+    return profiles.agg(F.coalesce(F.sum(F.size("issues")), F.lit(0)).alias("issue_total"))
