@@ -5,8 +5,10 @@ Each is a query over the whole of the given tables, so work grows with them.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from waybill.sources.staging import new_staging_path
 
 CITIES = (
     "Dayton", "Toledo", "Omaha", "St. Paul", "Winston-Salem", "El Paso", "Boise", "Tulsa",
@@ -84,8 +86,31 @@ def _city_text(nation: Column, line: Column) -> Column:
     return F.when(line % 3 == 0, F.lower(city)).when(line % 3 == 1, F.upper(city)).otherwise(city)
 
 
+_WRITTEN: dict[tuple, tuple[str, DataFrame]] = {}
+
+
 def shipment_extract(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFrame:
-    """The line items as a messy shipment extract; ``planted`` adds rows to reject."""
+    """The messy shipment extract as a table of its own, one per application.
+
+    Extracts arrive as files; this writes the texts once, in as many files as
+    there are cores, and reads them from then on.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, planted)
+    if key in _WRITTEN:
+        path, df = _WRITTEN[key]
+        try:
+            return spark.read.schema(df.schema).parquet(path)
+        except AnalysisException:  # the staging folder was emptied
+            pass
+    texts = shipment_texts(spark, sf_dir, planted)
+    path = new_staging_path(spark, "extract")
+    texts.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+    _WRITTEN[key] = (path, texts)
+    return spark.read.schema(texts.schema).parquet(path)
+
+
+def shipment_texts(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFrame:
+    """The line items as messy shipments; ``planted`` adds rows to reject."""
     base = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))

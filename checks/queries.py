@@ -32,8 +32,7 @@ FIELDS = w.SHIPMENT.field_names
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The modelled shipments of the messy extract."""
-    flagged = w.flag_rows(shipment_extract(spark, sf_dir), SHIPMENT_HEADERS, w.SHIPMENT)
-    return w.records_of(flagged, w.SHIPMENT)
+    return w.materialize(shipment_extract(spark, sf_dir), SHIPMENT_HEADERS, w.SHIPMENT).records
 
 
 def planted(spark: SparkSession, sf_dir: str) -> w.Materialized:

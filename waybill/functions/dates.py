@@ -7,67 +7,67 @@ from pyspark.sql import functions as F
 
 from .text import WIDE_SPACE_CLASS, wide_trim
 
-# The format tags, and the month names that are understood.
+# The format tags, and the month names that are understood
+# (in full or by their first three letters).
 DATE_FORMATS = ("ISO", "US", "Long", "D-Mon-Y")
 MONTHS = (
     "January", "February", "March", "April", "May", "June",
     "July", "August", "September", "October", "November", "December",
 )
 
-_SHORT = [m[:3].lower() for m in MONTHS]
-_MONTH_SHORT = "(?i:" + "|".join(_SHORT) + ")"
-_MONTH_ANY = "(?i:" + "|".join(_SHORT + [m.lower() for m in MONTHS]) + ")"
-_MONTH_OF_YEAR = r"(?:0?\d|1[0-2])"
+_SPACE = f"[{WIDE_SPACE_CLASS}]"
+_ANY_MONTH = "(?i:" + "|".join(f"{m[:3]}(?:{m[3:]})?" for m in MONTHS) + ")"
+_SHORT_MONTH = "(?i:" + "|".join(m[:3] for m in MONTHS) + ")"
 _DAY_TO_31 = r"(?:[0-2]?\d|3[01])"
-
 _PATTERNS = {
-    "ISO": r"^\d{4}-\d{2}-\d{2}$",
-    "US": rf"^{_MONTH_OF_YEAR}/{_DAY_TO_31}/\d{{4}}$",
-    "Long": rf"^{_MONTH_ANY}[{WIDE_SPACE_CLASS}]+\d{{1,2}}[{WIDE_SPACE_CLASS}]+\d{{4}}$",
-    "D-Mon-Y": rf"^{_DAY_TO_31}-{_MONTH_SHORT}-\d{{4}}$",
+    "ISO": r"^\d{4}-\d{2}-\d{2}\z",
+    "US": rf"^(?:0?\d|1[0-2])/{_DAY_TO_31}/\d{{4}}\z",
+    "Long": rf"^{_ANY_MONTH}{_SPACE}+\d{{1,2}}{_SPACE}+\d{{4}}\z",
+    "D-Mon-Y": rf"^{_DAY_TO_31}-{_SHORT_MONTH}-\d{{4}}\z",
 }
 
 
-def _month_number(name: Column) -> Column:
-    known = F.array(*[F.lit(m) for m in _SHORT])
-    return F.array_position(known, F.lower(F.left(name, F.lit(3)))).cast("string")
-
+def _by_format(v: Column, result: dict[str, Column]) -> Column:
+    """The result for the format in which a trimmed text is written, else null.
 
-def _year_month_day(v: Column, fmt: str) -> Column:
-    """The text in one format rearranged to ``year-month-day``."""
+    Two cheap looks at the text - has it a slash, does it start with a letter -
+    leave one or two patterns to test per row.
+    """
 
-    def part(text: Column, separator: str, i: int) -> Column:
-        return F.split_part(text, F.lit(separator), F.lit(i))
+    def if_written(fmt: str) -> Column:
+        return F.when(v.rlike(_PATTERNS[fmt]), result[fmt])
 
-    if fmt == "US":
-        return F.concat_ws("-", part(v, "/", 3), part(v, "/", 1), part(v, "/", 2))
-    if fmt == "Long":
-        v = F.regexp_replace(v, f"[{WIDE_SPACE_CLASS}]+", "-")
-        return F.concat_ws("-", part(v, "-", 3), _month_number(v), part(v, "-", 2))
-    if fmt == "D-Mon-Y":
-        return F.concat_ws("-", part(v, "-", 3), _month_number(part(v, "-", 2)), part(v, "-", 1))
-    return v
+    return (
+        F.when(v.contains("/"), if_written("US"))
+        .when(v >= "A", if_written("Long"))
+        .when(v.rlike(_PATTERNS["ISO"]), result["ISO"])
+        .otherwise(if_written("D-Mon-Y"))
+    )
 
 
-def date_format_of(c: Column) -> Column:
+def date_format_of(c: Column, trimmed: bool = False) -> Column:
     """The format tag of a date text, or null.
 
     This looks at the writing only: ``2026-02-31`` is tagged ISO although no
-    such day exists (``parse_date`` gives null for it).
+    such day exists (``parse_date`` gives null for it). ``trimmed`` says that
+    the text has no white space around it.
     """
-    v = wide_trim(c)
-    tag = F.lit(None).cast("string")
-    for fmt in reversed(DATE_FORMATS):
-        tag = F.when(v.rlike(_PATTERNS[fmt]), F.lit(fmt)).otherwise(tag)
-    return tag
+    v = c if trimmed else wide_trim(c)
+    return _by_format(v, {fmt: F.lit(fmt) for fmt in DATE_FORMATS})
 
 
-def parse_date(c: Column) -> Column:
+def parse_date(c: Column, trimmed: bool = False) -> Column:
     """A date text in any known format as DATE; null if unreadable or impossible."""
-    v = wide_trim(c)
-    value = F.lit(None).cast("date")
-    for fmt in reversed(DATE_FORMATS):
-        value = F.when(
-            v.rlike(_PATTERNS[fmt]), _year_month_day(v, fmt).try_cast("date")
-        ).otherwise(value)
-    return value
+    v = c if trimmed else wide_trim(c)
+    short = F.regexp_replace(
+        v, rf"^([A-Za-z]{{3}})[A-Za-z]*{_SPACE}+(\d+){_SPACE}+(\d+)", "$2-$1-$3"
+    )
+    return _by_format(
+        v,
+        {
+            "ISO": v.try_cast("date"),
+            "US": F.try_to_date(v, "M/d/yyyy"),
+            "Long": F.try_to_date(short, "d-MMM-yyyy"),
+            "D-Mon-Y": F.try_to_date(v, "d-MMM-yyyy"),
+        },
+    )

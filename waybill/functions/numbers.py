@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from .text import WIDE_SPACE
 
-_LARGEST_DOUBLE = 1.7976931348623157e308
+# At most 308 digits before the point: more do not fit into a double.
+_PLAIN = r"^-?0*\d{1,308}(\.\d+)?\z"
 
 
 def parse_number(c: Column) -> Column:
     """Text to double, ignoring ``$``, ``,`` and white space; anything else is null."""
     bare = F.translate(c, "$," + WIDE_SPACE, "")
-    value = F.when(bare.rlike(r"^-?\d+(\.\d+)?$"), bare.cast("double"))
-    return F.when(F.abs(value) <= _LARGEST_DOUBLE, value)
+    return F.when(c.rlike(_PLAIN), c.cast("double")).when(
+        bare.rlike(_PLAIN), bare.cast("double")
+    )
 
 
 def half_up(c: Column, places: int) -> Column:

@@ -15,6 +15,7 @@ from .materialize import (
     records_of,
     rejects_of,
     report_of,
+    split_flagged,
 )
 from .metrics import (
     cost_by,
@@ -64,6 +65,7 @@ __all__ = [
     "reference_date",
     "rejects_of",
     "report_of",
+    "split_flagged",
     "standardize_dates",
     "standardize_numbers",
     "status_breakdown",

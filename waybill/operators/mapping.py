@@ -51,19 +51,31 @@ def name_similarity(field: Column, column: Column, synonyms: Column) -> Column:
 def score_columns(
     columns: DataFrame, entities: tuple[EntitySpec, ...] = FREIGHT
 ) -> DataFrame:
-    """Every column of a dataset scored against every field of its entity."""
+    """Every column of a dataset scored against every field of its entity.
+
+    A score depends on the names only, and the same headings come back in many
+    datasets, so each distinct heading is scored once.
+    """
     fields = fields_table(columns.sparkSession, entities).select(
         "entity", "field_pos", "target_field", "synonyms"
     )
     # The field list is configuration, a few dozen rows whatever the data.
-    return columns.join(F.broadcast(fields), "entity").select(
-        "dataset_id",
-        "entity",
-        "field_pos",
-        "target_field",
-        "col_pos",
-        "column",
-        name_similarity(F.col("target_field"), F.col("column"), F.col("synonyms")).alias("score"),
+    scored = (
+        columns.select("entity", "column")
+        .distinct()
+        .join(F.broadcast(fields), "entity")
+        .select(
+            "entity",
+            "column",
+            "field_pos",
+            "target_field",
+            name_similarity(
+                F.col("target_field"), F.col("column"), F.col("synonyms")
+            ).alias("score"),
+        )
+    )
+    return columns.join(scored, ["entity", "column"]).select(
+        "dataset_id", "entity", "field_pos", "target_field", "col_pos", "column", "score"
     )
 
 

@@ -3,28 +3,29 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
     canonical_value,
-    is_blank,
     parse_date,
     parse_number,
     title_case_place,
-    upper_code,
     wide_trim,
 )
 from ..plans.entities import EntitySpec, FieldSpec
 from ..sources.extracts import ROW_INDEX, named
+from ..sources.staging import stage
 
 WARNINGS_SHOWN = 8
 
 
 @dataclass(frozen=True)
 class Materialized:
-    """What became of one extract: all four tables are lazy."""
+    """What became of one extract."""
 
     flagged: DataFrame
     records: DataFrame
@@ -32,26 +33,27 @@ class Materialized:
     report: DataFrame
 
 
-def _typed(spec: FieldSpec, raw: Column) -> Column:
+def _typed(spec: FieldSpec, text: Column) -> Column:
+    """The value of a field from its trimmed text."""
     if spec.type == "number":
-        return parse_number(raw)
+        return parse_number(text)
     if spec.type == "date":
-        return parse_date(raw)
+        return parse_date(text, trimmed=True)
     if spec.type == "enum":
-        return canonical_value(raw, spec.enum)
+        return canonical_value(text, spec.enum)
     if spec.clean == "place":
-        return title_case_place(wide_trim(raw))
+        return title_case_place(text)
     if spec.clean == "code":
-        return upper_code(raw)
-    return wide_trim(raw)
+        return F.upper(text)
+    return text
 
 
-def _missing_reason(spec: FieldSpec, raw: str, value: str) -> Column:
+def _missing_reason(spec: FieldSpec, text: str, value: str) -> Column:
     """Why a field that must be there makes the row unusable, or null."""
     if spec.type in ("date", "number"):
         return F.when(
             F.col(value).isNull(),
-            F.when(is_blank(F.col(raw)), f"missing_{spec.name}").otherwise(f"invalid_{spec.name}"),
+            F.when(F.col(text) == "", f"missing_{spec.name}").otherwise(f"invalid_{spec.name}"),
         )
     return F.when(F.col(value) == "", f"missing_{spec.name}")
 
@@ -82,11 +84,26 @@ def flag_rows(
             for f in fields
         ],
     )
-    typed = texts.withColumns({f"val_{f.name}": _typed(f, F.col(f"raw_{f.name}")) for f in fields})
+    # Each step is a projection of its own, so that the text of a field is
+    # trimmed and read once although later steps look at it several times.
+    trimmed = texts.withColumns(
+        {f"txt_{f.name}": wide_trim(F.col(f"raw_{f.name}")) for f in fields}
+    )
+    typed = trimmed.withColumns(
+        {f"val_{f.name}": _typed(f, F.col(f"txt_{f.name}")) for f in fields}
+    )
+
+    def raw(f: FieldSpec) -> str:
+        return f"raw_{f.name}"
+
+    def text(f: FieldSpec) -> str:
+        return f"txt_{f.name}"
+
+    def value(f: FieldSpec) -> str:
+        return f"val_{f.name}"
 
-    raw, value = (lambda f: f"raw_{f.name}"), (lambda f: f"val_{f.name}")
     dropped_silently = F.coalesce(
-        *[_missing_reason(f, raw(f), value(f)) for f in fields if f.drop_if_missing],
+        *[_missing_reason(f, text(f), value(f)) for f in fields if f.drop_if_missing],
         F.lit(None).cast("string"),
     )
     unknown_enum = F.coalesce(
@@ -100,14 +117,13 @@ def flag_rows(
 
     def warning(f: FieldSpec, problem: str, outcome: str) -> Column:
         return F.concat(
-            F.lit("("), F.col(value_of_key), F.lit(f'): {problem} {f.label.lower()} "'),
+            F.lit("("), F.col(f"val_{entity.key}"), F.lit(f'): {problem} {f.label.lower()} "'),
             F.col(raw(f)), F.lit(f'" — {outcome}'),
         )
 
-    value_of_key = f"val_{entity.key}"
     notes = [
         F.when(
-            F.col(value(f)).isNull() & ~is_blank(F.col(raw(f))),
+            F.col(value(f)).isNull() & (F.col(text(f)) != ""),
             warning(f, "unparseable", "treated as missing"),
         )
         for f in fields
@@ -139,8 +155,17 @@ def flag_rows(
 
 
 def records_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDEX) -> DataFrame:
-    """The rows that were kept, with the entity's fields."""
-    return flagged.filter(F.col("reject_reason").isNull()).select(
+    """The rows that were kept, with the entity's fields.
+
+    The test is on the fields themselves, the same as a null ``reject_reason``:
+    this keeps the wording of the reasons out of the plan.
+    """
+    present = [
+        F.col(f.name) != "" if f.type == "string" else F.col(f.name).isNotNull()
+        for f in entity.fields
+        if f.drop_if_missing or f.type == "enum"
+    ]
+    return flagged.filter(reduce(and_, present, F.lit(True))).select(
         named(order_col), "dataset_id", *entity.field_names
     )
 
@@ -215,19 +240,13 @@ def report_of(
     )
 
 
-def materialize(
-    df: DataFrame,
-    mapping: dict[str, str | None],
+def split_flagged(
+    flagged: DataFrame,
     entity: EntitySpec,
     dataset_id: str = "extract",
     order_col: str = ROW_INDEX,
 ) -> Materialized:
-    """Typed records, rejects and report of one extract, all lazy.
-
-    Each table scans the extract again when it is used; the pipeline writes
-    the flagged rows once and derives all three from that.
-    """
-    flagged = flag_rows(df, mapping, entity, dataset_id, order_col)
+    """Records, rejects and report of checked rows."""
     return Materialized(
         flagged=flagged,
         records=records_of(flagged, entity, order_col),
@@ -236,6 +255,23 @@ def materialize(
     )
 
 
+def materialize(
+    df: DataFrame,
+    mapping: dict[str, str | None],
+    entity: EntitySpec,
+    dataset_id: str = "extract",
+    order_col: str = ROW_INDEX,
+) -> Materialized:
+    """Typed records, rejects and report of one extract.
+
+    The checked rows are staged at once, so that the extract is read and its
+    texts are parsed a single time whatever is made of the result.
+    ``split_flagged(flag_rows(...))`` is the lazy form.
+    """
+    flagged = stage(flag_rows(df, mapping, entity, dataset_id, order_col), entity.name.lower())
+    return split_flagged(flagged, entity, dataset_id, order_col)
+
+
 def record_totals(reports: DataFrame) -> DataFrame:
     """Records kept over all entities."""
     return reports.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
