@@ -7,7 +7,7 @@ from .mapping import (
     mapping_status,
     suggest_mappings,
 )
-from .materialize import (
+from .materializing import (
     Materialized,
     flag_rows,
     materialize,
@@ -27,7 +27,7 @@ from .metrics import (
     status_counts,
     with_delivery_flags,
 )
-from .profile import column_values, issue_total, profile
+from .profiling import column_values, issue_total, profile
 from .questions import Answer, answer_for, ask, classify_questions, read_questions
 from .standardize import (
     canonicalize_enum,

@@ -84,12 +84,16 @@ def suggest_mappings(
 ) -> DataFrame:
     """The suggested source column of every field of every dataset.
 
-    ``columns`` holds (dataset_id, entity, col_pos, column). Each field picks
-    its best column, the earliest on a tie. Of the fields that picked the same
-    column the best scoring one gets it (the earlier field on a tie); the
-    others stay unmapped.
+    ``columns`` holds (dataset_id, entity, col_pos, column), positions counting
+    from 0. Each field picks its best column, the earliest on a tie. Of the
+    fields that picked the same column the best scoring one gets it (the
+    earlier field on a tie); the others stay unmapped.
     """
-    pairs = score_columns(columns, entities)
+    # Pairs that do not fit are left out, but for those of the first column:
+    # they give every field its row.
+    pairs = score_columns(columns, entities).filter(
+        (F.col("score") > 0) | (F.col("col_pos") == 0)
+    )
     # A maximum, so that it is combined before the shuffle.
     best = (
         pairs.groupBy("dataset_id", "entity", "field_pos", "target_field")

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.mapping import apply_overrides, columns_table, mapping_of, suggest_mappings
-from ..operators.materialize import (
+from ..operators.materializing import (
     flag_rows,
     record_totals,
     records_of,
     rejects_of,
     report_of,
 )
-from ..operators.profile import profile
+from ..operators.profiling import profile
 from ..sources.extracts import ROW_INDEX, named, with_row_index
 from ..sources.sinks import write_flagged, write_table
 from ..sources.staging import new_staging_path, stage

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.materialize import flag_rows
+from ..operators.materializing import flag_rows
 from ..plans.entities import EntitySpec
 from ..sources.sinks import ACCEPTED
 
