@@ -18,7 +18,8 @@ from ..functions import (
 )
 from ..plans.entities import EntitySpec, FieldSpec
 from ..sources.extracts import ROW_INDEX, named
-from ..sources.staging import stage
+from ..sources.sinks import ACCEPTED, write_flagged
+from ..sources.staging import new_staging_path
 
 WARNINGS_SHOWN = 8
 
@@ -157,22 +158,27 @@ def flag_rows(
 def records_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDEX) -> DataFrame:
     """The rows that were kept, with the entity's fields.
 
-    The test is on the fields themselves, the same as a null ``reject_reason``:
-    this keeps the wording of the reasons out of the plan.
+    Of a written table this reads the folder of the kept rows and no further
+    column. Of an unwritten one the test is on the fields themselves, the same
+    as a null ``reject_reason``, which keeps the wording of the reasons out of
+    the plan.
     """
-    present = [
-        F.col(f.name) != "" if f.type == "string" else F.col(f.name).isNotNull()
-        for f in entity.fields
-        if f.drop_if_missing or f.type == "enum"
-    ]
-    return flagged.filter(reduce(and_, present, F.lit(True))).select(
-        named(order_col), "dataset_id", *entity.field_names
-    )
+    if ACCEPTED in flagged.columns:
+        kept = F.col(ACCEPTED)
+    else:
+        present = [
+            F.col(f.name) != "" if f.type == "string" else F.col(f.name).isNotNull()
+            for f in entity.fields
+            if f.drop_if_missing or f.type == "enum"
+        ]
+        kept = reduce(and_, present, F.lit(True))
+    return flagged.filter(kept).select(named(order_col), "dataset_id", *entity.field_names)
 
 
 def rejects_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDEX) -> DataFrame:
     """Every row that was dropped, with the reason and its source texts."""
-    return flagged.filter(F.col("reject_reason").isNotNull()).select(
+    dropped = ~F.col(ACCEPTED) if ACCEPTED in flagged.columns else F.col("reject_reason").isNotNull()
+    return flagged.filter(dropped).select(
         named(order_col),
         "dataset_id",
         F.lit(entity.name).alias("entity"),
@@ -204,12 +210,13 @@ def report_of(
         .agg(F.array_sort(F.collect_list(F.struct("ix", "pos", "text"))).alias("shown"))
     )
     marks = first_warnings.select(F.array_distinct(F.col("shown.ix")).alias("marks")).scalar()
-    passed = F.lit(0)
-    for i in range(WARNINGS_SHOWN):
-        passed = passed + F.coalesce((F.get(marks, F.lit(i)) <= ix).cast("int"), F.lit(0))
-    kept = F.col("reject_reason").isNull()
+    # How many of the (at most eight) warned rows a row comes after, or is.
+    passed = F.size(F.filter("marks", lambda m: m <= F.col("ix")))
     counted = (
-        flagged.select(passed.alias("passed"), kept.alias("kept"))
+        flagged.select(
+            ix.alias("ix"), F.col("reject_reason").isNull().alias("kept"), marks.alias("marks")
+        )
+        .select(passed.alias("passed"), "kept")
         .groupBy("passed")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept"))
     )
@@ -266,9 +273,12 @@ def materialize(
 
     The checked rows are staged at once, so that the extract is read and its
     texts are parsed a single time whatever is made of the result.
-    ``split_flagged(flag_rows(...))`` is the lazy form.
+    ``split_flagged(flag_rows(...), ...)`` is the lazy form.
     """
-    flagged = stage(flag_rows(df, mapping, entity, dataset_id, order_col), entity.name.lower())
+    flagged = write_flagged(
+        flag_rows(df, mapping, entity, dataset_id, order_col),
+        new_staging_path(df.sparkSession, entity.name.lower()),
+    )
     return split_flagged(flagged, entity, dataset_id, order_col)
 
 

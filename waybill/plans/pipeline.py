@@ -116,9 +116,8 @@ def run_pipeline(
             else new_staging_path(spark, entity.name.lower())
         )
         flagged = write_flagged(reduce(DataFrame.unionByName, parts), path, mode)
-        accepted = F.col("accepted")
-        tables[entity.name] = records_of(flagged.filter(accepted), entity, order_col)
-        rejects.append(rejects_of(flagged.filter(~accepted), entity, order_col))
+        tables[entity.name] = records_of(flagged, entity, order_col)
+        rejects.append(rejects_of(flagged, entity, order_col))
         reports += [
             report_of(
                 flagged.filter(F.col("dataset_id") == dataset_id), entity, dataset_id, order_col
