@@ -5,6 +5,7 @@ from .mapping import (
     columns_table,
     mapping_of,
     mapping_status,
+    mappings_by_dataset,
     suggest_mappings,
 )
 from .materializing import (
@@ -56,6 +57,7 @@ __all__ = [
     "kpis",
     "mapping_of",
     "mapping_status",
+    "mappings_by_dataset",
     "materialize",
     "normalize_places",
     "profile",

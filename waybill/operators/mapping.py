@@ -155,11 +155,13 @@ def mapping_status(mappings: DataFrame) -> DataFrame:
     )
 
 
+def mappings_by_dataset(mappings: DataFrame) -> dict[str, dict[str, str | None]]:
+    """The mapping of each dataset as a dictionary: one entry per field."""
+    out: dict[str, dict[str, str | None]] = {}
+    for r in mappings.select("dataset_id", "target_field", "source_column").collect():
+        out.setdefault(r.dataset_id, {})[r.target_field] = r.source_column
+    return out
+
+
 def mapping_of(mappings: DataFrame, dataset_id: str) -> dict[str, str | None]:
-    """One dataset's mapping as a dictionary (one entry per field)."""
-    rows = (
-        mappings.filter(F.col("dataset_id") == dataset_id)
-        .select("target_field", "source_column")
-        .collect()
-    )
-    return {r.target_field: r.source_column for r in rows}
+    return mappings_by_dataset(mappings.filter(F.col("dataset_id") == dataset_id))[dataset_id]

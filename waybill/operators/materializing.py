@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -191,59 +193,71 @@ def rejects_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDE
 def report_of(
     flagged: DataFrame,
     entity: EntitySpec,
-    dataset_id: str = "extract",
+    dataset_ids: str | Sequence[str] = "extract",
     order_col: str = ROW_INDEX,
 ) -> DataFrame:
-    """One row: records kept, rows dropped, and the first eight warnings.
+    """One row per dataset: records kept, rows dropped, the first eight warnings.
 
     Warnings name the 1-based row. Numbering the rows would take an ordered
-    pass over everything, so only the few warned rows are looked up: one
-    top-n finds their indexes, one aggregate of at most nine groups counts the
-    rows before each.
+    pass over everything, so only the few warned rows are looked up: a top-n
+    finds their indexes, and one aggregate of at most nine groups per dataset
+    counts the rows before each.
     """
+    ids = [dataset_ids] if isinstance(dataset_ids, str) else list(dataset_ids)
+    listed = flagged.sparkSession.createDataFrame([(d,) for d in ids], "dataset_id string")
     ix = named(order_col)
+    rank = F.row_number().over(W.partitionBy("dataset_id").orderBy("ix", "pos", "text"))
     first_warnings = (
         flagged.filter(F.size("warnings") > 0)
-        .select(ix.alias("ix"), F.posexplode("warnings").alias("pos", "text"))
-        .orderBy("ix", "pos", "text")
-        .limit(WARNINGS_SHOWN)
-        .agg(F.array_sort(F.collect_list(F.struct("ix", "pos", "text"))).alias("shown"))
+        .select("dataset_id", ix.alias("ix"), F.posexplode("warnings").alias("pos", "text"))
+        .withColumn("rank", rank)
+        .filter(F.col("rank") <= WARNINGS_SHOWN)
+        .groupBy("dataset_id")
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "ix", "text"))).alias("shown"))
+        .withColumn("marks", F.array_distinct(F.col("shown.ix")))
     )
-    marks = first_warnings.select(F.array_distinct(F.col("shown.ix")).alias("marks")).scalar()
-    # How many of the (at most eight) warned rows a row comes after, or is.
-    passed = F.size(F.filter("marks", lambda m: m <= F.col("ix")))
+    # How many of the warned rows a row comes after, or is.
+    passed = F.coalesce(F.size(F.filter("marks", lambda m: m <= F.col("ix"))), F.lit(0))
+    # The broadcast side has one short row per dataset named by the caller.
     counted = (
         flagged.select(
-            ix.alias("ix"), F.col("reject_reason").isNull().alias("kept"), marks.alias("marks")
+            "dataset_id", ix.alias("ix"), F.col("reject_reason").isNull().alias("kept")
         )
-        .select(passed.alias("passed"), "kept")
-        .groupBy("passed")
+        .join(F.broadcast(first_warnings.select("dataset_id", "marks")), "dataset_id", "left")
+        .select("dataset_id", passed.alias("passed"), "kept")
+        .groupBy("dataset_id", "passed")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept"))
-    )
-    totals = counted.agg(
-        F.coalesce(F.sum("kept"), F.lit(0)).alias("records"),
-        F.coalesce(F.sum(F.col("n") - F.col("kept")), F.lit(0)).alias("dropped"),
-        F.collect_list(F.struct("passed", "n")).alias("counts"),
+        .groupBy("dataset_id")
+        .agg(
+            F.sum("kept").alias("records"),
+            F.sum(F.col("n") - F.col("kept")).alias("dropped"),
+            F.collect_list(F.struct("passed", "n")).alias("counts"),
+        )
     )
 
     def row_number(mark_pos: Column) -> Column:
         before = F.filter("counts", lambda c: c["passed"] < mark_pos)
         return F.aggregate(before, F.lit(1).cast("bigint"), lambda acc, c: acc + c["n"])
 
-    return totals.withColumns({"shown": first_warnings.scalar(), "marks": marks}).select(
-        F.lit(entity.name).alias("entity"),
-        F.lit(dataset_id).alias("dataset_id"),
-        "records",
-        "dropped",
-        F.transform(
-            "shown",
-            lambda w: F.concat(
-                F.lit("Row "),
-                row_number(F.array_position(F.col("marks"), w["ix"])).cast("string"),
-                F.lit(" "),
-                w["text"],
-            ),
-        ).alias("warnings"),
+    warnings = F.transform(
+        "shown",
+        lambda w: F.concat(
+            F.lit("Row "),
+            row_number(F.array_position(F.col("marks"), w["ix"])).cast("string"),
+            F.lit(" "),
+            w["text"],
+        ),
+    )
+    return (
+        listed.join(counted, "dataset_id", "left")
+        .join(first_warnings, "dataset_id", "left")
+        .select(
+            F.lit(entity.name).alias("entity"),
+            "dataset_id",
+            F.coalesce("records", F.lit(0).cast("bigint")).alias("records"),
+            F.coalesce("dropped", F.lit(0).cast("bigint")).alias("dropped"),
+            F.coalesce(warnings, F.array().cast("array<string>")).alias("warnings"),
+        )
     )
 
 

@@ -8,7 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.mapping import apply_overrides, columns_table, mapping_of, suggest_mappings
+from ..operators.mapping import (
+    apply_overrides,
+    columns_table,
+    mappings_by_dataset,
+    suggest_mappings,
+)
 from ..operators.materializing import (
     flag_rows,
     record_totals,
@@ -96,6 +101,8 @@ def run_pipeline(
     spark = next(iter(datasets.values()))[0].sparkSession
     mappings = stage(map_all(spark, datasets, overrides, entities, order_col), "mappings")
 
+    mapping = mappings_by_dataset(mappings)
+
     tables: dict[str, DataFrame] = {}
     rejects: list[DataFrame] = []
     reports: list[DataFrame] = []
@@ -106,7 +113,7 @@ def run_pipeline(
         parts = []
         for i, dataset_id in enumerate(ids):
             source = with_row_index(datasets[dataset_id][0], order_col)
-            part = flag_rows(source, mapping_of(mappings, dataset_id), entity, dataset_id, order_col)
+            part = flag_rows(source, mapping[dataset_id], entity, dataset_id, order_col)
             if i:
                 part = part.withColumn(order_col, named(order_col) + F.lit(i * _INDEX_ROOM))
             parts.append(part)
@@ -118,12 +125,7 @@ def run_pipeline(
         flagged = write_flagged(reduce(DataFrame.unionByName, parts), path, mode)
         tables[entity.name] = records_of(flagged, entity, order_col)
         rejects.append(rejects_of(flagged, entity, order_col))
-        reports += [
-            report_of(
-                flagged.filter(F.col("dataset_id") == dataset_id), entity, dataset_id, order_col
-            )
-            for dataset_id in ids
-        ]
+        reports.append(report_of(flagged, entity, ids, order_col))
     report = reduce(DataFrame.unionByName, reports) if reports else None
     if output and report is not None:
         report = write_table(report, f"{output.rstrip('/')}/report", mode)
