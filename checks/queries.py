@@ -88,7 +88,18 @@ def read_csv_split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return w.preview(shipment_extract(spark, sf_dir))
+    orders = table(spark, sf_dir, "orders").withColumn("_ix", F.col("o_orderkey"))
+    return w.preview(w.as_text(orders))
+
+
+def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return w.dataset_summary(
+        {
+            "shipments": (shipment_extract(spark, sf_dir), "Shipment"),
+            "carriers": (carrier_extract(spark, sf_dir), "Carrier"),
+            "documents": (table(spark, sf_dir, "documents"), None),
+        }
+    )
 
 
 # ----------------------------------------------------------------- profiling
@@ -325,6 +336,7 @@ def queries() -> dict[str, Query]:
         "read_csv_documents": read_csv_documents,
         "read_csv_split_files": read_csv_split_files,
         "preview_rows": preview_rows,
+        "dataset_summary": dataset_summary,
         "profile_orders": _profile_table("orders", "o_orderkey"),
         "profile_events": _profile_table("events", "event_id"),
         "profile_customers": _profile_table("customer", "c_custkey"),

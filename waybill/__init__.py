@@ -11,7 +11,7 @@ from .plans.entities import (
     FieldSpec,
     fields_table,
 )
-from .plans.pipeline import PipelineResult, map_all, profile_all, run_pipeline
+from .plans.pipeline import PipelineResult, dataset_summary, map_all, profile_all, run_pipeline
 from .sources import *  # noqa: F403
 from .sources import __all__ as _sources
 
@@ -25,6 +25,7 @@ __all__ = [
     "EntitySpec",
     "FieldSpec",
     "PipelineResult",
+    "dataset_summary",
     "fields_table",
     "map_all",
     "profile_all",

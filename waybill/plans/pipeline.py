@@ -45,6 +45,24 @@ class PipelineResult:
         return record_totals(self.report) if self.report is not None else None
 
 
+def dataset_summary(
+    datasets: dict[str, tuple[DataFrame, str | None]], order_col: str = ROW_INDEX
+) -> DataFrame:
+    """One row per dataset: its entity, if any, and its numbers of rows and columns."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(dataset_id).alias("dataset_id"),
+                F.lit(entity).cast("string").alias("entity"),
+                "row_count",
+                F.lit(len([c for c in df.columns if c != order_col])).alias("column_count"),
+            )
+            for dataset_id, (df, entity) in datasets.items()
+        ],
+    )
+
+
 def profile_all(
     datasets: dict[str, tuple[DataFrame, str | None]], order_col: str = ROW_INDEX
 ) -> DataFrame:
