@@ -1,5 +1,6 @@
 import pytest
-from waybill.sources import as_text, preview, read_extract, stage, staging_root
+from waybill.sources import as_text, clear_staged, preview, read_extract, stage, staging_root
+from waybill.sources import staging
 
 
 def write(tmp_path, text, name="x.csv"):
@@ -87,3 +88,32 @@ def test_staged_table_is_read_back_from_the_shared_folder(spark):
     assert df.count() == 10
     assert staging_root(spark) in df.inputFiles()[0]
     assert spark.conf.get("spark.checkpoint.dir") in staging_root(spark)
+
+
+class FakeSession:
+    """A session whose checkpoint folder is not set."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class sparkContext:
+        applicationId = "app-1"
+        master = "local[2]"
+
+
+def test_without_a_shared_folder_only_local_sessions_stage(monkeypatch):
+    session = FakeSession()
+    assert staging_root(session) == staging_root(session)
+    monkeypatch.setattr(FakeSession.sparkContext, "master", "yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_root(session)
+
+
+def test_clearing_staged_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "staging_root", lambda s: str(tmp_path / "mine"))
+    stage(spark.range(3), "t")
+    assert list((tmp_path / "mine").iterdir())
+    clear_staged(spark)
+    assert not (tmp_path / "mine").exists()

@@ -13,8 +13,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders made for local sessions without a setting, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
     """The folder for this application's staged tables."""
+    application = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
@@ -22,9 +27,10 @@ def staging_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set: staged tables need a folder "
                 "that every executor can reach"
             )
-        root = tempfile.mkdtemp(prefix="waybill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/waybill/{spark.sparkContext.applicationId}"
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="waybill-")
+        root = _LOCAL_FOLDERS[application]
+    return f"{root.rstrip('/')}/waybill/{application}"
 
 
 def new_staging_path(spark: SparkSession, label: str) -> str:
@@ -37,3 +43,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables; results read from them end too."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
