@@ -292,7 +292,7 @@ def _run(spark: SparkSession, sf_dir: str) -> w.PipelineResult:
     )
 
 
-def pipeline_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+def end_to_end_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the messy extract to the key figures, with a suggested mapping."""
     result = w.run_pipeline({"shipments": (shipment_extract(spark, sf_dir), "Shipment")})
     return w.kpis(result.tables["Shipment"])
@@ -368,7 +368,7 @@ def queries() -> dict[str, Query]:
         "reject_counts": reject_counts,
         "materialize_report": lambda s, d: _report_shown(planted(s, d).report),
         "materialize_union": lambda s, d: _run(s, d).tables["Shipment"],
-        "pipeline_report": lambda s, d: _report_shown(_run(s, d).report),
+        "modelled_report": lambda s, d: _report_shown(_run(s, d).report),
         "record_totals": lambda s, d: _run(s, d).totals,
         "reference_date": lambda s, d: w.reference_date(shipments(s, d)),
         "delayed_flag": lambda s, d: w.with_delivery_flags(shipments(s, d)).select(
@@ -402,5 +402,5 @@ def queries() -> dict[str, Query]:
         "ask_carrier_list": _ask("List all carriers"),
         "ask_status_summary": _ask("Give me a status summary"),
         "ask_answers": ask_answers,
-        "pipeline_kpis": pipeline_kpis,
+        "end_to_end_kpis": end_to_end_kpis,
     }

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import half_up, name_key, name_tokens
-from ..plans.entities import FREIGHT, EntitySpec, fields_table
+from ..plans.entities import FREIGHT, EntitySpec
 
 # What each kind of name match scores, and the score from which
 # a column is taken.
@@ -48,6 +48,22 @@ def name_similarity(field: Column, column: Column, synonyms: Column) -> Column:
     )
 
 
+def _fields_of(entity: Column, entities: tuple[EntitySpec, ...]) -> Column:
+    """The fields of a named entity as a constant array; null for other names."""
+    out = F.when(F.lit(False), F.lit(None))
+    for e in entities:
+        fields = [
+            F.struct(
+                F.lit(pos).alias("field_pos"),
+                F.lit(f.name).alias("target_field"),
+                F.array(*[F.lit(s) for s in f.synonyms]).cast("array<string>").alias("synonyms"),
+            )
+            for pos, f in enumerate(e.fields)
+        ]
+        out = out.when(entity == e.name, F.array(*fields))
+    return out
+
+
 def score_columns(
     columns: DataFrame, entities: tuple[EntitySpec, ...] = FREIGHT
 ) -> DataFrame:
@@ -56,14 +72,10 @@ def score_columns(
     A score depends on the names only, and the same headings come back in many
     datasets, so each distinct heading is scored once.
     """
-    fields = fields_table(columns.sparkSession, entities).select(
-        "entity", "field_pos", "target_field", "synonyms"
-    )
-    # The field list is configuration, a few dozen rows whatever the data.
     scored = (
         columns.select("entity", "column")
         .distinct()
-        .join(F.broadcast(fields), "entity")
+        .select("entity", "column", F.inline(_fields_of(F.col("entity"), entities)))
         .select(
             "entity",
             "column",
