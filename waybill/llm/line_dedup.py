@@ -72,7 +72,10 @@ def drop_common_lines(
 ) -> DataFrame:
     """``docs`` with cleaned texts and, after them, the numbers of lines and of dropped lines."""
     positions = stage(line_positions(docs, id_col, text_col), "line-positions")
-    common = common_lines(positions, min_docs).select(F.col("h").alias("common"))
+    # Staged, so that the join can broadcast a small table or split the rows of a hot line.
+    common = stage(
+        common_lines(positions, min_docs).select(F.col("h").alias("common")), "common-lines"
+    )
     gone = (
         positions.join(common, F.col("h") == F.col("common"), "left_semi")
         .groupBy("doc")
