@@ -210,16 +210,12 @@ def _vocabulary(spark: SparkSession, path: str | None):
         return spark.sparkContext.broadcast(json.load(f))
 
 
-_WORKERS: dict[int, Bpe] = {}
-
-
 def _bpe(shared) -> Bpe:
-    """The worker's encoder, made once per Python process."""
-    key = id(shared.value)
-    if key not in _WORKERS:
-        _WORKERS.clear()
-        _WORKERS[key] = Bpe(shared.value)
-    return _WORKERS[key]
+    """The encoder of this Python worker: kept beside the vocabulary that it was sent."""
+    vocabulary = shared.value
+    if "encoder" not in vocabulary:
+        vocabulary["encoder"] = Bpe(vocabulary)
+    return vocabulary["encoder"]
 
 
 def encode(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, simhash
+from . import bpe, line_dedup, mixing, quality, simhash, url_templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,34 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules of the query, by host and start of path.
+URL_RULES = {
+    "net/": "block",
+    "example.net/en/": "allow",
+    "example.com/de/": "block",
+    "org/fr/": "allow",
+}
+
+
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is made from the document whose number its path ends in, and has its label."""
+    path = url_templates.url_path(F.col("url"))
+    number = F.regexp_extract(path, r"([0-9]+)(?:[.][a-z]+)?/?$", 1).try_cast("bigint")
+    labels = (
+        _table(spark, sf_dir, "labels")
+        .groupBy("doc_id")
+        .agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("good"))
+        .select(F.col("doc_id").alias("labelled"), "good")
+    )
+    pages = (
+        _table(spark, sf_dir, "pages")
+        .select("page_id", "url", number.alias("number"))
+        .join(labels, F.col("number") == F.col("labelled"), "left")
+    )
+    judged = url_templates.judge_urls(pages, URL_RULES, good=F.col("good"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     first = F.get("rounds", 0)["position"]
@@ -41,6 +69,22 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    judged = quality.judge(docs, model)
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -49,7 +93,9 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash": op2_simhash,
+        "op3_url_templates": op3_url_templates,
         "op5_mixing": op5_mixing,
         "op6_line_dedup": op6_line_dedup,
+        "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
     }
