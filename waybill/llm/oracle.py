@@ -87,5 +87,71 @@ FROM kept JOIN docs USING (r)
 """
 
 
+_MARKS = r"</?s>|\[/?(?:INST|SYS|ROLE)\]|\[TEXT\]"
+_PLAIN = r"[\\\[<]"
+
+
+def _escapes(text: str) -> str:
+    """Characters that escaping adds to a text: none, one per mark, or one per special."""
+    return f"""CASE level WHEN 0 THEN 0 WHEN 1 THEN len(regexp_extract_all({text}, '{_MARKS}'))
+             ELSE len(regexp_extract_all({text}, '{_PLAIN}')) END"""
+
+
+OP1 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'),
+                   (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), own AS (
+  SELECT *, role NOT IN ('user', 'assistant', 'system') AS other FROM turns
+), levels AS (
+  SELECT *, CASE
+    WHEN regexp_matches(text, '\\{_PLAIN}') OR (role = 'assistant' AND text LIKE '%\\')
+      OR (other AND regexp_matches(role, '\\{_PLAIN}')) THEN 2
+    WHEN regexp_matches(text, '{_MARKS}') OR (other AND regexp_matches(role, '{_MARKS}')) THEN 1
+    ELSE 0 END AS level
+  FROM own
+), sizes AS (
+  SELECT *, length(text) + {_escapes("text")}
+    + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 WHEN 'system' THEN 13
+      ELSE 23 + length(role) + {_escapes("role")} END AS chars
+  FROM levels
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+         AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sizes GROUP BY conv_id
+"""
+
+OP4 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest
+  FROM p
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+              THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to,
+       CAST(NULL AS VARCHAR) AS error
+FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": OP5, "op6_line_dedup": OP6}
+    return {
+        "op1_chat_format": OP1,
+        "op4_warc": OP4,
+        "op5_mixing": OP5,
+        "op6_line_dedup": OP6,
+    }
