@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, line_dedup, mixing, quality, simhash, url_templates, warc
+from . import (
+    ann,
+    bpe,
+    chat_format,
+    html_extract,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    url_templates,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +122,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract(_table(spark, sf_dir, "pages"))
+    return pages.select(
+        "page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "text_path"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -121,4 +143,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_line_dedup": op6_line_dedup,
         "op7_quality": op7_quality,
         "op8_bpe": op8_bpe,
+        "op9_neighbours": op9_neighbours,
+        "op10_html_extract": op10_html_extract,
     }
