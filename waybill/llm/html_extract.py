@@ -328,7 +328,7 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``pages`` with ``text``, the main text, and ``text_path``, the path that found it."""
     winners = stage(host_paths(pages, url_col, html_col), "host-paths").select(
-        F.col("host").alias("__host"), "winners"
+        F.col("host").alias("__host"), F.col("winners").alias("__winners")
     )
 
     @F.pandas_udf("struct<text: string, text_path: string>")
@@ -341,7 +341,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
 
     added = ["text", "text_path"]
     met = pages.join(winners, url_host(quoted(url_col)) == F.col("__host"), "left")
-    return met.withColumn("__read", read(quoted(html_col), F.col("winners"))).select(
+    return met.withColumn("__read", read(quoted(html_col), F.col("__winners"))).select(
         *[quoted(c) for c in pages.columns if c.lower() not in added],
         *[F.col("__read")[c].alias(c) for c in added],
     )

@@ -12,8 +12,8 @@ once, to meet the positions they lose. A line's key is held as 128 bits.
 Special cases: a null or empty text is one empty line and comes back as the
 empty text. A repeated row (same id and text) is one document to the count, and
 every such row comes back, cleaned alike. Rows that share an id count as one
-document. A null id is a document of its own. Columns other than id and text
-are handed through, whatever their names.
+document, rows without an id too. Columns other than id and text
+are handed through; columns called like the two counts are replaced.
 """
 
 from __future__ import annotations
@@ -99,7 +99,11 @@ def drop_common_lines(
     )
     joined = docs.join(gone, same, "left")
     return joined.select(
-        *[cleaned.alias(c) if c == text_col else quoted(c) for c in docs.columns],
+        *[
+            cleaned.alias(c) if c == text_col else quoted(c)
+            for c in docs.columns
+            if c.lower() not in counts
+        ],
         F.size(lines).cast("bigint").alias(counts[0]),
         F.coalesce(F.size(F.col(side)), F.lit(0)).cast("bigint").alias(counts[1]),
     )

@@ -216,7 +216,7 @@ def mix(
 
 def in_training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per document and round that is taken, range-sorted by ``position``."""
-    rest = [c for c in mixed.columns if c != "rounds"]
+    rest = [c for c in mixed.columns if c.lower() not in ("rounds", "round", "words", "position")]
     return (
         mixed.select(*[quoted(c) for c in rest], F.explode("rounds").alias(_OWN + "at"))
         .select(*[quoted(c) for c in rest], _own("at")["round"].alias("round"),

@@ -381,29 +381,39 @@ def links(nodes: DataFrame, radius: int = 4) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = 4,
-    radius: int = 4,
-) -> DataFrame:
-    """One row per document: its id, ``fp`` and ``component_id`` (smallest id reachable)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> DataFrame:
+    """(id, t, fp, component, component_id) per row; ``t`` hashes the text, ``component`` is a fp."""
+    narrow = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     rows = stage(
-        fingerprints(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")),
-                     shingle=shingle).select("id", "fp"),
+        fingerprints(narrow, shingle=shingle).select("id", F.xxhash64("text").alias("t"), "fp"),
         "simhash",
-    )
+    )
     nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     members = connected(links(nodes, radius))
     labelled = nodes.join(
         members.select(F.col("node").alias("fp"), "root"), "fp", "left"
     ).select("fp", "least", F.coalesce("root", "fp").alias("root"))
     roots = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = labelled.join(roots, "root").select(F.col("fp").alias("class_fp"), "component_id")
-    return rows.join(classes, F.col("fp") == F.col("class_fp")).select(
-        F.col("id").alias(id_col), "fp", "component_id"
+    # Staged, so that the join can split the rows of a fingerprint that many copies share.
+    classes = stage(
+        labelled.join(roots, "root").select(
+            F.col("fp").alias("class_fp"), F.col("root").alias("component"), "component_id"
+        ),
+        "simhash-classes",
     )
+    return rows.join(classes, F.col("fp") == F.col("class_fp")).drop("class_fp")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 4,
+    radius: int = 4,
+) -> DataFrame:
+    """One row per document: its id, ``fp`` and ``component_id`` (smallest id reachable)."""
+    found = _classes(docs, id_col, text_col, shingle, radius)
+    return found.select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def drop_near_duplicates(
@@ -413,15 +423,16 @@ def drop_near_duplicates(
     shingle: int = 4,
     radius: int = 4,
 ) -> DataFrame:
-    """``docs`` with one document of each component: that with the component's id.
+    """``docs`` with one document of each component: that with the smallest id.
 
-    Rows that repeat it exactly (same id) are reduced to one; rows whose
-    component has no id stay.
+    Of rows that share this id the one with the smaller hash of its text stays,
+    of rows that share both any one. A null id stands behind all others.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    key = free_name(docs.columns, "survivor")
-    survivors = found.groupBy("component_id").agg(F.lit(1).alias("one")).select(
-        F.col("component_id").alias(key)
-    )
-    kept = docs.join(survivors.where(F.col(key).isNotNull()), quoted(id_col) == F.col(key), "left_semi")
-    return kept.dropDuplicates([id_col])
+    found = _classes(docs, id_col, text_col, shingle, radius)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t"))
+    side = free_name(docs.columns, "survivor")
+    survivors = found.groupBy("component").agg(first.alias(side)).select(side)
+    key = free_name(docs.columns, "text_hash")
+    keyed = docs.withColumn(key, F.xxhash64(quoted(text_col)))
+    same = quoted(id_col).eqNullSafe(F.col(f"{side}.id")) & (F.col(key) == F.col(f"{side}.t"))
+    return keyed.join(survivors, same, "left_semi").dropDuplicates([id_col, key]).drop(key)

@@ -210,8 +210,8 @@ def judge_urls(
         "url-paths",
     )
     found = stage(merged_templates(templates(counted, depth), depth), "url-templates").select(
-        F.col("host").alias("f_host"),
-        F.col("shapes").alias("f_shapes"),
+        F.col("host").alias("__f_host"),
+        F.col("shapes").alias("__f_shapes"),
         F.concat(F.col("host"), F.lit("/"), F.array_join("node", "/")).alias("template"),
         "purity",
     )
@@ -222,7 +222,7 @@ def judge_urls(
     by_template = F.when(F.col("purity") < min_purity, "block").otherwise("allow")
     return (
         work.join(
-            found, (F.col("host") == F.col("f_host")) & (F.col("__shapes") == F.col("f_shapes"))
+            found, (F.col("host") == F.col("__f_host")) & (F.col("__shapes") == F.col("__f_shapes"))
         )
         .withColumn("rule", rule)
         .withColumn("verdict", F.coalesce(by_rule, by_template))
