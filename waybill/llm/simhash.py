@@ -247,28 +247,27 @@ def _masks(bits: list[int], e: int) -> list[int]:
     return [_signed(m) for m in out]
 
 
+def _at(part: int, value: Column, role: int) -> Column:
+    return F.struct(F.lit(part).alias("part"), value.alias("value"), F.lit(role).alias("role"))
+
+
+def _places(part: int, bits: list[int], e: int) -> Column:
+    """Where a fingerprint stands in a partition: its own value, and those within e of it."""
+    whole = _signed(sum(1 << (63 - b) for b in bits))
+    value = F.col("fp").bitwiseAND(F.lit(whole).cast("bigint"))
+    own = F.array(_at(part, value, 0))
+    near = [F.lit(m).cast("bigint") for m in _masks(bits, e) if m]
+    if not near:
+        return own
+    return F.concat(
+        own, F.transform(F.array(*near), lambda m: _at(part, value.bitwiseXOR(m), 1))
+    )
+
+
 def _probes(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     """Rows (part, value, role, fp): role 0 is indexed and probes itself, role 1 only probes."""
-    rows = []
-    for i, (bits, e) in enumerate(plan):
-        whole = _signed(sum(1 << (63 - b) for b in bits))
-        value = F.col("fp").bitwiseAND(F.lit(whole).cast("bigint"))
-        near = [m for m in _masks(bits, e) if m]
-        own = F.struct(
-            F.lit(i).alias("part"), value.alias("value"), F.lit(0).alias("role")
-        )
-        if near:
-            masks = F.array(*[F.lit(m).cast("bigint") for m in near])
-            others = F.transform(
-                masks,
-                lambda m, value=value, i=i: F.struct(
-                    F.lit(i).alias("part"), value.bitwiseXOR(m).alias("value"), F.lit(1).alias("role")
-                ),
-            )
-            rows.append(F.concat(F.array(own), others))
-        else:
-            rows.append(F.array(own))
-    exploded = nodes.select("fp", F.explode(F.concat(*rows)).alias("at"))
+    places = F.concat(*[_places(i, bits, e) for i, (bits, e) in enumerate(plan)])
+    exploded = nodes.select("fp", F.explode(places).alias("at"))
     return exploded.select("at.part", "at.value", "at.role", "fp")
 
 
