@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from .words import quoted
 
 DIMENSIONS = 1 << 16
 CHARACTERS = (2, 3, 4)  # lengths of the character n-grams, in bytes of UTF-8
-MAX_ROWS = 2000  # labelled documents of each class that are fitted, at most
+MAX_ROWS = 1000  # labelled documents of each class that are fitted, at most
 MIN_CLASS = 5
 THRESHOLD = 0.5  # of the calibrated probability that a document is good
 MIN_WORDS = 50
@@ -133,12 +134,13 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rounds: int = 200) -> tuple:
-    """L2-regularised logistic regression, classes weighed equally, by accelerated descent."""
-    sizes = [len(at) for at, _ in x]
-    row = np.repeat(np.arange(len(x)), sizes)
-    at = np.concatenate([a for a, _ in x])
-    value = np.concatenate([v for _, v in x])
+def _fit(
+    row: np.ndarray, at: np.ndarray, value: np.ndarray, y: np.ndarray, rounds: int = 200
+) -> tuple[np.ndarray, float]:
+    """L2-regularised logistic regression, classes weighed equally, by accelerated descent.
+
+    ``row``, ``at`` and ``value`` are the places and values of the sparse feature matrix.
+    """
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     most = max(float(np.bincount(row, weights=value**2).max()), 1e-9)
     step = 4.0 / (most + 1.0)
@@ -146,7 +148,7 @@ def _fit(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, rounds: int = 20
     w, b = np.zeros(DIMENSIONS), 0.0
     ahead_w, ahead_b, t = w, b, 1.0
     for _ in range(rounds):
-        margin = np.bincount(row, weights=value * ahead_w[at], minlength=len(x)) + ahead_b
+        margin = np.bincount(row, weights=value * ahead_w[at], minlength=len(y)) + ahead_b
         error = share * (1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))) - y)
         slope = np.bincount(at, weights=value * error[row], minlength=DIMENSIONS)
         next_w = ahead_w - step * (slope + penalty * ahead_w)
@@ -218,23 +220,32 @@ def train(
             yield pd.DataFrame({"at": [a for a, _ in rows], "value": [v for _, v in rows]})
 
     sample = labelled_sample(docs, labels, max_rows, id_col, text_col, label_col)
-    rows = sorted(
-        sample.select("id", "y", vectors("text").alias("x")).toPandas().itertuples(index=False),
-        key=lambda r: r.id,
-    )  # at most 2 * max_rows rows
-    y = np.array([float(r.y) for r in rows])
-    if min((y == 0).sum(), (y == 1).sum(), len(y)) < MIN_CLASS:
+    # At most 2 * max_rows rows, as Arrow arrays; only the fit holds them.
+    table = sample.select("id", "y", vectors("text").alias("x")).toArrow().combine_chunks()
+    y = table.column("y").to_numpy().astype(np.float64)
+    if min((y == 0).sum(), (y == 1).sum()) < MIN_CLASS:
         return None
-    x = [
-        (np.asarray(r.x["at"], np.int64), np.asarray(r.x["value"], np.float64)) for r in rows
-    ]
+    x = table.column("x").chunk(0)
+    sizes = pc.list_value_length(x.field("at")).to_numpy()
+    at = x.field("at").flatten().to_numpy()
+    value = x.field("value").flatten().to_numpy()
+    # Rows in the order of ids, so that a rerun adds up in the same order.
+    order = np.argsort(table.column("id").to_numpy(), kind="stable")
+    start = np.cumsum(sizes) - sizes
+    place = np.concatenate([np.arange(start[i], start[i] + sizes[i], dtype=np.int32) for i in order])
+    y, sizes, at, value = y[order], sizes[order], at[place], value[place]
+    row = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
     held = np.zeros(len(y), bool)
     for k in (0, 1):  # every fifth row of each class
         held[np.flatnonzero(y == k)[::5]] = True
-    weights, bias = _fit([v for v, h in zip(x, held) if not h], y[~held])
-    margin = np.array([float(weights[a] @ v) + bias for (a, v), h in zip(x, held) if h])
+    number = np.cumsum(~held) - 1
+    fitted = ~held[row]
+    weights, bias = _fit(
+        number[row[fitted]].astype(np.int32), at[fitted], value[fitted], y[~held]
+    )
+    margin = np.bincount(row, weights=value * weights[at], minlength=len(y))[held] + bias
     slope, shift = _calibrate(margin, y[held])
-    return Model(weights.astype(np.float64), bias, slope, shift)
+    return Model(weights, bias, slope, shift)
 
 
 def judge(
