@@ -299,7 +299,7 @@ def write_archives(
                     out = None
                 if out is None:
                     name = f"part-{part:06d}-{uuid.uuid4().hex}.warc.zst"
-                    out = files.open_output_stream(f"{base}/{name}")
+                    out = files.open_output_stream(f"{base}/{name}", compression=None)
                     records = size = 0
                     if dictionary:
                         size += out.write(lead_frame(dictionary))
@@ -327,7 +327,7 @@ def read_archives(archives: DataFrame, archive_col: str = "archive") -> DataFram
             for archive in batch.column(0).to_pylist():
                 files, path = _place(archive)
                 rows, size = [], 0
-                with files.open_input_stream(path) as stream:
+                with files.open_input_stream(path, compression=None) as stream:
                     frames = read_frames(stream)
                     while True:
                         row = {"archive": archive}
