@@ -81,13 +81,14 @@ def render(role: str, text: str, level: int) -> tuple[str, int, int]:
 def _body(text: str, at: int, closer: str) -> tuple[str, int]:
     """The raw body from ``at`` to ``closer`` and the place behind it."""
     mark = closer.strip()
+    lead = closer.index(mark)
     for m in _LEXEME.finditer(text, at):
         if m[0][0] == "\\":
             continue
-        end = m.end() - len(closer)
+        end = m.start() - lead
         if m[0] != mark or end < at or not text.startswith(closer, end):
             raise GrammarError(f"{m[0]} at {m.start()} instead of {mark}")
-        return text[at:end], m.end()
+        return text[at:end], end + len(closer)
     raise GrammarError(f"no {mark} after {at}")
 
 

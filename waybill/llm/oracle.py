@@ -107,8 +107,8 @@ WITH turns AS (
   SELECT *, role NOT IN ('user', 'assistant', 'system') AS other FROM turns
 ), levels AS (
   SELECT *, CASE
-    WHEN regexp_matches(text, '\\{_PLAIN}') OR (role = 'assistant' AND text LIKE '%\\')
-      OR (other AND regexp_matches(role, '\\{_PLAIN}')) THEN 2
+    WHEN regexp_matches(text, '\\\\{_PLAIN}') OR (role = 'assistant' AND text LIKE '%\\')
+      OR (other AND regexp_matches(role, '\\\\{_PLAIN}')) THEN 2
     WHEN regexp_matches(text, '{_MARKS}') OR (other AND regexp_matches(role, '{_MARKS}')) THEN 1
     ELSE 0 END AS level
   FROM own
