@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import new_staging_path, stage
+from .sampling import hash_sample
 from .words import quoted
 
 SKIPPABLE = 0x184D2A5D  # the frame that holds a dictionary
@@ -220,13 +221,13 @@ def train_dictionary(payloads: DataFrame) -> bytes | None:
     import zstandard
 
     start = F.substring("payload", 1, SAMPLE_BYTES)
-    rows = (
-        payloads.select(start.alias("start"), F.xxhash64("digest", "page_id").alias("at"))
-        .where(F.octet_length("start") > 0)
-        .orderBy("at", "start")
-        .limit(SAMPLES)
-        .collect()
-    )
+    known = payloads.where(F.octet_length("payload") > 0)
+    rows = hash_sample(
+        known.select(start.alias("start"), "digest", "page_id"),
+        F.struct("digest", "page_id"),
+        SAMPLES,
+        known.count(),
+    ).collect()
     samples = [bytes(r.start) for r in rows]
     if len(samples) < 10:
         return None
