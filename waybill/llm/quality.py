@@ -31,6 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sampling import hash_sample
 from .words import quoted
 
 DIMENSIONS = 1 << 16
@@ -189,11 +190,12 @@ def labelled_sample(
         .agg(F.min("y").alias("y"))
         .join(ids, "id", "left_semi")
     )
-    order = F.xxhash64("id")
-    chosen = None
-    for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(order, "id").limit(max_rows)
-        chosen = part if chosen is None else chosen.union(part)
+    sizes = {r.y: r["count"] for r in known.where("y in (0, 1)").groupBy("y").count().collect()}
+    good, bad = (
+        hash_sample(known.where(F.col("y") == y), F.col("id"), max_rows, sizes.get(y, 0))
+        for y in (1, 0)
+    )
+    chosen = good.union(bad)
     # At most 2 * max_rows rows of two numbers: small enough to broadcast by construction.
     texts = docs.select(
         quoted(id_col).alias("id"), F.coalesce(quoted(text_col), F.lit("")).alias("text")
