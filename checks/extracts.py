@@ -6,7 +6,7 @@ Each is a query over the whole of the given tables, so work grows with them.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from waybill.sources.staging import new_staging_path
 
@@ -125,6 +125,11 @@ def shipment_texts(spark: SparkSession, sf_dir: str, planted: bool = False) -> D
     promised = F.date_add(pickup, (supp % 5 + 3).cast("int"))
     delivery = F.date_add(pickup, (F.col("l_quantity").cast("bigint") % 9 + 1).cast("int"))
 
+    same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate",
+    )
+
     ident = F.concat_ws("-", F.lit("SHP"), order, line)
     ident = F.when(line == 7, F.concat(F.lit("  "), ident, F.lit("\t"))).otherwise(ident)
     pickup_text = _date_text(pickup, style)
@@ -158,7 +163,8 @@ def shipment_texts(spark: SparkSession, sf_dir: str, planted: bool = False) -> D
     }
     return base.select(
         *[values[f].alias(h) for f, h in SHIPMENT_HEADERS.items()],
-        (order * 8 + line).alias("_ix"),
+        # Several lines may share order and line number: they are counted apart.
+        ((order * 8 + line) * (1 << 20) + F.row_number().over(same_line)).alias("_ix"),
     )
 
 

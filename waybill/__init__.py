@@ -11,7 +11,14 @@ from .plans.entities import (
     FieldSpec,
     fields_table,
 )
-from .plans.pipeline import PipelineResult, dataset_summary, map_all, profile_all, run_pipeline
+from .plans.pipeline import (
+    PipelineResult,
+    dataset_summary,
+    map_all,
+    materialize_many,
+    profile_all,
+    run_pipeline,
+)
 from .sources import *  # noqa: F403
 from .sources import __all__ as _sources
 
@@ -28,6 +35,7 @@ __all__ = [
     "dataset_summary",
     "fields_table",
     "map_all",
+    "materialize_many",
     "profile_all",
     "run_pipeline",
 ]

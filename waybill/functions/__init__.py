@@ -11,7 +11,7 @@ from .numbers import (
     per_mile_text,
     ratio,
 )
-from .text import is_blank, name_key, name_tokens, title_case_place, upper_code, wide_trim
+from .text import name_key, name_tokens, title_case_place, upper_code, wide_trim
 
 __all__ = [
     "DATE_FORMATS",
@@ -20,7 +20,6 @@ __all__ = [
     "date_format_of",
     "exact_sum",
     "half_up",
-    "is_blank",
     "money_text",
     "name_key",
     "name_tokens",

@@ -24,10 +24,6 @@ def wide_trim(c: Column) -> Column:
     return F.btrim(c, F.lit(WIDE_SPACE))
 
 
-def is_blank(c: Column) -> Column:
-    return wide_trim(F.coalesce(c, F.lit(""))) == ""
-
-
 def name_key(c: Column) -> Column:
     """Lower-case letters and digits only: the form in which names are compared."""
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import half_up, name_key, name_tokens
-from ..plans.entities import FREIGHT, EntitySpec
+from ..plans.entities import FREIGHT, EntitySpec, FieldSpec
 
 # What each kind of name match scores, and the score from which
 # a column is taken.
@@ -30,33 +32,48 @@ def columns_table(spark: SparkSession, datasets: dict[str, tuple[list[str], str]
     )
 
 
-def name_similarity(field: Column, column: Column, synonyms: Column) -> Column:
-    """How well a column name fits a field name, 0 to 1."""
-    f, c = name_key(field), name_key(column)
-    field_words, column_words = name_tokens(field), name_tokens(column)
-    shared = F.size(F.array_intersect(field_words, column_words)).cast("double")
+def _key(name: str) -> str:
+    """``name_key`` of a name that is known beforehand."""
+    return re.sub("[^a-z0-9]", "", name.lower())
+
+
+def _tokens(name: str) -> list[str]:
+    """``name_tokens`` of a name that is known beforehand."""
+    spaced = re.sub("([a-z])([A-Z])", r"\1 \2", name).lower()
+    return list(dict.fromkeys(t for t in re.split("[^a-z0-9]+", spaced) if t))
+
+
+def _strings(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
+def name_similarity(field: FieldSpec, key: Column, words: Column) -> Column:
+    """How well a column name, given as its key and its words, fits a field, 0 to 1."""
+    f, field_words = _key(field.name), _tokens(field.name)
+    shared = F.size(F.array_intersect(_strings(field_words), words)).cast("double")
     jaccard = F.coalesce(
-        F.try_divide(shared, F.size(F.array_union(field_words, column_words))), F.lit(0.0)
+        F.try_divide(shared, F.size(F.array_union(_strings(field_words), words))), F.lit(0.0)
     )
-    contained = (F.length(f) > 2) & (c != "") & (F.contains(c, f) | F.contains(f, c))
+    long_enough = F.lit(len(f) > 2)
+    contained = long_enough & (key != "") & (F.contains(key, F.lit(f)) | F.contains(F.lit(f), key))
     return (
-        F.when(f == c, SAME_NAME)
-        .when(F.exists(synonyms, lambda s: name_key(s) == c), SYNONYM)
+        F.when(key == f, SAME_NAME)
+        .when(key.isin(*sorted({_key(s) for s in field.synonyms})), SYNONYM)
         .when(contained, CONTAINED)
         .when(jaccard >= SHARED_WORDS_FROM, SHARED_WORDS_BASE + SHARED_WORDS_WEIGHT * jaccard)
         .otherwise(0.0)
     )
 
 
-def _fields_of(entity: Column, entities: tuple[EntitySpec, ...]) -> Column:
-    """The fields of a named entity as a constant array; null for other names."""
+def _scores(entity: Column, key: Column, words: Column, entities: tuple[EntitySpec, ...]) -> Column:
+    """The scores of a heading for every field of its entity; null for other entities."""
     out = F.when(F.lit(False), F.lit(None))
     for e in entities:
         fields = [
             F.struct(
                 F.lit(pos).alias("field_pos"),
                 F.lit(f.name).alias("target_field"),
-                F.array(*[F.lit(s) for s in f.synonyms]).cast("array<string>").alias("synonyms"),
+                name_similarity(f, key, words).alias("score"),
             )
             for pos, f in enumerate(e.fields)
         ]
@@ -69,26 +86,24 @@ def score_columns(
 ) -> DataFrame:
     """Every column of a dataset scored against every field of its entity.
 
-    A score depends on the names only, and the same headings come back in many
-    datasets, so each distinct heading is scored once.
+    Field names and synonyms are constants of the configuration, so a heading is
+    scored where it stands: no join and no shuffle.
     """
-    scored = (
-        columns.select("entity", "column")
-        .distinct()
-        .select("entity", "column", F.inline(_fields_of(F.col("entity"), entities)))
-        .select(
-            "entity",
-            "column",
-            "field_pos",
-            "target_field",
-            name_similarity(
-                F.col("target_field"), F.col("column"), F.col("synonyms")
-            ).alias("score"),
-        )
-    )
-    return columns.join(scored, ["entity", "column"]).select(
-        "dataset_id", "entity", "field_pos", "target_field", "col_pos", "column", "score"
+    keyed = columns.select(
+        "dataset_id",
+        "entity",
+        "col_pos",
+        "column",
+        name_key(F.col("column")).alias("key"),
+        name_tokens(F.col("column")).alias("words"),
     )
+    return keyed.select(
+        "dataset_id",
+        "entity",
+        "col_pos",
+        "column",
+        F.inline(_scores(F.col("entity"), F.col("key"), F.col("words"), entities)),
+    ).select("dataset_id", "entity", "field_pos", "target_field", "col_pos", "column", "score")
 
 
 def suggest_mappings(
@@ -96,17 +111,12 @@ def suggest_mappings(
 ) -> DataFrame:
     """The suggested source column of every field of every dataset.
 
-    ``columns`` holds (dataset_id, entity, col_pos, column), positions counting
-    from 0. Each field picks its best column, the earliest on a tie. Of the
+    ``columns`` holds (dataset_id, entity, col_pos, column). Each field picks its best column, the earliest on a tie. Of the
     fields that picked the same column the best scoring one gets it (the
     earlier field on a tie); the others stay unmapped.
     """
-    # Pairs that do not fit are left out, but for those of the first column:
-    # they give every field its row.
-    pairs = score_columns(columns, entities).filter(
-        (F.col("score") > 0) | (F.col("col_pos") == 0)
-    )
-    # A maximum, so that it is combined before the shuffle.
+    # A maximum, so that all pairs of a field are one row per task before the shuffle.
+    pairs = score_columns(columns, entities)
     best = (
         pairs.groupBy("dataset_id", "entity", "field_pos", "target_field")
         .agg(F.max(F.struct("score", (-F.col("col_pos")).alias("rank"), "column")).alias("best"))
@@ -132,17 +142,26 @@ def suggest_mappings(
     )
 
 
-def apply_overrides(mappings: DataFrame, overrides: DataFrame) -> DataFrame:
+def apply_overrides(
+    mappings: DataFrame, overrides: DataFrame, order_col: str | None = None
+) -> DataFrame:
     """Replace suggestions by hand-made choices.
 
-    ``overrides`` holds (dataset_id, target_field, source_column), at most one
-    row per field; a null source column unmaps the field.
+    ``overrides`` holds (dataset_id, target_field, source_column); a null source
+    column unmaps the field. If a field is overridden more than once, the row
+    with the largest ``order_col`` counts; without such a column that is an
+    error.
     """
-    chosen = overrides.select(
-        "dataset_id",
-        "target_field",
-        F.col("source_column").alias("chosen"),
-        F.lit(True).alias("by_hand"),
+    source = F.col("source_column")
+    if order_col:
+        last = F.max_by(F.struct(source), F.col(order_col))["source_column"]
+    else:
+        twice = F.concat(F.lit("several overrides of "), F.first("target_field"))
+        last = F.when(F.count(F.lit(1)) > 1, F.raise_error(twice).cast("string")).otherwise(
+            F.first(source)
+        )
+    chosen = overrides.groupBy("dataset_id", "target_field").agg(
+        last.alias("chosen"), F.lit(True).alias("by_hand")
     )
     by_hand = F.col("by_hand").isNotNull()
     return mappings.join(chosen, ["dataset_id", "target_field"], "left").select(

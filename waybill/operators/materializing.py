@@ -65,7 +65,7 @@ def flag_rows(
     df: DataFrame,
     mapping: dict[str, str | None],
     entity: EntitySpec,
-    dataset_id: str = "extract",
+    dataset_id: str | Column = "extract",
     order_col: str = ROW_INDEX,
 ) -> DataFrame:
     """Project a text table onto an entity, marking the rows that cannot be kept.
@@ -76,8 +76,10 @@ def flag_rows(
     streaming tables.
     """
     fields = entity.fields
+    dataset = F.lit(dataset_id) if isinstance(dataset_id, str) else dataset_id
     texts = df.select(
         named(order_col),
+        dataset.alias("dataset_id"),
         *[
             (
                 F.coalesce(named(mapping[f.name]).cast("string"), F.lit(""))
@@ -146,7 +148,7 @@ def flag_rows(
     raw_map = F.create_map(*[x for f in fields for x in (F.lit(f.name), F.col(raw(f)))])
     return typed.select(
         named(order_col),
-        F.lit(dataset_id).alias("dataset_id"),
+        "dataset_id",
         *[
             F.col(value(f)).alias(f.name, metadata={"comment": f.description})
             for f in fields
@@ -174,7 +176,8 @@ def records_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDE
             if f.drop_if_missing or f.type == "enum"
         ]
         kept = reduce(and_, present, F.lit(True))
-    return flagged.filter(kept).select(named(order_col), "dataset_id", *entity.field_names)
+    place = [c for c in ("dataset_pos",) if c in flagged.columns]
+    return flagged.filter(kept).select(named(order_col), "dataset_id", *place, *entity.field_names)
 
 
 def rejects_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDEX) -> DataFrame:
@@ -190,10 +193,21 @@ def rejects_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDE
     )
 
 
+def warnings_of(flagged: DataFrame, entity: EntitySpec, order_col: str = ROW_INDEX) -> DataFrame:
+    """Every warning, one row each: of which row, the how many-th of it, and its text."""
+    return flagged.filter(F.size("warnings") > 0).select(
+        named(order_col),
+        "dataset_id",
+        F.lit(entity.name).alias("entity"),
+        F.col(entity.key).alias("record_key"),
+        F.posexplode("warnings").alias("pos", "warning"),
+    )
+
+
 def report_of(
     flagged: DataFrame,
     entity: EntitySpec,
-    dataset_ids: str | Sequence[str] = "extract",
+    dataset_ids: str | Sequence[str] | DataFrame = "extract",
     order_col: str = ROW_INDEX,
 ) -> DataFrame:
     """One row per dataset: records kept, rows dropped, the first eight warnings.
@@ -203,8 +217,11 @@ def report_of(
     finds their indexes, and one aggregate of at most nine groups per dataset
     counts the rows before each.
     """
-    ids = [dataset_ids] if isinstance(dataset_ids, str) else list(dataset_ids)
-    listed = flagged.sparkSession.createDataFrame([(d,) for d in ids], "dataset_id string")
+    if isinstance(dataset_ids, DataFrame):
+        listed = dataset_ids
+    else:
+        ids = [dataset_ids] if isinstance(dataset_ids, str) else list(dataset_ids)
+        listed = flagged.sparkSession.createDataFrame([(d,) for d in ids], "dataset_id string")
     ix = named(order_col)
     rank = F.row_number().over(W.partitionBy("dataset_id").orderBy("ix", "pos", "text"))
     first_warnings = (
@@ -218,12 +235,12 @@ def report_of(
     )
     # How many of the warned rows a row comes after, or is.
     passed = F.coalesce(F.size(F.filter("marks", lambda m: m <= F.col("ix"))), F.lit(0))
-    # The broadcast side has one short row per dataset named by the caller.
+    # One short row per dataset; adaptive execution decides how to join it.
     counted = (
         flagged.select(
             "dataset_id", ix.alias("ix"), F.col("reject_reason").isNull().alias("kept")
         )
-        .join(F.broadcast(first_warnings.select("dataset_id", "marks")), "dataset_id", "left")
+        .join(first_warnings.select("dataset_id", "marks"), "dataset_id", "left")
         .select("dataset_id", passed.alias("passed"), "kept")
         .groupBy("dataset_id", "passed")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept"))

@@ -6,14 +6,14 @@ distinct values is staged and everything else is computed from it:
 * one aggregate per column gives counts, types and date formats;
 * samples, casing groups and typo pairs read only the columns they concern.
 
-No step gathers an unbounded group: per column at most four samples, three
-casing groups and 25 values for the typo check meet in one place.
+Per column at most four samples and 25 values for the typo check meet in one
+place, and the casings of three values. A value has as many casings as were
+written; ``max_casings`` bounds how many of them a finding lists.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -32,7 +32,6 @@ TYPO_MAX_EDITS = 2
 TYPO_PAIRS_SHOWN = 3
 BOOLEAN_WORDS = ("true", "false", "yes", "no", "y", "n", "1", "0")
 
-COLUMNS_PER_PASS = 64
 _SAMPLE_SLICES = 16
 
 
@@ -42,28 +41,22 @@ def column_values(
     """Every distinct value of every column: (pos, value, n, first_ix).
 
     The unpivot multiplies rows by columns inside a task only; values are
-    counted there before they are shuffled. Wide tables are read in several
-    passes over different columns.
+    counted there before they are shuffled. One pass, however wide the table.
     """
     df = with_row_index(df, order_col)
     names = list(columns or [c for c in df.columns if c != order_col])
     text = as_text(df, names, order_col)
 
-    def counted(start: int) -> DataFrame:
-        cells = F.array(
-            *[
-                F.struct(F.lit(i).alias("pos"), named(names[i]).alias("value"))
-                for i in range(start, min(start + COLUMNS_PER_PASS, len(names)))
-            ]
-        )
-        return (
-            text.select(named(order_col).cast("bigint").alias("ix"), F.inline(cells))
-            .groupBy("pos", "value")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("ix").alias("first_ix"))
-        )
-
-    return reduce(
-        DataFrame.unionByName, [counted(i) for i in range(0, len(names), COLUMNS_PER_PASS)]
+    cells = F.array(
+        *[
+            F.struct(F.lit(i).alias("pos"), named(name).alias("value"))
+            for i, name in enumerate(names)
+        ]
+    )
+    return (
+        text.select(named(order_col).cast("bigint").alias("ix"), F.inline(cells))
+        .groupBy("pos", "value")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("ix").alias("first_ix"))
     )
 
 
@@ -147,23 +140,36 @@ def _samples(values: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def _casing(values: DataFrame, string_columns: list[int]) -> DataFrame:
-    """Values written in several casings: the first three groups of each column."""
+def _casing(
+    values: DataFrame, string_columns: list[int], max_casings: int | None = None
+) -> DataFrame:
+    """Values written in several casings: the first three groups of each column.
+
+    Of each group the first ``max_casings`` spellings, or all.
+    """
     text = values.filter(F.col("pos").isin(string_columns) & (F.col("value") != "")).withColumn(
         "folded", F.lower("value")
     )
     rank = F.row_number().over(W.partitionBy("pos").orderBy("group_ix", "folded"))
     shown = (
         text.groupBy("pos", "folded")
-        .agg(F.count(F.lit(1)).alias("variants"), F.min("first_ix").alias("group_ix"))
-        .filter(F.col("variants") > 1)
+        # Values are distinct: the smallest and the largest differ if there are two.
+        .agg(
+            (F.min("value") != F.max("value")).alias("several"),
+            F.min("first_ix").alias("group_ix"),
+        )
+        .filter("several")
         .select("pos", "folded", rank.alias("rank"), "group_ix")
         .filter(F.col("rank") <= CASING_GROUPS_SHOWN)
         .select("pos", "folded", "rank")
     )
     # At most three rows per column of the table's schema.
+    spellings = text.join(F.broadcast(shown), ["pos", "folded"])
+    if max_casings is not None:
+        nth = F.row_number().over(W.partitionBy("pos", "rank").orderBy("first_ix", "value"))
+        spellings = spellings.withColumn("nth", nth).filter(F.col("nth") <= max_casings)
     variants = (
-        text.join(F.broadcast(shown), ["pos", "folded"])
+        spellings
         .groupBy("pos", "rank")
         .agg(F.array_sort(F.collect_list(F.struct("first_ix", "value"))).alias("v"))
         .select(
@@ -217,6 +223,7 @@ def profile(
     columns: Sequence[str] | None = None,
     order_col: str = ROW_INDEX,
     typo_min_length: int = 0,
+    max_casings: int | None = None,
 ) -> DataFrame:
     """One row per column, in column order (``pos``).
 
@@ -230,7 +237,7 @@ def profile(
     """
     spark = df.sparkSession
     names = list(columns or [c for c in df.columns if c != order_col])
-    values = stage(column_values(df, names, order_col), "column-values")
+    values = stage(column_values(df, names, order_col), "column-values", partition_by=["pos"])
 
     found = {r.pos: r for r in _column_stats(values).collect()}
     rows = []
@@ -279,7 +286,7 @@ def profile(
     )
     return (
         stats.join(F.broadcast(_samples(values, stats)), "pos", "left")
-        .join(F.broadcast(_casing(values, string_columns)), "pos", "left")
+        .join(F.broadcast(_casing(values, string_columns, max_casings)), "pos", "left")
         .join(F.broadcast(_typos(values, short_columns, typo_min_length)), "pos", "left")
         .select(
             "pos",

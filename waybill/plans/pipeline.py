@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,11 +16,13 @@ from ..operators.mapping import (
     suggest_mappings,
 )
 from ..operators.materializing import (
+    Materialized,
     flag_rows,
     record_totals,
     records_of,
     rejects_of,
     report_of,
+    warnings_of,
 )
 from ..operators.profiling import profile
 from ..sources.extracts import ROW_INDEX, named, with_row_index
@@ -27,18 +30,24 @@ from ..sources.sinks import write_flagged, write_table
 from ..sources.staging import new_staging_path, stage
 from .entities import FREIGHT, EntitySpec, entity_named
 
-# Room for row indexes of one extract when several feed the same entity.
-_INDEX_ROOM = 1 << 54
+# The place of an extract among those of its entity: rows follow each other by
+# this and then by the row index.
+EXTRACT_POS = "dataset_pos"
 
 
 @dataclass(frozen=True)
 class PipelineResult:
-    """``tables`` holds the records per entity; an entity without extract has none."""
+    """``tables`` holds the records per entity; an entity without extract has none.
+
+    ``report`` shows the first warnings of each dataset, ``warnings`` has all of
+    them, one row each.
+    """
 
     mappings: DataFrame
     tables: dict[str, DataFrame]
     rejects: DataFrame | None
     report: DataFrame | None
+    warnings: DataFrame | None = None
 
     @property
     def totals(self) -> DataFrame | None:
@@ -109,8 +118,16 @@ def run_pipeline(
     Every extract is read and parsed once: its checked rows are written, below
     ``output`` or else in the staging folder, and records, rejects and report
     all come from there. Extracts of the same entity follow each other in the
-    order given. Datasets without an entity are skipped.
+    order given: by ``dataset_pos``, then by the row index. Datasets without an
+    entity are skipped.
+
+    ``mode="append"`` adds a run below a folder of its own (``run=<id>``) and
+    returns that run only; ``ignore`` would return rows of an earlier run as
+    this one's and is refused.
     """
+    if mode == "ignore":
+        raise ValueError("mode 'ignore' would report the rows of an earlier run")
+    run = f"/run={uuid.uuid4().hex}" if mode == "append" else ""
     if not datasets:
         raise ValueError("no datasets given")
     for dataset_id, (df, _) in datasets.items():
@@ -124,6 +141,7 @@ def run_pipeline(
     tables: dict[str, DataFrame] = {}
     rejects: list[DataFrame] = []
     reports: list[DataFrame] = []
+    warnings: list[DataFrame] = []
     for entity in entities:
         ids = [d for d, (_, name) in datasets.items() if name == entity.name]
         if not ids:
@@ -132,11 +150,9 @@ def run_pipeline(
         for i, dataset_id in enumerate(ids):
             source = with_row_index(datasets[dataset_id][0], order_col)
             part = flag_rows(source, mapping[dataset_id], entity, dataset_id, order_col)
-            if i:
-                part = part.withColumn(order_col, named(order_col) + F.lit(i * _INDEX_ROOM))
-            parts.append(part)
+            parts.append(part.withColumn(EXTRACT_POS, F.lit(i)))
         path = (
-            f"{output.rstrip('/')}/{entity.name.lower()}"
+            f"{output.rstrip('/')}/{entity.name.lower()}{run}"
             if output
             else new_staging_path(spark, entity.name.lower())
         )
@@ -144,13 +160,46 @@ def run_pipeline(
         tables[entity.name] = records_of(flagged, entity, order_col)
         rejects.append(rejects_of(flagged, entity, order_col))
         reports.append(report_of(flagged, entity, ids, order_col))
+        warnings.append(warnings_of(flagged, entity, order_col))
     report = reduce(DataFrame.unionByName, reports) if reports else None
     if output and report is not None:
-        report = write_table(report, f"{output.rstrip('/')}/report", mode)
-        write_table(mappings, f"{output.rstrip('/')}/mappings", mode)
+        report = write_table(report, f"{output.rstrip('/')}/report{run}", mode)
+        write_table(mappings, f"{output.rstrip('/')}/mappings{run}", mode)
     return PipelineResult(
         mappings=mappings,
         tables=tables,
         rejects=reduce(DataFrame.unionByName, rejects) if rejects else None,
         report=report,
+        warnings=reduce(DataFrame.unionByName, warnings) if warnings else None,
+    )
+
+
+def materialize_many(
+    df: DataFrame,
+    dataset_col: str,
+    entity: EntitySpec,
+    overrides: dict[str, str | None] | None = None,
+    order_col: str = ROW_INDEX,
+) -> Materialized:
+    """Any number of extracts with the same headings, in one table and one pass.
+
+    ``dataset_col`` names each row's extract. One mapping serves all of them
+    (``overrides`` by target field), the rows are checked in one stage, and the
+    report has a row for each extract.
+    """
+    spark = df.sparkSession
+    headings = [c for c in df.columns if c not in (order_col, dataset_col)]
+    found = suggest_mappings(columns_table(spark, {"all": (headings, entity.name)}), (entity,))
+    mapping = mappings_by_dataset(found)["all"] | (overrides or {})
+    source = with_row_index(df, order_col)
+    flagged = write_flagged(
+        flag_rows(source, mapping, entity, named(dataset_col).cast("string"), order_col),
+        new_staging_path(spark, entity.name.lower()),
+    )
+    ids = flagged.select("dataset_id").distinct()
+    return Materialized(
+        flagged=flagged,
+        records=records_of(flagged, entity, order_col),
+        rejects=rejects_of(flagged, entity, order_col),
+        report=report_of(flagged, entity, ids, order_col),
     )

@@ -20,7 +20,7 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def staging_root(spark: SparkSession) -> str:
     """The folder for this application's staged tables."""
     application = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(
@@ -37,14 +37,30 @@ def new_staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once as parquet and return a DataFrame reading it back."""
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once as parquet and return a DataFrame reading it back.
+
+    With ``partition_by`` a filter on these columns reads only its folders.
+    """
     spark = df.sparkSession
     path = new_staging_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Delete the staged files that ``df`` reads; of other files nothing is touched."""
+    spark = df.sparkSession
+    root = staging_root(spark)
+    context = spark.sparkContext
+    for name in df.inputFiles():
+        at = name.find(root.removeprefix("file:").lstrip("/"))
+        if at >= 0:
+            path = context._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def clear_staged(spark: SparkSession) -> None:
     """Delete this application's staged tables; results read from them end too."""
     context = spark.sparkContext
