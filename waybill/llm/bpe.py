@@ -26,10 +26,13 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .words import quoted
 
@@ -38,6 +41,7 @@ CACHE = 300_000  # pieces kept by a Python worker
 CACHED_LENGTH = 64  # characters; longer pieces are not kept
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1
+ROWS = 256  # that a worker holds encoded or decoded at a time
 NEVER = 1 << 62  # the rank of a pair that is never joined
 
 # White space as the tokenizer's normaliser takes it.
@@ -89,7 +93,7 @@ class Bpe:
         self.inner = [self.ids[c] for c in alphabet]
         self.last = [self.ids[c + self.end] for c in alphabet]
         self.written_tokens = {str(i): t for i, t in self.tokens.items()}
-        self.kept: dict[str, tuple[str, int]] = {}
+        self.kept: dict[str, tuple[str, int, bytes]] = {}
         self.kept_pieces: dict[str, tuple[int, ...]] = {}
 
     def normalised(self, text: str) -> str:
@@ -108,21 +112,21 @@ class Bpe:
             _keep(self.kept_pieces, piece, found)
         return found
 
-    def _entry(self, word: str) -> tuple[str, int]:
-        """Of a stretch without white space: its ids in decimal, and their number."""
+    def _entry(self, word: str) -> tuple[str, int, bytes]:
+        """Of a stretch without white space: its ids in decimal, their number, and as int32."""
         ids = [i for piece in self.piece.findall(word) for i in self.merged(piece)]
-        entry = (" ".join(map(str, ids)), len(ids))
+        entry = _entry_of(ids)
         _keep(self.kept, word, entry)
         return entry
 
-    def entries(self, text: str) -> list[tuple[str, int]]:
+    def entries(self, text: str) -> list[tuple[str, int, bytes]]:
         """The text, white space left out, as stretches with their ids."""
         if self.cut and (parts := self.cut.split(text)) and len(parts) > 1:
             return [
                 e
                 for part in parts
                 for e in (
-                    [(str(self.special[part]), 1)]
+                    [_entry_of([self.special[part]])]
                     if part in self.special
                     else self._plain(part)
                 )
@@ -141,8 +145,9 @@ class Bpe:
         entries = self.entries(text)
         return sum([e[1] for e in entries]), " ".join([e[0] for e in entries])
 
-    def encode(self, text: str) -> list[int]:
-        return [int(i) for e in self.entries(text) for i in e[0].split()]
+    def encode(self, text: str) -> np.ndarray:
+        """The ids, 32 bits each."""
+        return np.frombuffer(b"".join([e[2] for e in self.entries(text)]), np.int32)
 
     def decode(self, ids) -> str:
         """Token texts with single spaces between, special tokens included."""
@@ -154,6 +159,10 @@ class Bpe:
         return " ".join(map(self.written_tokens.__getitem__, written.split()))
 
 
+def _entry_of(ids: list[int]) -> tuple[str, int, bytes]:
+    return " ".join(map(str, ids)), len(ids), np.array(ids, np.int32).tobytes()
+
+
 def _keep(cache: dict, key: str, value) -> None:
     if len(key) <= CACHED_LENGTH:
         if len(cache) >= CACHE:
@@ -218,19 +227,42 @@ def _bpe(shared) -> Bpe:
     return vocabulary["encoder"]
 
 
+def _with_column(docs: DataFrame, source: str, out: str, kind: T.DataType, make) -> DataFrame:
+    """``docs`` with a column made from another; a worker holds ``ROWS`` new values at a time."""
+    rest = [f for f in docs.schema.fields if f.name.lower() != out.lower()]
+    schema = T.StructType([*rest, T.StructField(out, kind)])
+    names = [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        build = make()
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                made = build(part.column(len(rest)))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], made], names=names)
+
+    # The source comes last, whatever the names of the others.
+    given = docs.select(*[quoted(f.name) for f in rest], quoted(source).alias("__source"))
+    return given.mapInArrow(run, schema)
+
+
 def encode(
     docs: DataFrame, text_col: str = "text", out_col: str = "ids", path: str | None = None
 ) -> DataFrame:
     """``docs`` with the ids of each text as an array of ints."""
     shared = _vocabulary(docs.sparkSession, path)
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make():
         bpe = _bpe(shared)
-        for batch in texts:
-            yield pd.Series([bpe.encode(t or "") for t in batch])
 
-    return docs.withColumn(out_col, ids(quoted(text_col)))
+        def ids(texts: pa.Array) -> pa.Array:
+            rows = [bpe.encode(t or "") for t in texts.to_pylist()]
+            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            return pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *rows]))
+
+        return ids
+
+    return _with_column(docs, text_col, out_col, T.ArrayType(T.IntegerType()), make)
 
 
 def decode(
@@ -239,13 +271,17 @@ def decode(
     """``docs`` with the text of each array of ids; null for null."""
     shared = _vocabulary(docs.sparkSession, path)
 
-    @F.pandas_udf("string")
-    def text(arrays: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make():
         bpe = _bpe(shared)
-        for batch in arrays:
-            yield pd.Series([None if a is None else bpe.decode(a.tolist()) for a in batch])
 
-    return docs.withColumn(out_col, text(quoted(ids_col)))
+        def texts(arrays: pa.Array) -> pa.Array:
+            return pa.array(
+                [None if a is None else bpe.decode(a) for a in arrays.to_pylist()], pa.string()
+            )
+
+        return texts
+
+    return _with_column(docs, ids_col, out_col, T.StringType(), make)
 
 
 def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
