@@ -87,6 +87,21 @@ def read_csv_split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.read_extract(spark, path, multi_line=False).drop("_ix")
 
 
+def read_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sets of files whose headers differ in order, number and names."""
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), "c_mktsegment"
+    )
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_acctbal").alias("balance"),
+        F.format_string("%s, of\n%d", "s_name", "s_nationkey").alias("name"),
+        F.col("s_suppkey").alias("key"),
+        F.lit("x").alias("more"),
+    )
+    paths = [_write_csv(customers, "mixed-csv"), _write_csv(suppliers, "mixed-csv")]
+    return w.read_extract(spark, paths).drop("_ix")
+
+
 def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("_ix", F.col("o_orderkey"))
     return w.preview(w.as_text(orders))
@@ -105,8 +120,9 @@ def dataset_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- profiling
 
 
-def _shown(profile: DataFrame) -> DataFrame:
+def _shown(profile: DataFrame, *more: str) -> DataFrame:
     return profile.select(
+        *more,
         "pos",
         "name",
         "inferred_type",
@@ -132,6 +148,34 @@ def _messy_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.profile(shipment_extract(spark, sf_dir))
 
 
+def _profile_shown_of(df: DataFrame, key: str) -> DataFrame:
+    return _shown(w.profile(df.withColumn("_ix", F.col(key)), columns=df.columns))
+
+
+def profile_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table with its columns side by side fifteen times."""
+    customers = table(spark, sf_dir, "customer")
+    wide = customers.select(
+        *[F.col(c).alias(f"{c}_{i}") for i in range(15) for c in customers.columns]
+    )
+    return _profile_shown_of(wide, "c_custkey_0")
+
+
+def profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profiles of two datasets in one table."""
+    found = w.profile_all(
+        {
+            "orders": (_with_ix(table(spark, sf_dir, "orders"), "o_orderkey"), None),
+            "customers": (_with_ix(table(spark, sf_dir, "customer"), "c_custkey"), None),
+        }
+    )
+    return _shown(found, "dataset_id")
+
+
+def _with_ix(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn("_ix", F.col(key))
+
+
 def _finding(prefix: str, name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         issue = F.explode("issues").alias("issue")
@@ -156,6 +200,23 @@ def _overridden(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.apply_overrides(_suggested(spark, sf_dir), mapping_overrides(spark, sf_dir))
 
 
+def field_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target fields, with how many of the customers' headings name each exactly."""
+    fields = w.fields_table(spark)
+    exact = (
+        score_columns(column_catalogue(spark, sf_dir))
+        .filter(F.col("score") == 1.0)
+        .groupBy("entity", "target_field")
+        .agg(F.count(F.lit(1)).alias("named"))
+    )
+    return fields.join(exact, ["entity", "target_field"], "left").select(
+        "entity", "field_pos", "target_field", "label", "type", "required", "description",
+        F.array_join("enum_values", "|").alias("enum_values"),
+        F.array_join("synonyms", "|").alias("synonyms"),
+        F.coalesce("named", F.lit(0)).cast("bigint").alias("named"),
+    )
+
+
 def column_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         score_columns(column_catalogue(spark, sf_dir))
@@ -292,6 +353,44 @@ def _run(spark: SparkSession, sf_dir: str) -> w.PipelineResult:
     )
 
 
+def many_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One extract per customer, all of one entity, checked in one pass."""
+    sites = facility_extract(spark, sf_dir).withColumn(
+        "extract", F.format_string("extract-%d", "_ix")
+    )
+    return w.materialize_many(sites, "extract", w.FACILITY).report.select(
+        "dataset_id", "records", "dropped"
+    )
+
+
+def all_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir).warnings.select("dataset_id", "entity", "_ix", "warning")
+
+
+def write_modelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs appended to one folder; what the folder holds of both."""
+    output = new_staging_path(spark, "modelled")
+    for planted_rows in (True, False):
+        w.run_pipeline(
+            {"shipments": (shipment_extract(spark, sf_dir, planted_rows), "Shipment")},
+            output=output,
+            mode="append",
+        )
+    n = F.count(F.lit(1)).alias("n")
+    rows = spark.read.parquet(f"{output}/shipment")
+    report = spark.read.parquet(f"{output}/report")
+    mappings = spark.read.parquet(f"{output}/mappings")
+    parts = [
+        rows.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("part")).agg(n),
+        report.select(F.lit("reported records").alias("part"), F.col("records").alias("n")),
+        mappings.where("source_column is not null").groupBy(F.lit("mapped").alias("part")).agg(n),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def end_to_end_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the messy extract to the key figures, with a suggested mapping."""
     result = w.run_pipeline({"shipments": (shipment_extract(spark, sf_dir), "Shipment")})
@@ -335,11 +434,15 @@ def queries() -> dict[str, Query]:
         "read_csv_extract": read_csv_extract,
         "read_csv_documents": read_csv_documents,
         "read_csv_split_files": read_csv_split_files,
+        "read_csv_mixed_headers": read_csv_mixed_headers,
         "preview_rows": preview_rows,
         "dataset_summary": dataset_summary,
         "profile_orders": _profile_table("orders", "o_orderkey"),
         "profile_events": _profile_table("events", "event_id"),
         "profile_customers": _profile_table("customer", "c_custkey"),
+        "profile_documents": _profile_table("documents", "doc_id"),
+        "profile_wide": profile_wide,
+        "profile_all": profile_all,
         "profile_dirty_shipments": lambda s, d: _shown(_messy_profile(s, d)),
         "profile_samples": lambda s, d: _messy_profile(s, d).select(
             "name", F.array_join("samples", "|").alias("samples")
@@ -347,6 +450,7 @@ def queries() -> dict[str, Query]:
         "profile_casing": _finding("Inconsistent casing: ", "casing"),
         "profile_typos": _finding("Possible typos: ", "typos"),
         "profile_issue_total": lambda s, d: w.issue_total(_messy_profile(s, d)),
+        "field_catalogue": field_catalogue,
         "column_scores": column_scores,
         "suggest_mappings": _suggested,
         "mapping_overrides": _overridden,
@@ -369,6 +473,9 @@ def queries() -> dict[str, Query]:
         "materialize_report": lambda s, d: _report_shown(planted(s, d).report),
         "materialize_union": lambda s, d: _run(s, d).tables["Shipment"],
         "modelled_report": lambda s, d: _report_shown(_run(s, d).report),
+        "many_extracts": many_extracts,
+        "all_warnings": all_warnings,
+        "write_modelled": write_modelled,
         "record_totals": lambda s, d: _run(s, d).totals,
         "reference_date": lambda s, d: w.reference_date(shipments(s, d)),
         "delayed_flag": lambda s, d: w.with_delivery_flags(shipments(s, d)).select(

@@ -198,3 +198,35 @@ def test_number_text(spark, x, text):
 )
 def test_money_text(spark, x, text):
     assert spark.range(1).select(fn.money_text(F.lit(x)).alias("o")).first().o == text
+
+
+@pytest.mark.parametrize(
+    ("values", "total"),
+    [
+        ([3e-11] * 1000, 3e-8),
+        ([1e17, 1.5, -1e17], 1.5),
+        ([1e30, -1e30, 0.001], 0.001),
+        ([-3.0, 0.25], -2.75),
+        ([-0.5, -0.25, None], -0.75),
+        ([0.1] * 10, 1.0),
+        ([None], 0.0),
+        ([1e36, 1.0], 1e36),
+    ],
+)
+def test_exact_sums(spark, values, total):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    assert df.agg(fn.exact_sum(F.col("v")).alias("s")).first().s == total
+
+
+def test_numbers_of_any_length(spark):
+    texts = ["1" + "0" * 308, "9" * 400, "-" + "9" * 400, "0" * 500 + "7", "$" + "1," * 3 + "5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.n for r in df.select(fn.parse_number(F.col("t")).alias("n")).collect()]
+    assert got == [1e308, None, None, 7.0, 1115.0]
+
+
+def test_rounding_of_large_numbers(spark):
+    for x in (9.1e13 + 0.015, 5e14 + 0.25, 1e20, -1e20):
+        row = spark.range(1).select(fn.half_up(F.lit(x), 2).alias("o")).first()
+        want = x * 100 / 100 if abs(x * 100) >= 9e15 else __import__("math").floor(x * 100 + 0.5) / 100
+        assert row.o == want

@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 from waybill import apply_overrides, columns_table, mapping_of, mapping_status, suggest_mappings
+from waybill import functions as fn
 from waybill.operators.mapping import name_similarity
+from waybill.plans.entities import FieldSpec
 
 
 def suggested(spark, columns, entity="Shipment"):
@@ -9,34 +11,53 @@ def suggested(spark, columns, entity="Shipment"):
     return {r.target_field: (r.source_column, r.confidence) for r in rows.collect()}
 
 
-def test_shipment_headings(spark):
+def test_headings_of_every_kind(spark):
     got = suggested(spark, [
-        "ShipmentID", "origin", "Destination", "pickup_date", "PromisedDate", "DeliveryDate",
-        "carrier_name", "Status", "Weight_lbs", "Cost_USD", "miles",
+        "ship_id", "ORIGIN", "To", "Pickup Date", "due date", "actual delivery", "scac",
+        "current status", "gross weight lbs", "amount", "MILES",
     ])
     assert got == {
-        "id": ("ShipmentID", 0.95), "origin": ("origin", 1.0),
-        "destination": ("Destination", 1.0), "pickup_date": ("pickup_date", 1.0),
-        "promised_date": ("PromisedDate", 1.0), "delivery_date": ("DeliveryDate", 1.0),
-        "carrier": ("carrier_name", 0.95), "status": ("Status", 1.0),
-        "weight_lbs": ("Weight_lbs", 1.0), "cost_usd": ("Cost_USD", 1.0),
-        "miles": ("miles", 1.0),
+        "id": ("ship_id", 0.95), "origin": ("ORIGIN", 1.0), "destination": ("To", 0.95),
+        "pickup_date": ("Pickup Date", 1.0), "promised_date": ("due date", 0.95),
+        "delivery_date": ("actual delivery", 0.95), "carrier": ("scac", 0.95),
+        "status": ("current status", 0.85), "weight_lbs": ("gross weight lbs", 0.85),
+        "cost_usd": ("amount", 0.95), "miles": ("MILES", 1.0),
     }
 
 
-def test_carrier_and_facility_headings(spark):
-    assert suggested(
-        spark, ["carrier_id", "CarrierName", "mc_number", "fleet_size", "on_time_pct"], "Carrier"
-    ) == {
-        "id": ("carrier_id", 0.95), "name": ("CarrierName", 0.95), "mc_number": ("mc_number", 1.0),
-        "fleet_size": ("fleet_size", 1.0), "on_time_pct": ("on_time_pct", 1.0),
-    }
-    assert suggested(
-        spark, ["facility_code", "City", "State", "type", "capacity_pallets"], "Facility"
-    ) == {
-        "code": ("facility_code", 0.95), "city": ("City", 1.0), "state": ("State", 1.0),
-        "kind": ("type", 0.95), "capacity_pallets": ("capacity_pallets", 1.0),
-    }
+def test_headings_of_other_entities(spark):
+    got = suggested(spark, ["NAME", "Mc-Number", "size of fleet"], "Carrier")
+    assert (got["name"], got["mc_number"]) == (("NAME", 1.0), ("Mc-Number", 1.0))
+    assert got["fleet_size"][0] == "size of fleet"
+    got = suggested(spark, ["province", "site code", "CITY"], "Facility")
+    assert (got["state"], got["code"], got["city"]) == (
+        ("province", 0.95), ("site code", 0.85), ("CITY", 1.0)
+    )
+
+
+def test_positions_may_start_anywhere(spark):
+    columns = columns_table(spark, {"d": (["xx", "City"], "Facility")})
+    shifted = columns.withColumn("col_pos", F.col("col_pos") + 7).filter("column = 'City'")
+    rows = suggest_mappings(shifted).collect()
+    assert len(rows) == 5 and {r.source_column for r in rows} == {"City", None}
+
+
+def test_scoring_is_one_shuffle_before_the_claims(spark):
+    plan = suggest_mappings(columns_table(spark, {"d": (["City"], "Facility")}))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_two_overrides_of_a_field(spark):
+    mappings = suggest_mappings(columns_table(spark, {"d": (["id", "City"], "Facility")}))
+    overrides = spark.createDataFrame(
+        [("d", "kind", "City", 1), ("d", "kind", "id", 2)],
+        "dataset_id string, target_field string, source_column string, at int",
+    )
+    with pytest.raises(Exception, match="several overrides of kind"):
+        apply_overrides(mappings, overrides).collect()
+    final = apply_overrides(mappings, overrides, order_col="at")
+    assert final.count() == 5 and mapping_of(final, "d")["kind"] == "id"
 
 
 @pytest.mark.parametrize(
@@ -55,8 +76,10 @@ def test_carrier_and_facility_headings(spark):
     ],
 )
 def test_similarity(spark, field, column, synonyms, score):
-    df = spark.createDataFrame([(field, column, synonyms)], "f string, c string, s array<string>")
-    got = df.select(name_similarity(F.col("f"), F.col("c"), F.col("s")).alias("x")).first().x
+    df = spark.createDataFrame([(column,)], "c string")
+    spec = FieldSpec(field, field, synonyms=tuple(synonyms))
+    key, words = fn.name_key(F.col("c")), fn.name_tokens(F.col("c"))
+    got = df.select(name_similarity(spec, key, words).alias("x")).first().x
     assert got == pytest.approx(score, abs=1e-12)
 
 

@@ -37,16 +37,16 @@ def ids(df, column="id"):
 
 def test_profile_findings(datasets):
     p = {r.name: r for r in w.profile(datasets["shipments"][0]).collect()}
-    assert p["pickup_date"].inferred_type == "string"
-    assert p["PromisedDate"].date_formats == ["ISO", "US", "Long", "D-Mon-Y"]
-    assert p["origin"].issues[0] == (
+    assert p["Pickup"].inferred_type == "string"
+    assert p["promised"].date_formats == ["ISO", "US", "Long", "D-Mon-Y"]
+    assert p["Origin City"].issues[0] == (
         'Inconsistent casing: "Dayton" vs "dayton", "TULSA" vs "Tulsa"'
     )
-    assert p["Status"].issues[0].startswith('Inconsistent casing: "delivered" vs "Delivered"')
-    assert p["Cost_USD"].issues == [
+    assert p["Shipment Status"].issues[0].startswith('Inconsistent casing: "delivered" vs "Delivered"')
+    assert p["Cost USD"].issues == [
         "Numeric values contain currency symbols or thousands separators"
     ]
-    assert p["DeliveryDate"].issues[0] == "High null rate — 67% of values are empty"
+    assert p["Delivered Date"].issues[0] == "High null rate — 67% of values are empty"
 
 
 def test_every_column_is_mapped(result):
@@ -71,11 +71,11 @@ def test_records(shipments):
 
 
 def test_carriers_and_facilities(result):
-    assert [tuple(r)[2:] for r in result.tables["Carrier"].orderBy("_ix").collect()] == [
+    assert [tuple(r)[3:] for r in result.tables["Carrier"].orderBy("_ix").collect()] == [
         ("C-1", "Red Fox Lines", "MC-1", 1200.0, 96.4),
         ("C-3", "Heron Freight", "MC-3", None, 88.5),
     ]
-    assert [tuple(r)[2:] for r in result.tables["Facility"].orderBy("_ix").collect()] == [
+    assert [tuple(r)[3:] for r in result.tables["Facility"].orderBy("_ix").collect()] == [
         ("DAY-1", "Dayton", "OH", "cross_dock", 12000.0),
         ("STP-1", "St. Paul", "MN", "warehouse", None),
     ]
@@ -128,7 +128,7 @@ def test_lazy_form_gives_the_same(datasets, result, shipments):
     )
     lazy = w.split_flagged(flagged, w.SHIPMENT, "shipments")
     assert sorted(map(tuple, lazy.records.collect()), key=str) == sorted(
-        map(tuple, shipments.collect()), key=str
+        map(tuple, shipments.drop("dataset_pos").collect()), key=str
     )
     assert lazy.report.first().warnings == result.report.filter("entity = 'Shipment'").first().warnings
 
@@ -153,11 +153,50 @@ def test_output_folder(spark, datasets, tmp_path):
         w.run_pipeline(datasets, output=out)
 
 
+def test_appended_runs_are_counted_apart(spark, datasets, tmp_path):
+    out = str(tmp_path / "out")
+    for n in (1, 2):
+        got = w.run_pipeline({"shipments": datasets["shipments"]}, output=out, mode="append")
+        assert [r.records for r in got.report.collect()] == [8]
+        assert got.tables["Shipment"].count() == 8
+        assert spark.read.parquet(f"{out}/shipment").where("accepted = 'true'").count() == 8 * n
+        assert spark.read.parquet(f"{out}/report").count() == n
+    with pytest.raises(ValueError, match="ignore"):
+        w.run_pipeline(datasets, output=out, mode="ignore")
+
+
+def test_large_row_indexes_do_not_mix_extracts(spark):
+    rows = [(2 * 10**18 + i, f"k{i}") for i in range(3)]
+    frame = spark.createDataFrame(rows, "_ix bigint, code string").selectExpr("*", "'Omaha' as city")
+    got = w.run_pipeline({f"e{i}": (frame, "Facility") for i in range(3)})
+    rows = got.tables["Facility"].orderBy("dataset_pos", "_ix").collect()
+    assert [(r.dataset_id, r.code) for r in rows] == [
+        (f"e{i}", f"k{j}") for i in range(3) for j in range(3)
+    ]
+
+
+def test_all_warnings_can_be_read(datasets):
+    frame = datasets["shipments"][0]
+    many = frame.unionAll(frame).unionAll(frame).unionAll(frame).unionAll(frame)
+    got = w.run_pipeline({"shipments": (many.drop("_ix"), "Shipment")})
+    assert len(got.report.first().warnings) == 8
+    assert got.warnings.count() == 10
+
+
+def test_many_extracts_in_one_table(spark):
+    rows = [(i, f"e{i % 700}", f"k{i}", "" if i % 7 == 0 else "tulsa") for i in range(1400)]
+    df = spark.createDataFrame(rows, "_ix bigint, extract string, code string, city string")
+    got = w.materialize_many(df, "extract", w.FACILITY)
+    report = {r.dataset_id: (r.records, r.dropped) for r in got.report.collect()}
+    assert len(report) == 700 and all(sum(v) == 2 for v in report.values())
+    assert got.records.count() == 1200 and {r.city for r in got.records.collect()} == {"Tulsa"}
+
+
 def test_two_extracts_of_one_entity_and_one_without(spark, datasets):
     frame = datasets["shipments"][0]
     got = w.run_pipeline({"a": (frame, "Shipment"), "b": (frame, "Shipment"), "c": (frame, None)})
     t = got.tables["Shipment"]
-    assert [r.dataset_id for r in t.orderBy("_ix").collect()] == ["a"] * 8 + ["b"] * 8
+    assert [r.dataset_id for r in t.orderBy("dataset_pos", "_ix").collect()] == ["a"] * 8 + ["b"] * 8
     warnings = {r.dataset_id: r.warnings for r in got.report.collect()}
     assert warnings["a"] == warnings["b"]
     assert list(got.tables) == ["Shipment"]
@@ -165,7 +204,7 @@ def test_two_extracts_of_one_entity_and_one_without(spark, datasets):
 
 def test_overrides_reach_the_tables(spark, datasets):
     overrides = spark.createDataFrame(
-        [("carriers", "mc_number", "CarrierName"), ("carriers", "fleet_size", None)],
+        [("carriers", "mc_number", "Name"), ("carriers", "fleet_size", None)],
         "dataset_id string, target_field string, source_column string",
     )
     got = w.run_pipeline({"carriers": datasets["carriers"]}, overrides)
@@ -316,7 +355,7 @@ def test_unknown_question(shipments):
     a = w.ask("What is the meaning of life?", shipments)
     assert a.intent == "unknown"
     assert a.table.count() == 6
-    assert a.text.startswith("I can answer")
+    assert a.text.startswith("This question is about something")
 
 
 def test_rank_without_active_carriers(shipments):

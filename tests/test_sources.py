@@ -1,5 +1,5 @@
 import pytest
-from waybill.sources import as_text, clear_staged, preview, read_extract, stage, staging_root
+from waybill.sources import as_text, clear_staged, drop_staged, preview, read_extract, stage, staging_root
 from waybill.sources import staging
 
 
@@ -14,14 +14,14 @@ def rows(df):
 
 
 def test_quotes_and_commas(spark, tmp_path):
-    df = read_extract(spark, write(tmp_path, 'a,b\n1,"$1,780.50"\n2,plain'))
-    assert df.columns == ["a", "b", "_ix"]
-    assert rows(df) == [("1", "$1,780.50"), ("2", "plain")]
+    df = read_extract(spark, write(tmp_path, 'key,note\n77,"left, then right"\n78,straight'))
+    assert df.columns == ["key", "note", "_ix"]
+    assert rows(df) == [("77", "left, then right"), ("78", "straight")]
 
 
 def test_doubled_quotes_and_line_breaks(spark, tmp_path):
-    df = read_extract(spark, write(tmp_path, 'a,b\n"say ""hi""","two\nlines"\n'))
-    assert rows(df) == [('say "hi"', "two\nlines")]
+    df = read_extract(spark, write(tmp_path, 'p,q\n"a ""quoted"" word","first\nsecond\nthird"\n'))
+    assert rows(df) == [('a "quoted" word', "first\nsecond\nthird")]
 
 
 @pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
@@ -58,6 +58,17 @@ def test_no_columns_is_an_error(spark, tmp_path):
         read_extract(spark, write(tmp_path, "\n\n"))
 
 
+def test_every_file_has_its_own_header(spark, tmp_path):
+    write(tmp_path, "id,city,cost\n1,Boise,5\n", "a.csv")
+    write(tmp_path, '\n"cost" , id ,city,extra\n9,4,"Day\nton",zz\n', "b.csv")
+    write(tmp_path, "", "empty.csv")
+    write(tmp_path, "id,city,cost\n2,Omaha,\n", "c [1] %20.csv")
+    df = read_extract(spark, str(tmp_path))
+    got = {tuple(r[c] for c in ("id", "city", "cost", "extra")) for r in df.collect()}
+    assert got == {("1", "Boise", "5", ""), ("4", "Day\nton", "9", "zz"), ("2", "Omaha", "", "")}
+    assert df.select("_ix").distinct().count() == 3
+
+
 def test_row_order_of_a_split_file(spark, tmp_path):
     n = 5000
     path = write(tmp_path, "k,v\n" + "".join(f"{i},{'x' * 40}\n" for i in range(n)))
@@ -102,6 +113,10 @@ class FakeSession:
         applicationId = "app-1"
         master = "local[2]"
 
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
 
 def test_without_a_shared_folder_only_local_sessions_stage(monkeypatch):
     session = FakeSession()
@@ -111,6 +126,14 @@ def test_without_a_shared_folder_only_local_sessions_stage(monkeypatch):
         staging_root(session)
 
 
+def test_one_staged_table_can_be_dropped(spark):
+    gone, kept = stage(spark.range(3), "t"), stage(spark.range(4), "t")
+    drop_staged(gone)
+    assert kept.count() == 4
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        gone.collect()
+
+
 def test_clearing_staged_tables(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "staging_root", lambda s: str(tmp_path / "mine"))
     stage(spark.range(3), "t")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,14 +35,55 @@ def named(name: str) -> Column:
     return F.col(quoted(name))
 
 
-def _header(spark: SparkSession, paths, multi_line: bool) -> list[str]:
-    first = (
-        spark.read.options(**_CSV_OPTIONS, header=False, multiLine=multi_line).csv(paths).first()
+def _names(values) -> tuple[str, ...]:
+    names = [(v or "").strip(WIDE_SPACE) for v in values]
+    return tuple(name or f"_c{i}" for i, name in enumerate(names)) if any(names) else ()
+
+
+def _first_record(spark: SparkSession, paths, multi_line: bool) -> tuple[str, ...]:
+    options = _CSV_OPTIONS | {"header": False, "multiLine": multi_line}
+    first = spark.read.options(**options).csv(paths).first()
+    return _names(first) if first is not None else ()
+
+
+def _literal_path(uri: str) -> str:
+    """A file's address in a form that a reader takes as it stands."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def _headers(spark: SparkSession, paths, multi_line: bool) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header, found in one pass over the lines.
+
+    Each task keeps one line per file; the driver gets one row per file, as it
+    does when it lists them.
+    """
+    if len(spark.read.text(paths).inputFiles()) == 1:
+        return {names: paths} if (names := _first_record(spark, paths, multi_line)) else {}
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("place"),
     )
-    names = [(v or "").strip(WIDE_SPACE) for v in first] if first is not None else []
-    if not any(names):
-        raise ValueError(f"no columns found in {paths}")
-    return [name or f"_c{i}" for i, name in enumerate(names)]
+    firsts = (
+        lines.where(wide_trim(F.col("value")) != "")
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+        .orderBy("file")
+        .collect()
+    )
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in firsts:
+        path, line = _literal_path(r.file), r.header.lstrip("\ufeff")
+        if line.count('"') % 2:  # a heading with a line break
+            names = _first_record(spark, path, multi_line)
+        else:
+            names = _names(next(csv.reader([line], skipinitialspace=True)))
+        if names:
+            found.setdefault(names, []).append(path)
+    return found
 
 
 def read_extract(
@@ -48,17 +93,33 @@ def read_extract(
 ) -> DataFrame:
     """Read CSV files with a header row as trimmed text columns plus ``_ix``.
 
-    Blank values become ``''``; short rows are filled up, surplus fields are
-    dropped, and of two columns with the same name the last one counts.
-    ``_ix`` grows with the row order inside each file; files follow each other
-    in the order in which Spark scans them.
+    Every file is read by its own header: columns meet by name, and a file
+    without one of them gives ``''`` there. Blank values become ``''``; short
+    rows are filled up, surplus fields are dropped, and of two columns with the
+    same name the last one counts. ``_ix`` grows with the row order inside each
+    file; files with the same header follow each other in the order in which
+    Spark scans them.
 
     ``multi_line`` allows line breaks inside quotes, at the price of one task
     per file. Turn it off for large files without such breaks, so that they
     are split.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    names = _header(spark, paths, multi_line)
+    found = _headers(spark, paths, multi_line)
+    if not found:
+        raise ValueError(f"no columns found in {paths}")
+    parts = [_read_alike(spark, files, names, multi_line) for names, files in found.items()]
+    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return table.select(
+        *[F.coalesce(named(c), F.lit("")).alias(c) for c in table.columns],
+        F.monotonically_increasing_id().alias(ROW_INDEX),
+    )
+
+
+def _read_alike(
+    spark: SparkSession, paths, names: Sequence[str], multi_line: bool
+) -> DataFrame:
+    """Files with the same header as trimmed text columns."""
     raw = (
         spark.read.options(**_CSV_OPTIONS, header=True, enforceSchema=True, multiLine=multi_line)
         .schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]))
@@ -66,11 +127,7 @@ def read_extract(
     )
     last = {name: i for i, name in enumerate(names)}
     return raw.select(
-        *[
-            F.coalesce(wide_trim(F.col(f"_c{i}")), F.lit("")).alias(name)
-            for name, i in last.items()
-        ],
-        F.monotonically_increasing_id().alias(ROW_INDEX),
+        *[wide_trim(F.col(f"_c{i}")).alias(name) for name, i in last.items()]
     )
 
 
