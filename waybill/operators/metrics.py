@@ -211,8 +211,14 @@ def cost_by(df: DataFrame, key: str = "carrier", order_col: str = ROW_INDEX) ->
     )
 
 
-def known_places(df: DataFrame, order_col: str = ROW_INDEX) -> DataFrame:
-    """Every origin and destination once, in order of first appearance."""
+def known_places(
+    df: DataFrame, order_col: str = ROW_INDEX, ordered: bool = True
+) -> DataFrame:
+    """Every origin and destination once, in order of first appearance.
+
+    For looking places up, as ``classify_questions`` does, ``ordered=False``
+    spares the sort.
+    """
     ix = named(order_col)
     sides = F.array(
         F.struct(F.col("origin").alias("place"), F.lit(True).alias("is_origin")),
@@ -220,7 +226,7 @@ def known_places(df: DataFrame, order_col: str = ROW_INDEX) -> DataFrame:
     )
     first_as_origin = F.min(F.when(F.col("is_origin"), F.col("ix")))
     first_as_destination = F.min(F.when(~F.col("is_origin"), F.col("ix")))
-    return (
+    places = (
         df.select(ix.alias("ix"), F.inline(sides))
         .groupBy("place")
         .agg(first_as_origin.alias("o"), first_as_destination.alias("d"))
@@ -229,5 +235,5 @@ def known_places(df: DataFrame, order_col: str = ROW_INDEX) -> DataFrame:
             F.least("o", "d").alias("first_ix"),
             F.coalesce(F.col("o") <= F.col("d"), F.col("o").isNotNull()).alias("origin_first"),
         )
-        .orderBy("first_ix", F.desc("origin_first"), "place")
     )
+    return places.orderBy("first_ix", F.desc("origin_first"), "place") if ordered else places
