@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from .words import quoted
 
 SHORT = 96  # symbols; longer pieces are merged with a heap
-CACHE = 300_000  # pieces kept by a Python worker
+CACHE = 200_000  # words, and as many pieces, kept by a Python worker
 CACHED_LENGTH = 64  # characters; longer pieces are not kept
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1
@@ -223,14 +223,17 @@ def _bpe(shared) -> Bpe:
     """The encoder of this Python worker: kept beside the vocabulary that it was sent."""
     vocabulary = shared.value
     if "encoder" not in vocabulary:
-        vocabulary["encoder"] = Bpe(vocabulary)
+        encoder = Bpe(vocabulary)
+        vocabulary.clear()  # the encoder holds all that it needs of it
+        vocabulary["encoder"] = encoder
     return vocabulary["encoder"]
 
 
-def _with_column(docs: DataFrame, source: str, out: str, kind: T.DataType, make) -> DataFrame:
-    """``docs`` with a column made from another; a worker holds ``ROWS`` new values at a time."""
-    rest = [f for f in docs.schema.fields if f.name.lower() != out.lower()]
-    schema = T.StructType([*rest, T.StructField(out, kind)])
+def _with_columns(docs: DataFrame, source: str, added: list[T.StructField], make) -> DataFrame:
+    """``docs`` with columns made from one; a worker holds ``ROWS`` new values at a time."""
+    new = {f.name.lower() for f in added}
+    rest = [f for f in docs.schema.fields if f.name.lower() not in new]
+    schema = T.StructType([*rest, *added])
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +242,7 @@ def _with_column(docs: DataFrame, source: str, out: str, kind: T.DataType, make)
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
                 made = build(part.column(len(rest)))
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], made], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *made], names=names)
 
     # The source comes last, whatever the names of the others.
     given = docs.select(*[quoted(f.name) for f in rest], quoted(source).alias("__source"))
@@ -247,22 +250,36 @@ def _with_column(docs: DataFrame, source: str, out: str, kind: T.DataType, make)
 
 
 def encode(
-    docs: DataFrame, text_col: str = "text", out_col: str = "ids", path: str | None = None
+    docs: DataFrame,
+    text_col: str = "text",
+    out_col: str = "ids",
+    path: str | None = None,
+    digest_col: str | None = None,
 ) -> DataFrame:
-    """``docs`` with the ids of each text as an array of ints."""
+    """``docs`` with the ids of each text as an array of ints.
+
+    ``digest_col`` adds the SHA-256 of the text that is decoded from the ids.
+    """
     shared = _vocabulary(docs.sparkSession, path)
 
     def make():
         bpe = _bpe(shared)
 
-        def ids(texts: pa.Array) -> pa.Array:
+        def ids(texts: pa.Array) -> list[pa.Array]:
             rows = [bpe.encode(t or "") for t in texts.to_pylist()]
             ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            return pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *rows]))
+            flat = np.concatenate([np.empty(0, np.int32), *rows])
+            out = [pa.ListArray.from_arrays(ends, flat)]
+            if digest_col:
+                out.append(pa.array([_sha256(bpe.decode(r.tolist())) for r in rows], pa.string()))
+            return out
 
         return ids
 
-    return _with_column(docs, text_col, out_col, T.ArrayType(T.IntegerType()), make)
+    added = [T.StructField(out_col, T.ArrayType(T.IntegerType()))]
+    if digest_col:
+        added.append(T.StructField(digest_col, T.StringType()))
+    return _with_columns(docs, text_col, added, make)
 
 
 def decode(
@@ -274,14 +291,13 @@ def decode(
     def make():
         bpe = _bpe(shared)
 
-        def texts(arrays: pa.Array) -> pa.Array:
-            return pa.array(
-                [None if a is None else bpe.decode(a) for a in arrays.to_pylist()], pa.string()
-            )
+        def texts(arrays: pa.Array) -> list[pa.Array]:
+            rows = arrays.to_pylist()
+            return [pa.array([None if a is None else bpe.decode(a) for a in rows], pa.string())]
 
         return texts
 
-    return _with_column(docs, ids_col, out_col, T.StringType(), make)
+    return _with_columns(docs, ids_col, [T.StructField(out_col, T.StringType())], make)
 
 
 def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
