@@ -192,3 +192,25 @@ def test_pipeline_on_an_empty_table(spark):
     for _, work in corpus_pipeline.STAGES:
         docs = work(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_with_odd_rows(spark, docs_of):
+    """Nulls in any column, repeated rows, very long and empty texts, clashing columns."""
+    words = [f"w{i}" for i in range(3000)]
+    random.seed(8)
+    good = [" ".join(random.choices(words, k=80)) for _ in range(6)]
+    rows = [(i, t, "s") for i, t in enumerate(good)]
+    rows += [(0, good[0], "s"), (None, good[1] + " more", None), (20, None, None), (21, "", "t")]
+    rows += [(22, " ".join(random.choices(words, k=60_000)), "t"), (23, good[2], "t")]
+    docs = docs_of(rows)
+    kept = {}
+    for name, work in corpus_pipeline.STAGES:
+        before, docs = docs, work(spark, docs, SF)
+        if name != "bpe":
+            assert docs.columns == before.columns
+        kept[name] = sorted(str(r.doc_id) for r in docs.select("doc_id").collect())
+    assert kept["quality_rules"] == sorted(["0", "0", "1", "2", "3", "4", "5", "None", "22", "23"])
+    assert kept["line_dedup"] == kept["quality_rules"]
+    assert {"0", "2", "22"} <= set(kept["simhash_near_dedup"]) and "23" not in kept["simhash_near_dedup"]
+    assert kept["simhash_near_dedup"].count("0") == 1
+    assert set(kept["mixing"]) <= set(kept["simhash_near_dedup"]) and kept["bpe"] == kept["mixing"]
