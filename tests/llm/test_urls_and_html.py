@@ -4,7 +4,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from waybill.llm import html_extract, queries, url_templates
+from waybill.llm import html_extract, oracle, queries, url_templates
 
 RULES = queries.URL_RULES
 
@@ -144,3 +144,28 @@ def test_url_query(spark):
     assert len(rows) == 50
     assert all(r.rule == slow_rule(r.host, r.path) for r in rows)
     assert all(r.verdict == RULES[r.rule] for r in rows if r.rule)
+
+
+def test_templates_against_sql(spark, same, tmp_path):
+    """Random trees with variable segments, bad branches, deep paths and missing labels."""
+    random.seed(6)
+    rows, labels = [], []
+    for i in range(3000):
+        host = random.choice(["a.com", "a.com", "b.com", "c.org", "WWW.d.net"])
+        branch = random.choice(["news", "promo", "deadbeef01", "x"])
+        path = [branch, "".join(random.choices("bcdfghkmnp", k=5))]
+        path += random.choices(["p", "q7", "r"], k=random.choice([0, 1, 6]))
+        url = f"http://{host}/{'/'.join(path)}/{i}{random.choice(['', '.html', '/', '?a=b'])}"
+        rows.append((i, random.choice([url] * 30 + [None, "", f"x://{host}"]), "h"))
+        bad = branch == "promo" and host == "a.com" and random.random() < 0.9
+        if random.random() < 0.5:
+            labels.append((i, int(not bad), int(random.random() < 0.02)))
+    labels += [(1, 0, 0), (2, None, 0), (None, 1, 0)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    known.write.parquet(str(tmp_path / "labels.parquet"))
+    got = queries.op3_url_templates(spark, str(tmp_path))
+    same(got, oracle.OP3, pages=pages, labels=known)
+    assert {"block", "allow"} == {r.verdict for r in got.where("host = 'a.com'").collect()}
+    assert any("*" in r.template for r in got.collect())

@@ -128,6 +128,96 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM sizes GROUP BY conv_id
 """
 
+_LEVELS = 7  # six levels of segments and one wildcard for all below
+
+
+def _wildcards() -> str:
+    """Tables t1, t2, ...: variable segments of one level after the other become '*'."""
+    return ",".join(
+        f"""
+v{k} AS (
+  SELECT host, above FROM (
+    SELECT host, template[1:{k}] AS above, template[{k + 1}] AS child, sum(n) AS n
+    FROM t{k} WHERE len(template) > {k} GROUP BY ALL)
+  GROUP BY host, above HAVING count(*) > 20 AND count(*) * 10 > sum(n)
+), t{k + 1} AS (
+  SELECT t.host, t.shapes, t.n, t.labelled, t.good,
+    CASE WHEN v.host IS NOT NULL AND len(template) > {k}
+      THEN list_concat(template[1:{k}], ['*'], template[{k + 2}:]) ELSE template END AS template
+  FROM t{k} t LEFT JOIN v{k} v ON t.host = v.host AND t.template[1:{k}] = v.above
+)"""
+        for k in range(_LEVELS)
+    )
+
+
+OP3 = rf"""
+WITH labelled AS (
+  SELECT doc_id, min(CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality IS NOT NULL
+    AND toxic IS NOT NULL OR quality <> 1 OR toxic <> 0 THEN 0 END) AS good
+  FROM labels GROUP BY doc_id
+), rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_LOWER}) AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), shaped AS (
+  SELECT *, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x:
+      regexp_replace(regexp_replace(x, '(?i)\b[0-9a-f]{{8,}}\b', 'h', 'g'), '[0-9]+', '#', 'g'))
+      AS all_shapes,
+    try_cast(nullif(regexp_extract(path, '([0-9]+)(?:[.][a-z]+)?/?$', 1), '') AS BIGINT) AS number
+  FROM parts
+), work AS (
+  SELECT page_id, host, path, good,
+    CASE WHEN len(all_shapes) > 6 THEN list_append(all_shapes[1:6], '**') ELSE all_shapes END
+      AS shapes
+  FROM shaped LEFT JOIN labelled ON number = doc_id
+), t0 AS (
+  SELECT host, shapes, count(*) AS n, count(good) AS labelled, coalesce(sum(good), 0) AS good,
+    shapes AS template
+  FROM work GROUP BY host, shapes
+), {_wildcards()},
+ways AS (
+  SELECT host, shapes, template[1:d] AS node, labelled, good
+  FROM (SELECT *, unnest(range(0, len(template) + 1)) AS d FROM t{_LEVELS})
+), nodes AS (
+  SELECT host, node, sum(labelled)::BIGINT AS labelled, sum(good)::BIGINT AS good
+  FROM ways GROUP BY host, node
+), prior AS (
+  SELECT coalesce(CASE WHEN sum(labelled) > 0 THEN sum(good)::DOUBLE / sum(labelled) END, 1e0) AS p
+  FROM nodes WHERE len(node) = 0
+), apart AS (
+  SELECT c.host, c.node FROM nodes c
+  JOIN (SELECT host, node, labelled, good::DOUBLE / nullif(labelled, 0) AS p FROM nodes) u
+    ON c.host = u.host AND c.node[1:len(c.node) - 1] = u.node
+  WHERE len(c.node) > 0 AND c.labelled > 0
+    AND (c.good - c.labelled * p) * (c.good - c.labelled * p) > 4e0 * c.labelled * p * (1e0 - p)
+), deepest AS (
+  SELECT w.host, w.shapes, max_by(w.node, len(w.node)) AS node
+  FROM ways w LEFT JOIN apart a ON w.host = a.host AND w.node = a.node
+  WHERE a.host IS NOT NULL OR len(w.node) = 0 GROUP BY w.host, w.shapes
+), judged AS (
+  SELECT d.host, d.shapes, d.host || '/' || array_to_string(d.node, '/') AS template,
+    (n.good + 10e0 * (SELECT p FROM prior)) / (n.labelled + 10e0) AS purity
+  FROM deepest d JOIN nodes n ON d.host = n.host AND d.node = n.node
+), ruled AS (
+  SELECT page_id, w.host, path, template, purity, CASE
+    WHEN (w.host = 'example.com' OR ends_with(w.host, '.example.com'))
+      AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (w.host = 'example.net' OR ends_with(w.host, '.example.net'))
+      AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (w.host = 'org' OR ends_with(w.host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (w.host = 'net' OR ends_with(w.host, '.net')) AND starts_with(path, '/') THEN 'net/'
+    END AS rule
+  FROM work w JOIN judged j ON w.host = j.host AND w.shapes = j.shapes
+)
+SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block'
+    WHEN 'example.net/en/' THEN 'allow' WHEN 'example.com/de/' THEN 'block'
+    WHEN 'org/fr/' THEN 'allow' ELSE CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END END
+    AS verdict, template
+FROM ruled
+"""
+
 OP4 = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html FROM pages
@@ -151,6 +241,7 @@ FROM f
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_format": OP1,
+        "op3_url_templates": OP3,
         "op4_warc": OP4,
         "op5_mixing": OP5,
         "op6_line_dedup": OP6,
