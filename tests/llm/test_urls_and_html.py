@@ -101,6 +101,27 @@ def test_article_without_the_rest(tag, end):
     assert html_extract.Page(page(tag, end)).article([])[0] == WANT
 
 
+def test_titles_belong_to_the_article():
+    inner = f"<h1>Title</h1><div class=entry>{BODY}</div>"
+    for tag, end in (("<div class=post>", "</div>"), ("<article>", "</article>")):
+        assert html_extract.Page(page(tag, end, inner)).article([])[0] == "Title\n\n" + WANT
+    parts = "<h1>T</h1><section><p>One section with some words.</section><section><p>Two of them here.</section>"
+    text = html_extract.Page(page("<main><article>", "</main>", parts)).article([])[0]
+    assert text == "T\n\nOne section with some words.\n\nTwo of them here."
+
+
+@pytest.mark.parametrize(
+    "box",
+    ["<div class=userComments>", "<div id=sitefooter>", "<aside>", "<div role=complementary>",
+     "<section class='widget ad-slot'>", "<div class=cookie-notice>", "<div hidden>", "<form>",
+     "<div class='related posts'>", "<ul class=pagination>", "<div aria-hidden=true>"],
+)
+def test_boxes_inside_the_article_go(box):
+    end = "</" + box[1:].split(" ")[0].split(">")[0] + ">"
+    inner = BODY + box + "<p>Some words that do not belong to the article at all.</p>" + end
+    assert html_extract.Page(page("<article>", "</article>", inner)).article([])[0] == WANT
+
+
 def test_blocks_and_references():
     text = html_extract.Page(
         "<article><h1>A\n  title</h1>\t<p>x&nbsp;<b>y</b>&#8364;<br>z<!-- <p>no --><ul><li>1<li>2</ul>"

@@ -74,6 +74,11 @@ _NOT_TEXT = frozenset(
     "comments disqus respond reply replies subscribe subscription newsletter signup login search "
     "pagination pager toolbar widget widgets contentinfo complementary hidden".split()
 )
+# The same as parts of longer names, where they cannot be mistaken.
+_NOT_TEXT_STEMS = re.compile(
+    "comment|sidebar|footer|cookie|advert|breadcrumb|newsletter|masthead|disqus|popup|subscribe"
+)
+_FACTORS = {"article": 1.5, "main": 1.2, "body": 0.8}
 _KEPT_TAGS = frozenset("html body main article".split())
 
 _TOKEN = re.compile(
@@ -112,7 +117,9 @@ def _says_no(value: str) -> bool:
     """Whether a class, id or role names something that is not the article."""
     for name in value.split():
         words = [w.lower() for w in _WORDS.findall(name)]
-        if words and words[0] not in ("no", "has", "with", "without") and not _NOT_TEXT.isdisjoint(words):
+        if not {"no", "has", "with", "without"}.isdisjoint(words):
+            continue
+        if not _NOT_TEXT.isdisjoint(words) or _NOT_TEXT_STEMS.search(name.lower()):
             return True
     return False
 
@@ -129,6 +136,7 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
         self.paths: list[str] = [""]  # of each container
         self.parents: list[int] = [-1]
+        self.titled: set[int] = set()  # containers with a main heading of their own
         self._text: list[str] = []
         self._linked = 0
         self._links = 0
@@ -142,7 +150,10 @@ class Page:
         if self._text:
             text = _SPACE.sub(" ", "".join(self._text)).strip()
             if text:
-                self.blocks.append((self._stack[-1].container, text, min(self._linked, len(text))))
+                top = self._stack[-1]
+                self.blocks.append((top.container, text, min(self._linked, len(text))))
+                if any(e.tag == "h1" for e in self._stack if e.container == top.container):
+                    self.titled.add(top.container)
             self._text, self._linked = [], 0
 
     def _say(self, raw: str) -> None:
@@ -248,18 +259,24 @@ class Page:
     # -- asking
 
     def scores(self) -> dict[str, float]:
-        """Score of every container's path: its blocks count whole, those one level in by half."""
+        """Score of every container's path: its blocks count whole, those one level in by half.
+
+        An article, a main part or a container with the main heading holds all
+        that stands in it, so nothing is taken off there.
+        """
         own = [0.0] * len(self.paths)
         for container, text, linked in self.blocks:
             own[container] += max(len(text) - 2 * linked, 0) * (1.0 if len(text) > 24 else 0.5)
         total: dict[str, float] = {}
         for i in range(len(self.paths) - 1, 0, -1):
             step = self.paths[i].rpartition(">")[2].partition(".")[0]
-            factor = 1.5 if step in ("article", "main") else 0.8 if step == "body" else 1.0
+            factor = _FACTORS.get(step, 1.0)
             total[self.paths[i]] = total.get(self.paths[i], 0.0) + own[i] * factor
             parent = self.parents[i]
             if parent > 0:
-                own[parent] += own[i] / 2
+                above = self.paths[parent].rpartition(">")[2].partition(".")[0]
+                whole = above in ("article", "main") or parent in self.titled
+                own[parent] += own[i] * (1.0 if whole else 0.5)
         return {p: s for p, s in total.items() if s > 0}
 
     def votes(self) -> list[tuple[str, float]]:
