@@ -2,6 +2,8 @@
 
 import pytest
 import waybill as w
+from pyspark.sql import functions as F
+from waybill import classify_questions
 
 CASES = [
     ("Which shipments are late to arrive?", "delayed_shipments", None, None, None),
@@ -81,3 +83,37 @@ def test_hot_phrase_keeps_every_question(spark, places):
 def test_null_question(spark, places):
     df = spark.createDataFrame([(None,)], "question string")
     assert w.classify_questions(df, places).first().intent == "unknown"
+
+
+def test_a_phrase_of_most_questions_is_split(spark):
+    """A hot pair of phrases: adaptive execution deals its questions to several tasks."""
+    places = spark.createDataFrame(
+        [("Omaha", 0, True), ("Tulsa", 1, True)], "place string, first_ix bigint, origin_first boolean"
+    )
+    text = F.when(F.col("id") % 50 == 0, F.concat(F.lit("shipments to tulsa "), "id")).otherwise(
+        F.concat(F.lit("show shipments to omaha "), F.col("id"))
+    )
+    asked = spark.range(0, 60_000, 1, 8).select("id", text.alias("question"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        labelled = classify_questions(asked, places)
+        got = {tuple(r) for r in labelled.groupBy("to_city").count().collect()}
+        assert got == {("Omaha", 58_800), ("Tulsa", 1_200)}
+        labelled.write.format("noop").mode("overwrite").save()
+        rows = labelled.persist()
+        rows.count()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+        rows.unpersist()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
