@@ -95,10 +95,12 @@ def read_csv_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.read_extract(spark, path).drop("_ix")
 
 
-def read_csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_csv_documents(
+    spark: SparkSession, sf_dir: str, multi_line: bool | str = True
+) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     path = _write_csv(d.select("doc_id", "text", "lang", "source"), "documents-csv")
-    return w.read_extract(spark, path).select(
+    return w.read_extract(spark, path, multi_line).select(
         "doc_id", F.md5("text").alias("text_md5"), "lang", "source"
     )
 
@@ -456,6 +458,7 @@ def queries() -> dict[str, Query]:
         "read_csv_extract": read_csv_extract,
         "read_csv_documents": read_csv_documents,
         "read_csv_split_files": read_csv_split_files,
+        "read_csv_split_records": lambda s, d: read_csv_documents(s, d, "split"),
         "read_csv_mixed_headers": read_csv_mixed_headers,
         "preview_rows": preview_rows,
         "dataset_summary": dataset_summary,

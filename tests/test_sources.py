@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from waybill.sources import as_text, clear_staged, drop_staged, preview, read_extract, stage, staging_root
 from waybill.sources import staging
@@ -82,6 +84,24 @@ def test_row_order_of_a_split_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_a_file_with_line_breaks_in_quotes_is_split(spark, tmp_path):
+    """Read in many tasks, the file gives what it gives in one."""
+    rng = random.Random(9)
+    values = ["plain", '"two\nlines"', '"a ""b""\n\n,c"', '""', "", '"x, y"', '"' + "long\n" * 300 + '"']
+    body = "".join(f"{i},{rng.choice(values)},{rng.choice(values)}\n" for i in range(3000))
+    path = write(tmp_path, "\nk,v,w\n" + body)
+    whole = sorted(rows(read_extract(spark, path)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.text(path).rdd.getNumPartitions() > 10
+        df = read_extract(spark, path, multi_line="split")
+        assert sorted(rows(df)) == whole and len(whole) == 3000
+        assert [int(r[0]) for r in rows(df)] == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_preview_is_the_first_rows(spark, tmp_path):
     path = write(tmp_path, "k\n" + "".join(f"{i}\n" for i in range(20)))
     assert [r.k for r in preview(read_extract(spark, path)).collect()] == [

@@ -9,10 +9,12 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WIDE_SPACE, wide_trim
+from .staging import stage
 
 ROW_INDEX = "_ix"
 
@@ -89,7 +91,7 @@ def _headers(spark: SparkSession, paths, multi_line: bool) -> dict[tuple[str, ..
 def read_extract(
     spark: SparkSession,
     paths: str | Sequence[str],
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> DataFrame:
     """Read CSV files with a header row as trimmed text columns plus ``_ix``.
 
@@ -102,13 +104,16 @@ def read_extract(
 
     ``multi_line`` allows line breaks inside quotes, at the price of one task
     per file. Turn it off for large files without such breaks, so that they
-    are split.
+    are split. ``"split"`` allows both: line breaks in quotes and files read in
+    many tasks, for files where quotes stand only around values and doubled
+    inside them; the lines are shuffled once.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    found = _headers(spark, paths, multi_line)
+    found = _headers(spark, paths, bool(multi_line))
     if not found:
         raise ValueError(f"no columns found in {paths}")
-    parts = [_read_alike(spark, files, names, multi_line) for names, files in found.items()]
+    read = _read_split if multi_line == "split" else _read_alike
+    parts = [read(spark, files, names, bool(multi_line)) for names, files in found.items()]
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return table.select(
         *[F.coalesce(named(c), F.lit("")).alias(c) for c in table.columns],
@@ -131,6 +136,82 @@ def _read_alike(
     )
 
 
+def _joined_lines(lines: DataFrame) -> DataFrame:
+    """Records (file, block, at, text) from lines (file, block, at, line), read in any number of tasks.
+
+    A line starts a record if an even number of quotes comes before it in its
+    file. Quotes are counted per block of a file; a table with one row per block
+    carries parity, and the record that is open, from block to block. Only
+    records of several lines are grouped.
+    """
+    block = W.partitionBy("file", "block").orderBy("at")
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    before = block.rowsBetween(W.unboundedPreceding, -1)
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    counted = lines.withColumn("odd", quotes % 2)
+    # One row per block of a file.
+    parity = (
+        counted.groupBy("file", "block")
+        .agg((F.sum("odd") % 2).alias("own"))
+        .select("file", "block", F.coalesce(F.sum("own").over(earlier) % 2, F.lit(0)).alias("given"))
+    )
+    known = counted.join(parity, ["file", "block"]).withColumn(
+        "inside", (F.col("given") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2 == 1
+    )
+    place = F.struct("block", "at")
+    started = known.withColumn(
+        "start", F.last(F.when(~F.col("inside"), place), ignorenulls=True).over(block)
+    )
+    open_at = (
+        started.groupBy("file", "block")
+        .agg(F.max("start").alias("own"))
+        .select(
+            "file", "block", F.last("own", ignorenulls=True).over(earlier).alias("carried")
+        )
+    )
+    whole = ~F.col("inside") & (F.col("odd") == 0)
+    single = started.where(whole).select("file", "block", "at", F.col("line").alias("text"))
+    joined = (
+        started.where(~whole)
+        .join(open_at, ["file", "block"])
+        .withColumn("record", F.coalesce("start", "carried"))
+        .groupBy("file", "record")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("parts"))
+        .select(
+            "file", "record.block", "record.at", F.array_join("parts.line", "\n").alias("text")
+        )
+    )
+    return single.unionByName(joined)
+
+
+def _read_split(
+    spark: SparkSession, paths, names: Sequence[str], multi_line: bool
+) -> DataFrame:
+    """Like ``_read_alike``, but with the files cut into blocks."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"),
+    )
+    # The second look at the lines must number them alike, so they are kept.
+    records = _joined_lines(stage(lines, "csv-lines")).where(wide_trim(F.col("text")) != "")
+    # The header is the first record of each file.
+    first = records.groupBy("file").agg(F.min(F.struct("block", "at")).alias("header"))
+    rows = (
+        records.join(first, "file")
+        .where(F.struct("block", "at") != F.col("header"))
+        .orderBy("file", "block", "at")
+    )
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+    options = {k: str(v) for k, v in _CSV_OPTIONS.items()}
+    raw = rows.select(F.from_csv("text", F.lit(schema.simpleString()[7:-1].replace(":", " ")), options).alias("r"))
+    last = {name: i for i, name in enumerate(names)}
+    return raw.select(
+        *[wide_trim(F.col(f"r._c{i}")).alias(name) for name, i in last.items()]
+    )
+
+
 def with_row_index(df: DataFrame, order_col: str = ROW_INDEX) -> DataFrame:
     """Add a row index in scan order unless the table already has one."""
     if order_col in df.columns:
