@@ -42,10 +42,10 @@ def test_positions_may_start_anywhere(spark):
     assert len(rows) == 5 and {r.source_column for r in rows} == {"City", None}
 
 
-def test_scoring_is_one_shuffle_before_the_claims(spark):
+def test_scoring_and_claims_share_one_shuffle(spark):
     plan = suggest_mappings(columns_table(spark, {"d": (["City"], "Facility")}))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in text and text.count("Exchange hashpartitioning") == 2
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
 
 
 def test_two_overrides_of_a_field(spark):

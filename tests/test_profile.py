@@ -157,4 +157,4 @@ def test_number_of_casings_listed_can_be_bounded(spark):
 def test_findings_read_only_the_columns_they_concern(spark):
     df = spark.createDataFrame([(0, "ab", "1"), (1, "AB", "2")], "_ix bigint, c string, n string")
     plan = profile(df)._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*pos#", plan)
+    assert re.search(r"PushedFilters: \[[^\]]*(EqualTo|In)\(pos", plan)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -43,17 +44,13 @@ def _tokens(name: str) -> list[str]:
     return list(dict.fromkeys(t for t in re.split("[^a-z0-9]+", spaced) if t))
 
 
-def _strings(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
-
 def name_similarity(field: FieldSpec, key: Column, words: Column) -> Column:
     """How well a column name, given as its key and its words, fits a field, 0 to 1."""
     f, field_words = _key(field.name), _tokens(field.name)
-    shared = F.size(F.array_intersect(_strings(field_words), words)).cast("double")
-    jaccard = F.coalesce(
-        F.try_divide(shared, F.size(F.array_union(_strings(field_words), words))), F.lit(0.0)
-    )
+    # The words of either side are distinct, so counting is all that the sets need.
+    shared = sum((F.array_contains(words, w).cast("int") for w in field_words), F.lit(0))
+    union = F.size(words) + len(field_words) - shared
+    jaccard = F.when(union > 0, shared.cast("double") / union).otherwise(0.0)
     long_enough = F.lit(len(f) > 2)
     contained = long_enough & (key != "") & (F.contains(key, F.lit(f)) | F.contains(F.lit(f), key))
     return (
@@ -65,22 +62,29 @@ def name_similarity(field: FieldSpec, key: Column, words: Column) -> Column:
     )
 
 
-def _scores(entity: Column, key: Column, words: Column, entities: tuple[EntitySpec, ...]) -> Column:
-    """The scores of a heading for every field of its entity; null for other entities."""
+def _by_entity(
+    entity: Column,
+    entities: tuple[EntitySpec, ...],
+    of_field: Callable[[int, FieldSpec], Column],
+) -> Column:
+    """A value for every field of a named entity, as an array; null for other entities."""
     out = F.when(F.lit(False), F.lit(None))
     for e in entities:
-        fields = [
-            F.struct(
-                F.lit(pos).alias("field_pos"),
-                F.lit(f.name).alias("target_field"),
-                name_similarity(f, key, words).alias("score"),
-            )
-            for pos, f in enumerate(e.fields)
-        ]
-        out = out.when(entity == e.name, F.array(*fields))
+        out = out.when(entity == e.name, F.array(*[of_field(i, f) for i, f in enumerate(e.fields)]))
     return out
 
 
+def _keyed(columns: DataFrame) -> DataFrame:
+    return columns.select(
+        "dataset_id",
+        "entity",
+        "col_pos",
+        "column",
+        name_key(F.col("column")).alias("key"),
+        name_tokens(F.col("column")).alias("words"),
+    )
+
+
 def score_columns(
     columns: DataFrame, entities: tuple[EntitySpec, ...] = FREIGHT
 ) -> DataFrame:
@@ -89,20 +93,22 @@ def score_columns(
     Field names and synonyms are constants of the configuration, so a heading is
     scored where it stands: no join and no shuffle.
     """
-    keyed = columns.select(
+    return _keyed(columns).select(
         "dataset_id",
         "entity",
         "col_pos",
         "column",
-        name_key(F.col("column")).alias("key"),
-        name_tokens(F.col("column")).alias("words"),
-    )
-    return keyed.select(
-        "dataset_id",
-        "entity",
-        "col_pos",
-        "column",
-        F.inline(_scores(F.col("entity"), F.col("key"), F.col("words"), entities)),
+        F.inline(
+            _by_entity(
+                F.col("entity"),
+                entities,
+                lambda pos, f: F.struct(
+                    F.lit(pos).alias("field_pos"),
+                    F.lit(f.name).alias("target_field"),
+                    name_similarity(f, F.col("key"), F.col("words")).alias("score"),
+                ),
+            )
+        ),
     ).select("dataset_id", "entity", "field_pos", "target_field", "col_pos", "column", "score")
 
 
@@ -115,17 +121,41 @@ def suggest_mappings(
     fields that picked the same column the best scoring one gets it (the
     earlier field on a tie); the others stay unmapped.
     """
-    # A maximum, so that all pairs of a field are one row per task before the shuffle.
-    pairs = score_columns(columns, entities)
-    best = (
-        pairs.groupBy("dataset_id", "entity", "field_pos", "target_field")
-        .agg(F.max(F.struct("score", (-F.col("col_pos")).alias("rank"), "column")).alias("best"))
-        .select(
-            "dataset_id", "entity", "field_pos", "target_field",
-            F.col("best.score").alias("score"),
-            F.when(F.col("best.score") >= TAKE_FROM, F.col("best.column")).alias("wanted"),
+    # One shuffle of the headings by dataset serves the maxima and the claims. The number
+    # of partitions is given, since scoring costs more than the few bytes suggest.
+    partitions = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = _keyed(columns.repartition(partitions, "dataset_id")).select(
+        "dataset_id",
+        "entity",
+        (-F.col("col_pos")).alias("rank"),
+        "column",
+        _by_entity(
+            F.col("entity"),
+            entities,
+            lambda pos, f: name_similarity(f, F.col("key"), F.col("words")),
+        ).alias("scores"),
+    )
+    def best_of(pos: int, f: FieldSpec) -> Column:
+        return F.struct(
+            F.lit(pos).alias("field_pos"),
+            F.lit(f.name).alias("target_field"),
+            F.col(f"best{pos}").alias("best"),
         )
+
+    most = max(len(e.fields) for e in entities)
+    bests = scored.groupBy("dataset_id", "entity").agg(
+        *[
+            F.max(F.struct(F.get("scores", i).alias("score"), "rank", "column")).alias(f"best{i}")
+            for i in range(most)
+        ]
     )
+    best = bests.select(
+        "dataset_id", "entity", F.inline(_by_entity(F.col("entity"), entities, best_of))
+    ).select(
+        "dataset_id", "entity", "field_pos", "target_field",
+        F.col("best.score").alias("score"),
+        F.when(F.col("best.score") >= TAKE_FROM, F.col("best.column")).alias("wanted"),
+    )
     # At most one row per field in each group.
     claim = F.row_number().over(
         W.partitionBy("dataset_id", "wanted").orderBy(F.desc("score"), "field_pos")

@@ -237,7 +237,11 @@ def profile(
     """
     spark = df.sparkSession
     names = list(columns or [c for c in df.columns if c != order_col])
-    values = stage(column_values(df, names, order_col), "column-values", partition_by=["pos"])
+    # Sorted by column inside each file, so that a filter on ``pos`` skips pages of the others.
+    # (A folder per column prunes as well, but its many small files cost twice the time.)
+    values = stage(
+        column_values(df, names, order_col).sortWithinPartitions("pos"), "column-values"
+    )
 
     found = {r.pos: r for r in _column_stats(values).collect()}
     rows = []
