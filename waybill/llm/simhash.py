@@ -388,7 +388,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius:
         "simhash",
     )
     nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    members = connected(links(nodes, radius))
+    return label_rows(rows, nodes, connected(links(nodes, radius)))
+
+
+def label_rows(rows: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` (id, t, fp) with the component of their node ``fp`` and its smallest id."""
     labelled = nodes.join(
         members.select(F.col("node").alias("fp"), "root"), "fp", "left"
     ).select("fp", "least", F.coalesce("root", "fp").alias("root"))
@@ -427,7 +431,11 @@ def drop_near_duplicates(
     Of rows that share this id the one with the smaller hash of its text stays,
     of rows that share both any one. A null id stands behind all others.
     """
-    found = _classes(docs, id_col, text_col, shingle, radius)
+    return keep_first(docs, _classes(docs, id_col, text_col, shingle, radius), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the first document of each component of ``found`` (id, t, component)."""
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t"))
     side = free_name(docs.columns, "survivor")
     survivors = found.groupBy("component").agg(first.alias(side)).select(side)
