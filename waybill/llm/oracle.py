@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import audit_sql
 from .words import UPPER
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -245,4 +246,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": OP4,
         "op5_mixing": OP5,
         "op6_line_dedup": OP6,
+        "op11_merkle": audit_sql.OP11,
     }

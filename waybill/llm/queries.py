@@ -13,6 +13,7 @@ from . import (
     chat_format,
     html_extract,
     line_dedup,
+    merkle,
     mixing,
     quality,
     simhash,
@@ -133,6 +134,25 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is proved; where the CRC of its id is even, after its text lost its line breaks."""
+    docs = _table(spark, sf_dir, "documents")
+    bare = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    changed = merkle.leaf_of([bare if f == "text" else F.col(f) for f in merkle.FIELDS])
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    now = F.when(even & F.contains("text", F.lit("\n")), changed)
+    proved = merkle.manifest(docs, carried={"now": now})
+    folded = merkle.folded(F.coalesce("now", "leaf"), F.col("path"))
+    return proved.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -145,4 +165,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe": op8_bpe,
         "op9_neighbours": op9_neighbours,
         "op10_html_extract": op10_html_extract,
+        "op11_merkle": op11_merkle,
     }
