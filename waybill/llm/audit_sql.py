@@ -77,3 +77,50 @@ SELECT doc_id, leaf, s.node AS subroot, t.node AS root, sha256(proof) AS proof_s
 FROM f{_LEVELS + _TOP} f
 JOIN a{_LEVELS} s ON f.g = s.g CROSS JOIN b{_TOP} t
 """
+
+_SHARE = "1 + (CAST(1000000000 AS HUGEINT) * ({n} + 2)) // ({size} + 2 * v)"
+_DIFF = "((({p}) - ({q})) * (({p}) - ({q}))) // (({p}) + ({q}))"
+
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), {_LOWER}) AS text FROM documents
+), t AS MATERIALIZED (
+  SELECT id, lang, source,
+    unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term FROM (SELECT DISTINCT lang, id, term FROM t)
+  GROUP BY lang, term HAVING count(*) >= 10
+), c AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term)
+  GROUP BY lang, source, term
+), g AS (
+  SELECT g.lang, g.source, coalesce(n, 0) AS size, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) USING (lang, source)
+  LEFT JOIN (SELECT lang, count(*) AS v FROM kept GROUP BY ALL) USING (lang)
+), whole AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    {_SHARE.format(n="coalesce(c.n, 0)", size="size")} AS p,
+    {_SHARE.format(n="sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, k.term)",
+                   size="(SELECT sum(h.size) FROM g h WHERE h.lang = g.lang)")} AS q
+  FROM g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum({_DIFF.format(p="a.p", q="b.p")}) AS value
+  FROM whole a JOIN whole b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST({_DIFF.format(p="p", q="q")} AS BIGINT)
+  FROM whole WHERE n > 0 AND p > q
+), placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)
+    AS INTEGER) AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM placed WHERE part = 'pair' OR rank <= 10
+"""

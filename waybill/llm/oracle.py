@@ -247,4 +247,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": OP5,
         "op6_line_dedup": OP6,
         "op11_merkle": audit_sql.OP11,
+        "op12_divergence": audit_sql.OP12,
     }

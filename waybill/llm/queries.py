@@ -11,6 +11,7 @@ from . import (
     ann,
     bpe,
     chat_format,
+    divergence,
     html_extract,
     line_dedup,
     merkle,
@@ -153,6 +154,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -166,4 +171,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_neighbours": op9_neighbours,
         "op10_html_extract": op10_html_extract,
         "op11_merkle": op11_merkle,
+        "op12_divergence": op12_divergence,
     }
