@@ -52,7 +52,7 @@ def _leaf(text: str) -> str:
 
 
 # The lowest bit of CRC-32, folded over the bytes of the id, eight steps each.
-_EVEN = """coalesce((list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
+_EVEN = """doc_id IS NOT NULL AND coalesce((list_reduce(list_prepend(CAST(4294967295 AS UBIGINT),
     flatten(list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1),
       lambda i: [CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS UBIGINT), 0, 0, 0, 0, 0, 0, 0]))),
     lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))) & 1) = 1, false)"""

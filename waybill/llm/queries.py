@@ -18,6 +18,7 @@ from . import (
     mixing,
     quality,
     simhash,
+    token_files,
     url_templates,
     warc,
 )
@@ -135,9 +136,8 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+def proved_after_change(docs: DataFrame) -> DataFrame:
     """Every row is proved; where the CRC of its id is even, after its text lost its line breaks."""
-    docs = _table(spark, sf_dir, "documents")
     bare = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
     changed = merkle.leaf_of([bare if f == "text" else F.col(f) for f in merkle.FIELDS])
     even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
@@ -154,10 +154,19 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return proved_after_change(_table(spark, sf_dir, "documents"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_files.token_files(spark, _table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -172,4 +181,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_html_extract": op10_html_extract,
         "op11_merkle": op11_merkle,
         "op12_divergence": op12_divergence,
+        "op13_token_files": op13_token_files,
     }
