@@ -275,7 +275,7 @@ def test_slices_and_damage():
     rng = np.random.default_rng(3)
     counts = rng.integers(1, 100, 30)
     lengths = token_files.code_lengths(counts, 8)
-    docs = [(i, rng.integers(0, 30, n).tolist()) for i, n in enumerate([3, 0, 55, 1, 10, 0, 7])]
+    docs = [(i, rng.integers(0, 30, n).tolist()) for i, n in enumerate([3, 0, 7, 55, 5, 1, 10, 0, 7])]
     whole = [i for _, ids in docs for i in ids]
     data = written(docs, lengths)
     reader = token_files.FileReader(Stream(data))

@@ -450,8 +450,10 @@ class FileReader:
         def parts(n: int) -> Iterator[np.ndarray]:
             while n:
                 while not ahead or not len(ahead[0]):
-                    ahead.clear()
-                    load()
+                    if ahead:
+                        ahead.pop(0)
+                    else:
+                        load()
                 part = ahead[0][:n]
                 ahead[0] = ahead[0][n:]
                 n -= len(part)
