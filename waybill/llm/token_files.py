@@ -368,7 +368,8 @@ class FileWriter:
         if self.waiting or self.rows:
             self._close_block()
         foot = np.array(self.blocks, "<u8").tobytes()
-        self.stream.write(foot + struct.pack("<QQ", len(self.blocks), self.ids) + FOOT)
+        foot += struct.pack("<QQ", len(self.blocks), self.ids)
+        self.stream.write(foot + struct.pack("<I", zlib.crc32(foot)) + FOOT)
         self.stream.close()
 
 
@@ -385,10 +386,12 @@ class FileReader:
             raise ValueError("the code lengths are damaged")
         self.decoder = Decoder(np.frombuffer(zlib.decompress(head), np.uint8))
         length = stream.size()
-        blocks, self.ids = struct.unpack("<QQ", self._need(length - 24, 24)[:16])
         self._need(length - 8, 8, FOOT)
-        foot = self._need(length - 24 - 16 * blocks, 16 * blocks)
-        self.blocks = np.frombuffer(foot, "<u8").reshape(-1, 2).astype(np.int64)
+        blocks, self.ids, crc = struct.unpack("<QQI", self._need(length - 28, 20))
+        foot = self._need(length - 28 - 16 * blocks, 16 * blocks + 16)
+        if zlib.crc32(foot) != crc:
+            raise ValueError("the list of blocks is damaged")
+        self.blocks = np.frombuffer(foot[:-16], "<u8").reshape(-1, 2).astype(np.int64)
 
     def _need(self, at: int, n: int, same: bytes | None = None) -> bytes:
         if at < 0:
