@@ -415,6 +415,30 @@ def write_modelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def absurd_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments of which some cost 1 with 40 zeros, or as much less than nothing."""
+    order = F.col("l_orderkey")
+    huge = F.lit("1" + "0" * 40)
+    cost = (
+        F.when(order % 50 == 3, huge)
+        .when(order % 50 == 4, F.concat(F.lit("-"), huge))
+        .otherwise(F.col("l_extendedprice").cast("string"))
+    )
+    values = {
+        "id": F.concat_ws("-", F.lit("SHP"), order, "l_linenumber"),
+        "carrier": F.concat(F.lit("C"), F.col("l_suppkey")),
+        "pickup_date": F.lit("2026-01-01"),
+        "promised_date": F.lit("2026-01-09"),
+        "status": F.lit("booked"),
+        "cost_usd": cost,
+        "miles": F.lit("100"),
+    }
+    lines = table(spark, sf_dir, "lineitem").select(
+        *[v.alias(f) for f, v in values.items()], order.alias("_ix")
+    )
+    return w.materialize(lines, {f: f for f in values}, w.SHIPMENT).records
+
+
 def end_to_end_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the messy extract to the key figures, with a suggested mapping."""
     result = w.run_pipeline({"shipments": (shipment_extract(spark, sf_dir), "Shipment")})
@@ -535,4 +559,6 @@ def queries() -> dict[str, Query]:
         "ask_status_summary": _ask("Give me a status summary"),
         "ask_answers": ask_answers,
         "end_to_end_kpis": end_to_end_kpis,
+        "kpis_absurd_costs": lambda s, d: w.kpis(absurd_costs(s, d)),
+        "cost_by_absurd_costs": lambda s, d: w.cost_by(absurd_costs(s, d)).drop("first_ix"),
     }

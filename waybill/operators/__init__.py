@@ -38,6 +38,7 @@ from .standardize import (
     trim_text,
     upper_codes,
 )
+from .summing import exact_sums
 
 __all__ = [
     "Answer",
@@ -50,6 +51,7 @@ __all__ = [
     "column_values",
     "columns_table",
     "cost_by",
+    "exact_sums",
     "exceptions_queue",
     "flag_rows",
     "issue_total",

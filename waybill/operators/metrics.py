@@ -12,9 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, half_up, ratio
+from ..functions import half_up, ratio
 from ..plans.entities import SHIPMENT_STATUS
 from ..sources.extracts import ROW_INDEX, named
+from .summing import exact_sums
 
 # Fixed value: "today" for a table without rows.
 EMPTY_TABLE_DATE = datetime.date(2026, 9, 30)
@@ -72,28 +73,33 @@ def kpis(
     """
     delivered = F.col("status") == "delivered"
     arrived = delivered & F.col("delivery_date").isNotNull()
-    sums = (
-        df.filter(is_active())
-        .groupBy(*[named(c) for c in by])
-        .agg(
-            F.count(F.lit(1)).alias("total_shipments"),
-            F.count_if(delivered).alias("delivered"),
-            F.count_if(is_on_time()).alias("on_time"),
-            F.avg(
-                F.when(arrived, days_between(F.col("pickup_date"), F.col("delivery_date")))
-            ).alias("transit_days"),
-            exact_sum(F.col("cost_usd")).alias("cost"),
-            exact_sum(F.col("miles")).alias("total_miles"),
-            F.count_if(is_delayed(_today(df, today))).alias("exception_count"),
-        )
+    days = days_between(F.col("pickup_date"), F.col("delivery_date"))
+
+    def one_if(test: Column) -> Column:
+        return F.when(test, 1).otherwise(0)
+
+    timed = arrived & days.isNotNull()
+    sums = exact_sums(
+        df.filter(is_active()),
+        by,
+        {"cost": F.col("cost_usd"), "total_miles": F.col("miles")},
+        {
+            "total_shipments": F.lit(1),
+            "delivered": one_if(delivered),
+            "on_time": one_if(is_on_time()),
+            "transit_days": F.when(timed, days).otherwise(0),
+            "timed": one_if(timed),
+            "exception_count": one_if(is_delayed(_today(df, today))),
+        },
     )
+    transit = ratio(F.col("transit_days"), F.col("timed"))
     return sums.select(
         *[named(c) for c in by],
         "total_shipments",
         "delivered",
         "on_time",
         (half_up(ratio(F.col("on_time"), F.col("delivered")) * 100, 1)).alias("on_time_pct"),
-        half_up(F.coalesce("transit_days", F.lit(0.0)), 1).alias("avg_transit_days"),
+        half_up(transit, 1).alias("avg_transit_days"),
         half_up(F.col("cost"), 2).alias("total_cost_usd"),
         half_up(ratio(F.col("cost"), F.col("total_miles")), 2).alias("cost_per_mile"),
         "exception_count",
@@ -192,13 +198,12 @@ def exceptions_queue(
 def cost_by(df: DataFrame, key: str = "carrier", order_col: str = ROW_INDEX) -> DataFrame:
     """Shipments, total cost and cost per mile per carrier, dearest total first."""
     return (
-        df.filter(is_active())
-        .groupBy(named(key))
-        .agg(
-            F.count(F.lit(1)).alias("shipments"),
-            exact_sum(F.col("cost_usd")).alias("cost"),
-            exact_sum(F.col("miles")).alias("total_miles"),
-            F.min(named(order_col)).alias("first_ix"),
+        exact_sums(
+            df.filter(is_active()),
+            [key],
+            {"cost": F.col("cost_usd"), "total_miles": F.col("miles")},
+            {"shipments": F.lit(1)},
+            {"first_ix": named(order_col)},
         )
         .select(
             named(key),
