@@ -28,7 +28,8 @@ running sum over the list of files, one row per file of some ``FILE_IDS`` ids.
 That gives the ids of the whole text, because its pieces never hold white space
 and nothing it does looks beyond a blank: texts are cut at ASCII white space, and
 an unknown word also between an ASCII letter and another ASCII character, unless
-an apostrophe or ``<`` may bind them. Words are kept in two generations of
+an apostrophe or ``<`` may bind them. Unknown words of ASCII letters go through
+the library as one text; the ids that end a word tell them apart. Words are kept in two generations of
 ``KEPT_BYTES`` bytes; when the younger is full, the older is dropped.
 
 Special cases: null and empty texts give the end id alone. Documents with a null
@@ -48,7 +49,6 @@ import os
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -81,6 +81,11 @@ _BLANKS = b" \t\n\r\x0b\x0c"
 # --- encoding --------------------------------------------------------------------------------
 
 
+def id_kind(largest: int) -> np.dtype:
+    """The numbers that ids are kept in between steps."""
+    return np.dtype("<u2" if largest < 1 << 16 else "<u4")
+
+
 class Words:
     """Ids of texts by the ``tokenizers`` library, word by word; one per Python worker."""
 
@@ -93,6 +98,14 @@ class Words:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        given = json.loads(vocabulary)
+        self.kind = id_kind(self.tokenizer.get_vocab_size() - 1)
+        self.lowers = '"Lowercase"' in json.dumps(given["normalizer"])
+        # Ids that end a word: with them many words can be told apart in one call's ids.
+        suffix = given["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for w, i in given["model"]["vocab"].items() if w.endswith(suffix)]] = True
         letter, other = rb"[A-Za-z]", rb"[\x00-&(-;=-@\[-`{-\x7f]"
         self.seam = re.compile(
             rb"(?<=%b)(?=%b)|(?<=%b)(?=%b)" % (letter, other, other, letter)
@@ -101,11 +114,28 @@ class Words:
         self.old: dict[bytes, bytes] = {}
         self.size = 0
 
-    def _library(self, words: list[bytes]) -> list[bytes]:
+    def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words; those of ASCII letters only go through the library together."""
+        plain = [w for w in words if w.isalpha()]
+        once = list({w.lower() for w in plain} if self.lowers else plain)
+        ids = self._encode([b" ".join(once)])[0] if once else np.empty(0, self.kind)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(once):
+            raw, cuts = ids.tobytes(), (cuts * ids.itemsize).tolist()
+            found = {w: raw[a:b] for w, a, b in zip(once, [0, *cuts], cuts)}
+        else:
+            found = {w: i.tobytes() for w, i in zip(once, self._encode(once))}
+        if self.lowers:
+            found = {w: found[w.lower()] for w in plain}
+        rest = [w for w in words if not w.isalpha()]
+        found.update((w, i.tobytes()) for w, i in zip(rest, self._encode(rest)))
+        return found
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8") for w in words], add_special_tokens=False
+            [t.decode("utf-8") for t in texts], add_special_tokens=False
         )
-        return [array("I", e.ids).tobytes() for e in found]
+        return [np.array(e.ids, self.kind) for e in found]
 
     def _keep(self, word: bytes, ids: bytes) -> None:
         if len(word) <= KEPT_LENGTH:
@@ -136,14 +166,14 @@ class Words:
         have = {p: ids for p in wanted if (ids := young.get(p) or old.get(p)) is not None}
         new = list(wanted - have.keys())
         if new:
-            have.update(zip(new, self._library(new)))
+            have.update(self._library(new))
         known.update((w, b"".join([have[p] for p in cut])) for w, cut in parts.items())
         for w, ids in (known | have).items():
             self._keep(w, ids)
         return known
 
     def ids(self, text: bytes) -> Iterator[bytes]:
-        """Ids as native 32-bit integers, of one piece of the text after the other."""
+        """Ids as numbers of ``kind``, of one piece of the text after the other."""
         at = 0
         while at < len(text):
             end = len(text)
@@ -173,42 +203,65 @@ def encode_ids(
     path: str | None = None,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """(id, ids, crc): ids of each text and the end id, and the CRC-32 of their bytes."""
+    """(id, ids, width, crc): ids of each text and the end id, ``width`` bytes each.
+
+    ``crc`` is the CRC-32 of the ids as 32-bit numbers.
+    """
     with open(path or public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
         vocabulary = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     digest = hashlib.sha256(vocabulary.encode("utf-8")).hexdigest()
-    end = struct.pack("<I", end_id)
-    kind = docs.schema[id_col].dataType
+    schema = T.StructType(
+        [
+            T.StructField("id", docs.schema[id_col].dataType),
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("width", T.IntegerType()),
+            T.StructField("crc", T.LongType()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = kept("token_words", digest, lambda: Words(shared.value))
+        kind = max(words.kind, id_kind(end_id), key=lambda k: k.itemsize)
+        end = np.array([end_id], kind).tobytes()
         for batch in batches:
             for at in range(0, len(batch), 128):
                 part = batch.slice(at, 128)
-                raw = [b"".join([*words.ids(t), end]) for t in part.column(1).to_pylist()]
-                ends = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(raw), np.int32)
+                raw = []
+                for text in part.column(1).to_pylist():
+                    ids = b"".join(words.ids(text))
+                    if kind != words.kind:
+                        ids = np.frombuffer(ids, words.kind).astype(kind).tobytes()
+                    raw.append(ids + end)
+                crc = [zlib.crc32(np.frombuffer(r, kind).astype("<u4")) for r in raw]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
-                        pa.ListArray.from_arrays(ends, flat),
-                        pa.array([zlib.crc32(r) for r in raw], pa.int64()),
+                        pa.array(raw, pa.binary()),
+                        pa.array([kind.itemsize] * len(raw), pa.int32()),
+                        pa.array(crc, pa.int64()),
                     ],
-                    names=["id", "ids", "crc"],
+                    names=schema.fieldNames(),
                 )
 
-    schema = T.StructType(
-        [
-            T.StructField("id", kind),
-            T.StructField("ids", T.ArrayType(T.IntegerType())),
-            T.StructField("crc", T.LongType()),
-        ]
-    )
     text = F.coalesce(quoted(text_col), F.lit("")).cast("binary")
     return docs.select(quoted(id_col).alias("id"), text.alias("text")).mapInArrow(run, schema)
 
 
+def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, n) of all ids of a task, from (ids, width)."""
+    counts = np.zeros(0, np.int64)
+    for batch in batches:
+        for raw, width in zip(*(c.to_pylist() for c in batch.columns)):
+            more = np.bincount(np.frombuffer(raw, f"<u{width}"), minlength=len(counts))
+            more[: len(counts)] += counts
+            counts = more
+    tokens = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(tokens, pa.int64()), pa.array(counts[tokens], pa.int64())], names=["token", "n"]
+    )
+
+
 # --- the code --------------------------------------------------------------------------------
 
 
@@ -477,15 +530,19 @@ class FileReader:
 def write_files(
     coded: DataFrame, folder: str | None = None, limit: int = LIMIT, file_ids: int = FILE_IDS
 ) -> DataFrame:
-    """Write (id, ids, crc), staged, to files: (file, place, docs, n_ids, bytes), staged."""
+    """Write what ``encode_ids`` gives, staged, to files: (file, place, docs, n_ids, bytes), staged."""
     spark = coded.sparkSession
     folder = folder or new_staging_path(spark, "token-files")
     counts = (
-        coded.select(F.explode("ids").alias("token")).groupBy("token").count().collect()
+        coded.select("ids", "width")
+        .mapInArrow(_count_ids, "token bigint, n bigint")
+        .groupBy("token")
+        .agg(F.sum("n").alias("n"))
+        .collect()
     )  # a row per id of the vocabulary
     table = np.zeros(max((r.token for r in counts), default=0) + 1, np.int64)
     for r in counts:
-        table[r.token] = r["count"]
+        table[r.token] = r.n
     lengths = code_lengths(table, limit)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -508,9 +565,7 @@ def write_files(
             )
 
         for batch in batches:
-            offsets = batch.column(1).offsets.to_numpy()
-            flat = batch.column(1).values.to_numpy()
-            for i, doc in enumerate(batch.column(0).to_pylist()):
+            for doc, raw, width in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is not None and out.ids >= file_ids:
                     yield closed()
                     out, number = None, number + 1
@@ -519,7 +574,7 @@ def write_files(
                     out = FileWriter(
                         files.open_output_stream(f"{base}/{name}", compression=None), lengths
                     )
-                out.add(doc, flat[offsets[i] : offsets[i + 1]])
+                out.add(doc, np.frombuffer(raw, f"<u{width}").astype(np.int32))
         if out is not None:
             yield closed()
 
@@ -528,7 +583,7 @@ def write_files(
         coded.withColumn("tie", F.monotonically_increasing_id())
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .select("id", "ids")
+        .select("id", "ids", "width")
     )
     return stage(
         ordered.mapInArrow(
