@@ -71,7 +71,7 @@ BLOCK = 1 << 18  # ids
 STEP = 128  # ids between two checkpoints
 FILE_IDS = 1 << 25  # a new file is begun after so many ids
 PIECE = 1 << 20  # bytes of a text that are encoded at a time
-KEPT_BYTES = 48 << 20  # words of one generation, as Python holds them
+KEPT_BYTES = 128 << 20  # words of one generation, as Python holds them
 KEPT_LENGTH = 64  # bytes; longer words are not kept
 MAGIC, FOOT = b"WBIDS\x00\x01\n", b"WBIDSEND"
 
