@@ -185,6 +185,25 @@ def profile_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile_shown_of(wide, "c_custkey_0")
 
 
+def approximate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts of orders by sketches, with whether they are within 3 % of the exact ones."""
+    orders = table(spark, sf_dir, "orders")
+    found = w.profile(_with_ix(orders, "o_orderkey"), columns=orders.columns, approx=True)
+    exact = orders.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("pos"), F.col(c).cast("string").alias("value"))
+                    for i, c in enumerate(orders.columns)
+                ]
+            )
+        )
+    )
+    counted = exact.groupBy("pos").agg(F.count_distinct("value").alias("exact_count"))
+    close = F.abs(F.col("distinct_count") - F.col("exact_count")) <= 0.03 * F.col("exact_count")
+    return found.join(counted, "pos").select("name", "exact_count", close.alias("within"))
+
+
 def profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profiles of two datasets in one table."""
     found = w.profile_all(
@@ -387,6 +406,39 @@ def many_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unlike_extracts(spark: SparkSession, sf_dir: str) -> w.Materialized:
+    """2,000 extracts of sites in 50 kinds of headings: columns turned round, others between."""
+    key = F.col("c_custkey")
+    site = facility_extract(spark, sf_dir)
+    headers = list(FACILITY_HEADERS.values())
+    extract = F.col("_ix") % 2000
+    kind = extract % 50
+    turned = F.array(*[F.coalesce(F.col(f"`{h}`").cast("string"), F.lit("")) for h in headers])
+    names = F.array(*[F.lit(h) for h in headers])
+
+    def arranged(values, filler):
+        turn = (kind % 5).cast("int")
+        moved = F.concat(F.slice(values, turn + 1, 5), F.slice(values, F.lit(1), turn))
+        return F.concat(F.array_repeat(filler, F.floor(kind / 5).cast("int")), moved)
+
+    rows = site.select(
+        F.format_string("extract-%d", extract).alias("dataset_id"),
+        "_ix",
+        arranged(turned, F.lit("x")).alias("cells"),
+    )
+    headings = (
+        table(spark, sf_dir, "customer")
+        .select(key.alias("_ix"))
+        .groupBy(extract.alias("_ix"))
+        .agg(F.lit(1).alias("one"))
+        .select(
+            F.format_string("extract-%d", "_ix").alias("dataset_id"),
+            F.posexplode(arranged(names, F.lit("remark"))).alias("col_pos", "column"),
+        )
+    )
+    return w.materialize_cells(rows, headings, w.FACILITY)[0]
+
+
 def all_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir).warnings.select("dataset_id", "entity", "_ix", "warning")
 
@@ -415,6 +467,25 @@ def write_modelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def written_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of three runs, the second replaces the first: what is read back."""
+    output = new_staging_path(spark, "runs")
+    shipments_ = {"shipments": (shipment_extract(spark, sf_dir), "Shipment")}
+    sites = {"sites": (facility_extract(spark, sf_dir), "Facility")}
+    carriers = {"carriers": (carrier_extract(spark, sf_dir), "Carrier")}
+    w.run_pipeline(shipments_ | carriers, output=output, mode="append")
+    w.run_pipeline(carriers | sites, output=output, mode="overwrite")
+    w.run_pipeline(sites, output=output, mode="append")
+    found = w.read_modelled(spark, output)
+    n = F.count(F.lit(1)).alias("n")
+    parts = [t.agg(n).select(F.lit(e).alias("part"), "n") for e, t in found.tables.items()]
+    rejects = found.rejects.groupBy(F.concat(F.lit("rejected "), "entity").alias("part")).agg(n)
+    out = rejects
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
 def absurd_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipments of which some cost 1 with 40 zeros, or as much less than nothing."""
     order = F.col("l_orderkey")
@@ -524,6 +595,12 @@ def queries() -> dict[str, Query]:
         "modelled_report": lambda s, d: _report_shown(_run(s, d).report),
         "many_extracts": many_extracts,
         "all_warnings": all_warnings,
+        "unlike_extracts": lambda s, d: unlike_extracts(s, d).records,
+        "unlike_extracts_report": lambda s, d: unlike_extracts(s, d).report.select(
+            "dataset_id", "records", "dropped"
+        ),
+        "approximate_counts": approximate_counts,
+        "written_runs": written_runs,
         "write_modelled": write_modelled,
         "record_totals": lambda s, d: _run(s, d).totals,
         "reference_date": lambda s, d: w.reference_date(shipments(s, d)),

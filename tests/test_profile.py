@@ -158,3 +158,89 @@ def test_findings_read_only_the_columns_they_concern(spark):
     df = spark.createDataFrame([(0, "ab", "1"), (1, "AB", "2")], "_ix bigint, c string, n string")
     plan = profile(df)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*(EqualTo|In)\(pos", plan)
+
+
+LONG_A, LONG_B = "word " * 60 + "end", "Other " * 50 + "text"
+
+
+def test_long_values_like_short_ones(spark):
+    """The findings do not change where values are told apart by hashes."""
+    rng = random.Random(6)
+    pools = [
+        [LONG_A, LONG_A.upper(), LONG_A.title(), LONG_B, LONG_B + "x", LONG_B + "y", "", "short", "Short"],
+        ["9" * 200, "1", "-" + "8" * 150, ""],
+        ["1." + "5" * 200, "$" + "1," * 100 + "5", "7"],
+        [" " * 200 + "2020-01-02", "2021-03-04", "Jan 5 2020" + " " * 150],
+        [f"{i} " + "tail " * 40 for i in range(300)],
+    ]
+    rows = [(i, *[rng.choice(p) for p in pools]) for i in range(1500)]
+    df = spark.createDataFrame(rows, "_ix bigint, a string, b string, c string, d string, e string")
+    got = profile(df.repartition(3)).collect()
+    import waybill.operators.profiling as module
+
+    before = module.LONG
+    module.LONG = 10_000
+    try:
+        want = profile(df.repartition(3)).collect()
+    finally:
+        module.LONG = before
+    assert got == want
+    assert got[0].issues[0].startswith('Inconsistent casing: "') and LONG_A in got[0].issues[0]
+    assert [p.inferred_type for p in got] == ["string", "integer", "float", "date", "string"]
+
+
+def test_long_texts_do_not_travel(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("_ix", F.col("doc_id"))
+    values = column_values(docs, ["text"])
+    size = sum(F.coalesce(F.octet_length(c), F.lit(0)) if c == "value" else F.lit(8) for c in values.columns)
+    shuffled = values.agg(F.sum(size)).first()[0]
+    assert shuffled * 10 < docs.agg(F.sum(F.octet_length("text"))).first()[0]
+
+
+def test_approximate_counts(spark):
+    n = 40_000
+    df = spark.range(n).select(
+        F.col("id").alias("_ix"),
+        F.concat(F.lit("v"), F.col("id") % 30_000).alias("many"),
+        (F.col("id") % 7).cast("string").alias("few"),
+        F.when(F.col("id") % 2 == 0, "").otherwise(F.lit("2020-01-01")).alias("day"),
+        F.concat(F.repeat(F.lit("long "), F.lit(50)), F.col("id") % 5000).alias("text"),
+    )
+    exact, got = profile(df).collect(), profile(df, approx=True).collect()
+    for a, b in zip(exact, got):
+        assert abs(a.distinct_count - b.distinct_count) <= 0.03 * a.distinct_count
+        for same in ("name", "inferred_type", "null_count", "null_rate", "samples", "date_formats"):
+            assert a[same] == b[same]
+    plan = profile(df, approx=True)._jdf.queryExecution().executedPlan().toString()
+    assert "column-values" not in plan
+
+
+def test_many_datasets_in_as_many_jobs_as_one(spark):
+    from waybill import profile_many
+
+    def jobs(work):
+        tag = f"jobs-{work.__name__}"
+        spark.sparkContext.setJobGroup(tag, tag)
+        out = work()
+        spark.sparkContext.setJobGroup("other", "other")
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(tag))
+
+    tables = {
+        f"d{i}": spark.createDataFrame([(0, f"x{i}", LONG_A), (1, "", "b")], f"_ix bigint, c{i} string, same string")
+        for i in range(60)
+    }
+
+    def few():
+        return profile_many(dict(list(tables.items())[:3])).collect()
+
+    def many():
+        return profile_many(tables).collect()
+
+    (_, some), (got, all_) = jobs(few), jobs(many)
+    assert all_ <= some + 1
+    assert [(r.dataset_id, r.pos, r.name) for r in got] == [
+        (f"d{i}", pos, name) for i in range(60) for pos, name in enumerate((f"c{i}", "same"))
+    ]
+    for i in (0, 59):
+        alone = profile(tables[f"d{i}"]).collect()
+        assert [r[:-1] for r in map(tuple, got) if r[-1] == f"d{i}"] == [tuple(r) for r in alone]

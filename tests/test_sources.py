@@ -1,8 +1,10 @@
+import gzip
+import io
 import random
 
 import pytest
 from waybill.sources import as_text, clear_staged, drop_staged, preview, read_extract, stage, staging_root
-from waybill.sources import staging
+from waybill.sources import extracts, heads, staging
 
 
 def write(tmp_path, text, name="x.csv"):
@@ -160,3 +162,59 @@ def test_clearing_staged_tables(spark, tmp_path, monkeypatch):
     assert list((tmp_path / "mine").iterdir())
     clear_staged(spark)
     assert not (tmp_path / "mine").exists()
+
+
+def head(data, chunks=None):
+    """First record of some bytes, and how many of them were read."""
+    stream = io.BytesIO(data)
+    fields = heads.first_record(stream.read)
+    return fields, stream.tell()
+
+
+def test_heads_are_read_and_no_more():
+    rest = b"1,2\n" * 1_000_000
+    assert head(b"a,b\n" + rest) == (["a", "b"], heads.CHUNK)
+    assert head(b"\n  \r\n\xef\xbb\xbf".replace(b"\xef\xbb\xbf", b"") + b'"x ""y""",z \r' + rest)[0] == ['x "y"', "z "]
+    assert head(b"\xef\xbb\xbf a,b\r\n1,2")[0] == ["a", "b"]
+    assert head(b'"two\nlines",b\n' + rest)[0] == ["two\nlines", "b"]
+    assert head(b'a"b,c\n' + rest)[0] == ['a"b', "c"]
+    long = b",".join(b"column%d" % i for i in range(20_000)) + b"\n"
+    fields, read = head(long + rest)
+    assert len(fields) == 20_000 and read <= len(long) + heads.CHUNK
+    assert head(b"") == ([], 0) and head(b"\n \n")[0] == []
+    assert head(b'"never closed' + rest)[1] <= heads.HEAD_BYTES
+
+
+def test_many_files_are_not_read_for_their_headers(spark, tmp_path, monkeypatch):
+    """Three kinds of headers in 40 files; compressed ones too."""
+    for i in range(40):
+        body = f"k{i % 3},v\n" + f"{i},x\n" * 3
+        if i % 5:
+            write(tmp_path, body, f"f{i:02d}.csv")
+        else:
+            (tmp_path / f"f{i:02d}.csv.gz").write_bytes(gzip.compress(body.encode()))
+    found = extracts._headers(spark, str(tmp_path))
+    assert {names: len(files) for names, files in found.items()} == {
+        (f"k{i}", "v"): len(range(i, 40, 3)) for i in range(3)
+    }
+    df = read_extract(spark, str(tmp_path))
+    assert df.count() == 120 and df.select("_ix").distinct().count() == 120
+
+
+def test_split_rows_are_numbered_where_they_are(spark, tmp_path):
+    """No sort of all rows: places follow file, block and line over several files and headers."""
+    for name, lead in (("a.csv", "k,v\n"), ("b.csv", "k,v\n"), ("c.csv", "v,k\n")):
+        rows = [f'{name}{i:05d},"t\n{i}"\n' if i % 7 == 0 else f"{name}{i:05d},{'x' * 30}\n" for i in range(2000)]
+        if lead == "v,k\n":
+            rows = [",".join(reversed(r[:-1].split(",", 1))) + "\n" for r in rows]
+        write(tmp_path, lead + "".join(rows), name)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        df = read_extract(spark, str(tmp_path), multi_line="split")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan.lower()
+        got = [r.k for r in df.orderBy("_ix").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [f"{n}{i:05d}" for n in ("a.csv", "b.csv", "c.csv") for i in range(2000)]

@@ -11,12 +11,14 @@ from .plans.entities import (
     FieldSpec,
     fields_table,
 )
+from .plans.extract_classes import cells_of, materialize_cells, read_cells
 from .plans.pipeline import (
     PipelineResult,
     dataset_summary,
     map_all,
     materialize_many,
     profile_all,
+    read_modelled,
     run_pipeline,
 )
 from .sources import *  # noqa: F403
@@ -32,10 +34,14 @@ __all__ = [
     "EntitySpec",
     "FieldSpec",
     "PipelineResult",
+    "cells_of",
     "dataset_summary",
     "fields_table",
     "map_all",
+    "materialize_cells",
     "materialize_many",
     "profile_all",
+    "read_cells",
+    "read_modelled",
     "run_pipeline",
 ]

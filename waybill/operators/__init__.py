@@ -28,7 +28,7 @@ from .metrics import (
     status_counts,
     with_delivery_flags,
 )
-from .profiling import column_values, issue_total, profile
+from .profiling import column_values, issue_total, profile, profile_many
 from .questions import Answer, answer_for, ask, classify_questions, read_questions
 from .standardize import (
     canonicalize_enum,
@@ -63,6 +63,7 @@ __all__ = [
     "materialize",
     "normalize_places",
     "profile",
+    "profile_many",
     "read_questions",
     "record_totals",
     "records_of",

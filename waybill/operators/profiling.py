@@ -6,6 +6,12 @@ distinct values is staged and everything else is computed from it:
 * one aggregate per column gives counts, types and date formats;
 * samples, casing groups and typo pairs read only the columns they concern.
 
+Values of more than ``LONG`` characters do not travel. They are told apart by 128
+bits of hashes, of the value and of its lower case, and what the rules say of
+them is decided where they stand. The few long values that a profile shows are
+fetched by a second read of just those columns, joined with the list of what is
+shown.
+
 Per column at most four samples and 25 values for the typo check meet in one
 place, and the casings of three values. A value has as many casings as were
 written; ``max_casings`` bounds how many of them a finding lists.
@@ -13,9 +19,10 @@ written; ``max_casings`` bounds how many of them a finding lists.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,47 +40,147 @@ TYPO_PAIRS_SHOWN = 3
 BOOLEAN_WORDS = ("true", "false", "yes", "no", "y", "n", "1", "0")
 
 _SAMPLE_SLICES = 16
+LONG = 128  # characters; longer values are told apart by hashes
+LEAD = 16  # characters of a long value that are kept, to order values with the same index
+APPROX_ERROR = 0.01  # relative standard deviation of approximate distinct counts
+
+# What the rules say of a long value, as bits; the date format follows above them.
+_INTEGER, _NUMBER, _MARKED, _PADDED, _FORMAT = 1, 2, 4, 8, 16
+
+
+# (positions or None for all) -> cells of these columns: (pos, ix, text)
+Cells = Callable[[set[int] | None], DataFrame]
+
+
+def _cells_of(df: DataFrame, names: Sequence[str], order_col: str, first_pos: int = 0) -> Cells:
+    """The cells of a table, whose columns are numbered from ``first_pos``."""
+    df = with_row_index(df, order_col)
+
+    def cells(positions: set[int] | None) -> DataFrame | None:
+        wanted = [
+            (first_pos + i, name)
+            for i, name in enumerate(names)
+            if positions is None or first_pos + i in positions
+        ]
+        if not wanted:
+            return None
+        text = as_text(df, [name for _, name in wanted], order_col)
+        return text.select(
+            named(order_col).cast("bigint").alias("ix"),
+            F.inline(
+                F.array(
+                    *[F.struct(F.lit(p).alias("pos"), named(n).alias("text")) for p, n in wanted]
+                )
+            ),
+        )
+
+    return cells
+
+
+def _hashes(text: Column, when: Column, prefix: str) -> list[Column]:
+    """128 bits of a text, as two columns that are null unless ``when``."""
+    return [
+        F.when(when, F.xxhash64(text)).alias(f"{prefix}1"),
+        F.when(when, F.xxhash64(F.lit(1), text)).alias(f"{prefix}2"),
+    ]
+
+
+def _verdict(text: Column) -> Column:
+    """What the rules say of a text, in one number."""
+    fmt = date_format_of(text)
+    which = F.coalesce(F.array_position(F.array(*[F.lit(f) for f in DATE_FORMATS]), fmt), F.lit(0))
+
+    def bit(test: Column, value: int) -> Column:
+        return F.when(test, value).otherwise(0)
+
+    return (
+        bit(text.rlike(_INTEGER_TEXT), _INTEGER)
+        + bit(parse_number(text).isNotNull(), _NUMBER)
+        + bit(text.contains("$") | text.contains(","), _MARKED)
+        + bit(text != wide_trim(text), _PADDED)
+        + which * _FORMAT
+    ).cast("int")
+
+
+_INTEGER_TEXT = r"^-?\d+\z"
+_KEYS = ["pos", "value", "h1", "h2", "f1", "f2", "verdict"]
+
+
+def _distinct(cells: DataFrame) -> DataFrame:
+    """Every distinct value of every column, from cells (pos, ix, text)."""
+    text = F.col("text")
+    long = F.length(text) > LONG
+    return (
+        cells.select(
+            "pos",
+            "ix",
+            F.when(long, F.substring(text, 1, LEAD)).otherwise(text).alias("value"),
+            *_hashes(text, long, "h"),
+            *_hashes(F.lower(text), long, "f"),
+            F.when(long, _verdict(text)).alias("verdict"),
+        )
+        .groupBy(*_KEYS)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("ix").alias("first_ix"))
+    )
 
 
 def column_values(
     df: DataFrame, columns: Sequence[str] | None = None, order_col: str = ROW_INDEX
 ) -> DataFrame:
-    """Every distinct value of every column: (pos, value, n, first_ix).
+    """Every distinct value of every column: (pos, value, ..., n, first_ix).
 
     The unpivot multiplies rows by columns inside a task only; values are
     counted there before they are shuffled. One pass, however wide the table.
+    Of a value above ``LONG`` characters, ``value`` is the beginning, ``h1`` and
+    ``h2`` are its hash, ``f1`` and ``f2`` that of its lower case, and
+    ``verdict`` is what the rules say of it; they are null for others.
     """
     df = with_row_index(df, order_col)
     names = list(columns or [c for c in df.columns if c != order_col])
-    text = as_text(df, names, order_col)
+    return _distinct(_cells_of(df, names, order_col)(None))
 
-    cells = F.array(
-        *[
-            F.struct(F.lit(i).alias("pos"), named(name).alias("value"))
-            for i, name in enumerate(names)
-        ]
-    )
-    return (
-        text.select(named(order_col).cast("bigint").alias("ix"), F.inline(cells))
-        .groupBy("pos", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("ix").alias("first_ix"))
-    )
 
+def _rules(values: DataFrame) -> dict[str, Column]:
+    """The tests on a value, by its text or, if it is long, by its verdict."""
+    value, long = F.col("value"), F.col("h1").isNotNull()
+    verdict = F.col("verdict")
+
+    def rule(bit: int, test: Column) -> Column:
+        return F.when(long, verdict.bitwiseAND(bit) != 0).otherwise(test)
 
-def _column_stats(values: DataFrame) -> DataFrame:
+    fmt = F.get(
+        F.array(*[F.lit(f) for f in DATE_FORMATS]), F.floor(verdict / _FORMAT).cast("int") - 1
+    )
+    return {
+        "is_integer": rule(_INTEGER, value.rlike(_INTEGER_TEXT)),
+        "is_number": rule(_NUMBER, parse_number(value).isNotNull()),
+        "is_boolean": ~long & F.lower(value).isin(*BOOLEAN_WORDS),
+        "is_marked": rule(_MARKED, value.contains("$") | value.contains(",")),
+        "is_padded": rule(_PADDED, value != wide_trim(value)),
+        "fmt": F.when(long, fmt).otherwise(F.when(value != "", date_format_of(value))),
+    }
+
+
+def _column_stats(
+    values: DataFrame, n: Column | None = None, distinct: Column | None = None
+) -> DataFrame:
     """One row per column, from fixed-size counters only."""
-    value, n, ix = F.col("value"), F.col("n"), F.col("first_ix")
+    value, ix, long = F.col("value"), F.col("first_ix"), F.col("h1").isNotNull()
+    n = F.col("n") if n is None else n
     filled = value != ""
     fmt = F.col("fmt")
 
-    def always(rule: Column) -> Column:
+    def always(rule: str) -> Column:
         # A column without values passes every rule.
-        return F.coalesce(F.bool_and(F.when(filled, rule)), F.lit(True))
+        return F.coalesce(F.bool_and(F.when(filled, F.col(rule))), F.lit(True))
+
+    def ever(rule: str) -> Column:
+        return F.coalesce(F.bool_or(F.col(rule)), F.lit(False))
 
     # Bound for the samples: the smallest index in each of 16 slices of the
     # values belongs to a different value, so the 4th smallest of these is not
     # below the 4th smallest of all.
-    slice_no = F.pmod(F.hash(value), F.lit(_SAMPLE_SLICES))
+    slice_no = F.pmod(F.hash("value", "h1"), F.lit(_SAMPLE_SLICES))
     firsts = F.array_sort(
         F.array_compact(
             F.array(
@@ -89,22 +196,21 @@ def _column_stats(values: DataFrame) -> DataFrame:
     )
     seen = F.array_sort(F.filter(formats, lambda f: f["ix"].isNotNull()))
     return (
-        values.withColumn("fmt", F.when(filled, date_format_of(value)))
+        values.withColumns(_rules(values))
         .groupBy("pos")
         .agg(
-            F.sum("n").alias("total"),
+            F.sum(n).alias("total"),
             F.sum(F.when(filled, 0).otherwise(n)).alias("null_count"),
-            F.count_if(filled).alias("distinct_count"),
-            always(value.rlike(r"^-?\d+\z")).alias("all_integer"),
-            always(parse_number(value).isNotNull()).alias("all_number"),
-            always(F.lower(value).isin(*BOOLEAN_WORDS)).alias("all_boolean"),
-            always(fmt.isNotNull()).alias("all_date"),
+            (F.count_if(filled) if distinct is None else distinct).alias("distinct_count"),
+            always("is_integer").alias("all_integer"),
+            always("is_number").alias("all_number"),
+            always("is_boolean").alias("all_boolean"),
+            F.coalesce(F.bool_and(F.when(filled, fmt.isNotNull())), F.lit(True)).alias("all_date"),
             F.transform(seen, lambda f: f["fmt"]).alias("formats"),
-            F.coalesce(F.bool_or(value.contains("$") | value.contains(",")), F.lit(False)).alias(
-                "marked"
-            ),
-            F.coalesce(F.bool_or(value != wide_trim(value)), F.lit(False)).alias("padded"),
+            ever("is_marked").alias("marked"),
+            ever("is_padded").alias("padded"),
             F.get(firsts, F.lit(SAMPLES - 1)).alias("sample_bound"),
+            F.coalesce(F.bool_or(long), F.lit(False)).alias("has_long"),
         )
         .withColumn(
             "inferred_type",
@@ -122,75 +228,113 @@ _STATS_SCHEMA = (
     "distinct_count bigint, formats array<string>, marked boolean, padded boolean, "
     "sample_bound bigint"
 )
+_SHOWN = ["pos", "kind", "grp", "first_ix", "n", "value", "h1", "h2"]
+
+
+def _shown(values: DataFrame, kind: str, grp: Column) -> DataFrame:
+    return values.withColumn("kind", F.lit(kind)).withColumn("grp", grp).select(*_SHOWN)
 
 
-def _samples(values: DataFrame, stats: DataFrame) -> DataFrame:
+def _sample_values(values: DataFrame, stats: DataFrame) -> DataFrame:
     """The first distinct values of each column."""
     bounds = stats.select("pos", "sample_bound")
-    rank = F.row_number().over(W.partitionBy("pos").orderBy("first_ix", "value"))
-    return (
+    rank = F.row_number().over(W.partitionBy("pos").orderBy("first_ix", "value", "h1", "h2"))
+    early = (
         values.filter(F.col("value") != "")
-        .join(F.broadcast(bounds), "pos")
+        .join(F.broadcast(bounds), "pos")  # a row per column
         .filter(F.col("sample_bound").isNull() | (F.col("first_ix") <= F.col("sample_bound")))
-        .select("pos", "first_ix", "value", rank.alias("rank"))
+        .withColumn("rank", rank)
         .filter(F.col("rank") <= SAMPLES)
-        .groupBy("pos")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("s"))
-        .select("pos", F.col("s.value").alias("samples"))
     )
+    return _shown(early, "sample", F.lit(0))
 
 
-def _casing(
+def _casing_values(
     values: DataFrame, string_columns: list[int], max_casings: int | None = None
 ) -> DataFrame:
     """Values written in several casings: the first three groups of each column.
 
     Of each group the first ``max_casings`` spellings, or all.
     """
-    text = values.filter(F.col("pos").isin(string_columns) & (F.col("value") != "")).withColumn(
-        "folded", F.lower("value")
+    lower = F.lower("value")
+    text = values.filter(F.col("pos").isin(string_columns) & (F.col("value") != "")).select(
+        "*",
+        F.coalesce("f1", F.xxhash64(lower)).alias("g1"),
+        F.coalesce("f2", F.xxhash64(F.lit(1), lower)).alias("g2"),
     )
-    rank = F.row_number().over(W.partitionBy("pos").orderBy("group_ix", "folded"))
-    shown = (
-        text.groupBy("pos", "folded")
-        # Values are distinct: the smallest and the largest differ if there are two.
+    rank = F.row_number().over(W.partitionBy("pos").orderBy("group_ix", "folded", "g1", "g2"))
+    groups = (
+        text.groupBy("pos", "g1", "g2")
+        # Values are distinct, so a group of several rows has several casings.
         .agg(
-            (F.min("value") != F.max("value")).alias("several"),
+            F.count(F.lit(1)).alias("casings"),
             F.min("first_ix").alias("group_ix"),
+            F.min(lower).alias("folded"),
         )
-        .filter("several")
-        .select("pos", "folded", rank.alias("rank"), "group_ix")
-        .filter(F.col("rank") <= CASING_GROUPS_SHOWN)
-        .select("pos", "folded", "rank")
+        .filter("casings > 1")
+        .select("pos", "g1", "g2", rank.alias("grp"))
+        .filter(F.col("grp") <= CASING_GROUPS_SHOWN)
     )
     # At most three rows per column of the table's schema.
-    spellings = text.join(F.broadcast(shown), ["pos", "folded"])
+    spellings = text.join(F.broadcast(groups), ["pos", "g1", "g2"])
     if max_casings is not None:
-        nth = F.row_number().over(W.partitionBy("pos", "rank").orderBy("first_ix", "value"))
-        spellings = spellings.withColumn("nth", nth).filter(F.col("nth") <= max_casings)
+        in_group = W.partitionBy("pos", "grp").orderBy("first_ix", "value", "h1", "h2")
+        spellings = spellings.withColumn("nth", F.row_number().over(in_group)).filter(
+            F.col("nth") <= max_casings
+        )
+    return _shown(spellings, "casing", F.col("grp"))
+
+
+def _texts_of(shown: DataFrame, cells: DataFrame) -> DataFrame:
+    """``shown`` with the texts of its long values, from cells of the columns that have any."""
+    wanted = shown.filter(F.col("h1").isNotNull()).select("pos", "h1", "h2", "first_ix").distinct()
+    found = (
+        cells.filter(F.length("text") > LONG)
+        .join(wanted.withColumnRenamed("first_ix", "ix"), ["pos", "ix"])
+        .filter(
+            (F.xxhash64("text") == F.col("h1")) & (F.xxhash64(F.lit(1), F.col("text")) == F.col("h2"))
+        )
+        .groupBy("pos", "h1", "h2")
+        .agg(F.min("text").alias("text"))
+    )
+    return shown.join(found, ["pos", "h1", "h2"], "left").withColumn(
+        "value", F.coalesce("text", "value")
+    )
+
+
+def _samples(shown: DataFrame) -> DataFrame:
+    return (
+        shown.filter("kind = 'sample'")
+        .groupBy("pos")
+        .agg(F.array_sort(F.collect_list(F.struct("first_ix", "value"))).alias("s"))
+        .select("pos", F.col("s.value").alias("samples"))
+    )
+
+
+def _casing(shown: DataFrame) -> DataFrame:
     variants = (
-        spellings
-        .groupBy("pos", "rank")
+        shown.filter("kind = 'casing'")
+        .groupBy("pos", "grp")
         .agg(F.array_sort(F.collect_list(F.struct("first_ix", "value"))).alias("v"))
         .select(
             "pos",
-            "rank",
+            "grp",
             F.concat(F.lit('"'), F.array_join(F.col("v.value"), '" vs "'), F.lit('"')).alias("g"),
         )
     )
     return (
         variants.groupBy("pos")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "g"))).alias("groups"))
+        .agg(F.array_sort(F.collect_list(F.struct("grp", "g"))).alias("groups"))
         .select("pos", F.array_join(F.col("groups.g"), ", ").alias("casing"))
     )
 
 
-def _typos(values: DataFrame, short_columns: list[int], min_length: int) -> DataFrame:
+def _typos(shown: DataFrame, min_length: int) -> DataFrame:
     """Pairs of similar values in columns that hold only a few values."""
     listed = (
-        values.filter(F.col("pos").isin(short_columns) & (F.col("value") != ""))
+        shown.filter("kind = 'few'")
         .groupBy("pos")
-        # At most 25 values per column: others are not in ``short_columns``.
+        # At most 25 values per column: others are not among the shown.
         .agg(F.array_sort(F.collect_list(F.struct("first_ix", "value", "n"))).alias("v"))
     )
     left = listed.select("pos", "v", F.posexplode("v").alias("i", "a"))
@@ -224,26 +368,100 @@ def profile(
     order_col: str = ROW_INDEX,
     typo_min_length: int = 0,
     max_casings: int | None = None,
+    approx: bool = False,
 ) -> DataFrame:
     """One row per column, in column order (``pos``).
 
     Columns: pos, name, inferred_type, null_count, null_rate, distinct_count,
     samples, issues, date_formats. Null means the empty text. ``order_col``
     tells which value was seen first; rows sharing an index are taken in the
-    order of their texts.
+    order of their texts (long ones by their first ``LEAD`` characters).
+
+    ``approx`` counts distinct values by sketches, within some percent, so that
+    no values are shuffled; casings and typos are then not looked for.
 
     Staging the distinct values and the per-column counters (one row per
     column) run at once; the findings are lazy.
     """
-    spark = df.sparkSession
     names = list(columns or [c for c in df.columns if c != order_col])
-    # Sorted by column inside each file, so that a filter on ``pos`` skips pages of the others.
-    # (A folder per column prunes as well, but its many small files cost twice the time.)
-    values = stage(
-        column_values(df, names, order_col).sortWithinPartitions("pos"), "column-values"
+    cells = _cells_of(df, names, order_col)
+    found = profile_cells(df.sparkSession, cells, names, typo_min_length, max_casings, approx)
+    return found.orderBy("pos")
+
+
+def profile_many(
+    datasets: dict[str, DataFrame],
+    order_col: str = ROW_INDEX,
+    typo_min_length: int = 0,
+    max_casings: int | None = None,
+    approx: bool = False,
+) -> DataFrame:
+    """Profiles of any number of datasets, with their ``dataset_id``, in one pass over all.
+
+    The columns of all datasets are numbered through, so however many there are,
+    the jobs are those of one profile.
+    """
+    names: list[str] = []
+    owners: list[tuple[int, str, int]] = []
+    parts: list[Cells] = []
+    for dataset_id, df in datasets.items():
+        own = [c for c in df.columns if c != order_col]
+        parts.append(_cells_of(df, own, order_col, len(names)))
+        owners += [(len(names) + i, dataset_id, i) for i in range(len(own))]
+        names += own
+
+    def cells(positions: set[int] | None) -> DataFrame:
+        wanted = [c for part in parts if (c := part(positions)) is not None]
+        return reduce(DataFrame.unionByName, wanted)
+
+    spark = next(iter(datasets.values())).sparkSession
+    found = profile_cells(spark, cells, names, typo_min_length, max_casings, approx)
+    owner = spark.createDataFrame(owners, "pos int, dataset_id string, own_pos int")
+    return (
+        found.join(F.broadcast(owner), "pos")  # a row per column of the schemas
+        .orderBy("pos")
+        .withColumn("pos", F.col("own_pos"))
+        .drop("own_pos")
+    )
+
+
+def _sketched(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per-column counters over all cells, and early values, without grouping by value."""
+    text = F.col("text")
+    long = F.length(text) > LONG
+    rows = cells.select(
+        "pos",
+        F.col("ix").alias("first_ix"),
+        F.when(long, F.substring(text, 1, LEAD)).otherwise(text).alias("value"),
+        *_hashes(text, long, "h"),
+        F.when(long, _verdict(text)).alias("verdict"),
+        F.when(text != "", F.xxhash64(text)).alias("whole"),
+    )
+    distinct = F.approx_count_distinct("whole", APPROX_ERROR)
+    stats = stage(_column_stats(rows, F.lit(1), distinct), "column-sketches")
+    early = (
+        cells.join(F.broadcast(stats.select("pos", "sample_bound")), "pos")  # a row per column
+        .filter(F.col("sample_bound").isNull() | (F.col("ix") <= F.col("sample_bound")))
+        .select("pos", "ix", "text")
     )
+    return stats, _distinct(early)
 
-    found = {r.pos: r for r in _column_stats(values).collect()}
+
+def profile_cells(
+    spark: SparkSession,
+    cells: Cells,
+    names: Sequence[str],
+    typo_min_length: int = 0,
+    max_casings: int | None = None,
+    approx: bool = False,
+) -> DataFrame:
+    """The profile of columns ``names``, whose cells (pos, ix, text) ``cells`` gives."""
+    if approx:
+        counters, values = _sketched(cells(None))
+    else:
+        values = stage(_distinct(cells(None)), "column-values")
+        counters = _column_stats(values)
+    found = {r.pos: r for r in counters.collect()}
     rows = []
     for pos, name in enumerate(names):
         r = found.get(pos)
@@ -254,8 +472,17 @@ def profile(
             else (pos, name, "integer", 0, 0, 0, [], False, False, None)
         )
     stats = spark.createDataFrame(rows, _STATS_SCHEMA)
-    string_columns = [p for p, r in found.items() if r.inferred_type == "string"]
-    short_columns = [p for p in string_columns if 1 < found[p].distinct_count <= TYPO_MAX_VALUES]
+    string_columns = [p for p, r in found.items() if r.inferred_type == "string" and not approx]
+    few = [p for p in string_columns if 1 < found[p].distinct_count <= TYPO_MAX_VALUES]
+
+    shown = _sample_values(values, stats)
+    if string_columns:
+        shown = shown.union(_casing_values(values, string_columns, max_casings))
+    if few:
+        filled = values.filter(F.col("pos").isin(few) & (F.col("value") != ""))
+        shown = shown.union(_shown(filled, "few", F.lit(0)))
+    if long_columns := {p for p, r in found.items() if r.has_long}:
+        shown = stage(_texts_of(shown, cells(long_columns)), "shown-values")
 
     rate = F.coalesce(F.try_divide("null_count", "total"), F.lit(0.0))
     numeric = F.col("inferred_type").isin("integer", "float")
@@ -289,9 +516,9 @@ def profile(
         )
     )
     return (
-        stats.join(F.broadcast(_samples(values, stats)), "pos", "left")
-        .join(F.broadcast(_casing(values, string_columns, max_casings)), "pos", "left")
-        .join(F.broadcast(_typos(values, short_columns, typo_min_length)), "pos", "left")
+        stats.join(_samples(shown), "pos", "left")
+        .join(_casing(shown), "pos", "left")
+        .join(_typos(shown, typo_min_length), "pos", "left")
         .select(
             "pos",
             F.col("column").alias("name"),
@@ -303,7 +530,6 @@ def profile(
             issues.alias("issues"),
             formats.alias("date_formats"),
         )
-        .orderBy("pos")
     )
 
 

@@ -24,8 +24,9 @@ from ..operators.materializing import (
     report_of,
     warnings_of,
 )
-from ..operators.profiling import profile
+from ..operators.profiling import profile_many
 from ..sources.extracts import ROW_INDEX, named, with_row_index
+from ..sources.runs import commit_run, committed_runs, read_table
 from ..sources.sinks import write_flagged, write_table
 from ..sources.staging import new_staging_path, stage
 from .entities import FREIGHT, EntitySpec, entity_named
@@ -43,7 +44,7 @@ class PipelineResult:
     them, one row each.
     """
 
-    mappings: DataFrame
+    mappings: DataFrame | None
     tables: dict[str, DataFrame]
     rejects: DataFrame | None
     report: DataFrame | None
@@ -75,14 +76,8 @@ def dataset_summary(
 def profile_all(
     datasets: dict[str, tuple[DataFrame, str | None]], order_col: str = ROW_INDEX
 ) -> DataFrame:
-    """Profiles of several datasets in one table, with their ``dataset_id``."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            profile(df, order_col=order_col).withColumn("dataset_id", F.lit(dataset_id))
-            for dataset_id, (df, _) in datasets.items()
-        ],
-    )
+    """Profiles of several datasets in one table, with their ``dataset_id``, in one pass."""
+    return profile_many({d: df for d, (df, _) in datasets.items()}, order_col=order_col)
 
 
 def map_all(
@@ -122,12 +117,17 @@ def run_pipeline(
     entity are skipped.
 
     ``mode="append"`` adds a run below a folder of its own (``run=<id>``) and
-    returns that run only; ``ignore`` would return rows of an earlier run as
-    this one's and is refused.
+    returns that run only; ``overwrite`` does so too and hides all earlier runs;
+    ``ignore`` would return rows of an earlier run as this one's and is refused.
+    What a folder holds is read with ``read_modelled``: a run is there with all
+    its tables or, until the last is written, with none.
     """
     if mode == "ignore":
         raise ValueError("mode 'ignore' would report the rows of an earlier run")
-    run = f"/run={uuid.uuid4().hex}" if mode == "append" else ""
+    run_id = uuid.uuid4().hex
+    run = f"/run={run_id}" if mode in ("append", "overwrite") else ""
+    write_mode = "errorifexists" if mode == "overwrite" else mode
+    written: dict[str, tuple[str, DataFrame]] = {}
     if not datasets:
         raise ValueError("no datasets given")
     for dataset_id, (df, _) in datasets.items():
@@ -156,15 +156,22 @@ def run_pipeline(
             if output
             else new_staging_path(spark, entity.name.lower())
         )
-        flagged = write_flagged(reduce(DataFrame.unionByName, parts), path, mode)
+        flagged = write_flagged(reduce(DataFrame.unionByName, parts), path, write_mode)
+        written[entity.name] = (path, flagged)
         tables[entity.name] = records_of(flagged, entity, order_col)
         rejects.append(rejects_of(flagged, entity, order_col))
         reports.append(report_of(flagged, entity, ids, order_col))
         warnings.append(warnings_of(flagged, entity, order_col))
     report = reduce(DataFrame.unionByName, reports) if reports else None
     if output and report is not None:
-        report = write_table(report, f"{output.rstrip('/')}/report{run}", mode)
-        write_table(mappings, f"{output.rstrip('/')}/mappings{run}", mode)
+        base = output.rstrip("/")
+        report = write_table(report, f"{base}/report{run}", write_mode)
+        write_table(mappings, f"{base}/mappings{run}", write_mode)
+        extras = {
+            "report": (f"{base}/report{run}", report),
+            "mappings": (f"{base}/mappings{run}", mappings),
+        }
+        commit_run(spark, base, run_id, written, extras, mode == "overwrite")
     return PipelineResult(
         mappings=mappings,
         tables=tables,
@@ -174,6 +181,37 @@ def run_pipeline(
     )
 
 
+def read_modelled(
+    spark: SparkSession,
+    output: str,
+    entities: tuple[EntitySpec, ...] = FREIGHT,
+    order_col: str = ROW_INDEX,
+) -> PipelineResult:
+    """What the finished runs below ``output`` hold together.
+
+    A run that did not end is not seen, nor are runs before one that replaced them.
+    Without a finished run there are no tables.
+    """
+    found: dict[str, list[DataFrame]] = {}
+    for row in committed_runs(spark, output):
+        found.setdefault(row.name, []).append(
+            read_table(spark, row).withColumn("run", F.lit(row.run))
+        )
+    joined = {name: reduce(DataFrame.unionByName, parts) for name, parts in found.items()}
+    known = [e for e in entities if e.name in joined]
+
+    def together(parts: list[DataFrame]) -> DataFrame | None:
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    return PipelineResult(
+        mappings=joined.get("mappings"),
+        tables={e.name: records_of(joined[e.name], e, order_col) for e in known},
+        rejects=together([rejects_of(joined[e.name], e, order_col) for e in known]),
+        report=joined.get("report"),
+        warnings=together([warnings_of(joined[e.name], e, order_col) for e in known]),
+    )
+
+
 def materialize_many(
     df: DataFrame,
     dataset_col: str,

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -14,11 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WIDE_SPACE, wide_trim
+from .heads import file_heads
 from .staging import stage
 
 ROW_INDEX = "_ix"
+_PLACE = "\0place"  # of a row of a split file; no heading is called so
 
-_CSV_OPTIONS = {
+CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
@@ -42,49 +42,20 @@ def _names(values) -> tuple[str, ...]:
     return tuple(name or f"_c{i}" for i, name in enumerate(names)) if any(names) else ()
 
 
-def _first_record(spark: SparkSession, paths, multi_line: bool) -> tuple[str, ...]:
-    options = _CSV_OPTIONS | {"header": False, "multiLine": multi_line}
-    first = spark.read.options(**options).csv(paths).first()
-    return _names(first) if first is not None else ()
+def _literal_path(path: str) -> str:
+    """A file's path in a form that a reader takes as it stands."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _literal_path(uri: str) -> str:
-    """A file's address in a form that a reader takes as it stands."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+def _headers(spark: SparkSession, paths) -> dict[tuple[str, ...], list[str]]:
+    """The files of each distinct header; of every file only the start is read.
 
-
-def _headers(spark: SparkSession, paths, multi_line: bool) -> dict[tuple[str, ...], list[str]]:
-    """The files of each distinct header, found in one pass over the lines.
-
-    Each task keeps one line per file; the driver gets one row per file, as it
-    does when it lists them.
+    The driver gets one row per file, as it does when it lists them.
     """
-    if len(spark.read.text(paths).inputFiles()) == 1:
-        return {names: paths} if (names := _first_record(spark, paths, multi_line)) else {}
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("place"),
-    )
-    firsts = (
-        lines.where(wide_trim(F.col("value")) != "")
-        .groupBy("file")
-        .agg(F.min_by("value", "place").alias("header"))
-        .orderBy("file")
-        .collect()
-    )
     found: dict[tuple[str, ...], list[str]] = {}
-    for r in firsts:
-        path, line = _literal_path(r.file), r.header.lstrip("\ufeff")
-        if line.count('"') % 2:  # a heading with a line break
-            names = _first_record(spark, path, multi_line)
-        else:
-            names = _names(next(csv.reader([line], skipinitialspace=True)))
-        if names:
-            found.setdefault(names, []).append(path)
+    for r in file_heads(spark, paths).orderBy("path").collect():
+        if names := _names(r.fields):
+            found.setdefault(names, []).append(_literal_path(r.path))
     return found
 
 
@@ -106,18 +77,22 @@ def read_extract(
     per file. Turn it off for large files without such breaks, so that they
     are split. ``"split"`` allows both: line breaks in quotes and files read in
     many tasks, for files where quotes stand only around values and doubled
-    inside them; the lines are shuffled once.
+    inside them; the lines are shuffled once by block, and not sorted as a whole:
+    a table with one row per block tells how many lines come before it.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    found = _headers(spark, paths, bool(multi_line))
+    found = _headers(spark, paths)
     if not found:
         raise ValueError(f"no columns found in {paths}")
-    read = _read_split if multi_line == "split" else _read_alike
-    parts = [read(spark, files, names, bool(multi_line)) for names, files in found.items()]
+    if multi_line == "split":
+        parts = [_read_split(spark, f, n, i) for i, (n, f) in enumerate(found.items())]
+    else:
+        parts = [_read_alike(spark, f, n, bool(multi_line)) for n, f in found.items()]
     table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    index = named(_PLACE) if multi_line == "split" else F.monotonically_increasing_id()
     return table.select(
-        *[F.coalesce(named(c), F.lit("")).alias(c) for c in table.columns],
-        F.monotonically_increasing_id().alias(ROW_INDEX),
+        *[F.coalesce(named(c), F.lit("")).alias(c) for c in table.columns if c != _PLACE],
+        index.alias(ROW_INDEX),
     )
 
 
@@ -126,7 +101,7 @@ def _read_alike(
 ) -> DataFrame:
     """Files with the same header as trimmed text columns."""
     raw = (
-        spark.read.options(**_CSV_OPTIONS, header=True, enforceSchema=True, multiLine=multi_line)
+        spark.read.options(**CSV_OPTIONS, header=True, enforceSchema=True, multiLine=multi_line)
         .schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]))
         .csv(paths)
     )
@@ -137,30 +112,46 @@ def _read_alike(
 
 
 def _joined_lines(lines: DataFrame) -> DataFrame:
-    """Records (file, block, at, text) from lines (file, block, at, line), read in any number of tasks.
+    """Records (file, ix, text) from lines (file, block, at, line), read in any number of tasks.
 
     A line starts a record if an even number of quotes comes before it in its
-    file. Quotes are counted per block of a file; a table with one row per block
-    carries parity, and the record that is open, from block to block. Only
-    records of several lines are grouped.
+    file. Lines and quotes are counted per block of a file; a table with one row
+    per block carries the number of lines before it, parity, and the record that
+    is open, from block to block. ``ix`` is the place of the record's first line
+    among all lines. Only records of several lines are grouped.
     """
-    block = W.partitionBy("file", "block").orderBy("at")
-    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    block = W.partitionBy("file", "block").orderBy("ix")
+    in_file = W.partitionBy("file").orderBy("block")
+    earlier = in_file.rowsBetween(W.unboundedPreceding, -1)
+    in_all = W.orderBy("file", "block").rowsBetween(W.unboundedPreceding, -1)
     before = block.rowsBetween(W.unboundedPreceding, -1)
     quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
     counted = lines.withColumn("odd", quotes % 2)
-    # One row per block of a file.
-    parity = (
+    # One row per block of a file. The lines of a block are numbered without gaps.
+    blocks = (
         counted.groupBy("file", "block")
-        .agg((F.sum("odd") % 2).alias("own"))
-        .select("file", "block", F.coalesce(F.sum("own").over(earlier) % 2, F.lit(0)).alias("given"))
+        .agg(
+            (F.sum("odd") % 2).alias("own"),
+            F.min("at").alias("first"),
+            F.count(F.lit(1)).alias("size"),
+        )
+        .select(
+            "file",
+            "block",
+            F.coalesce(F.sum("own").over(earlier) % 2, F.lit(0)).alias("given"),
+            (F.coalesce(F.sum("size").over(in_all), F.lit(0)) - F.col("first")).alias("shift"),
+        )
     )
-    known = counted.join(parity, ["file", "block"]).withColumn(
-        "inside", (F.col("given") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2 == 1
+    known = (
+        counted.join(blocks, ["file", "block"])
+        .withColumn("ix", F.col("at") + F.col("shift"))
+        .withColumn(
+            "inside",
+            (F.col("given") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2 == 1,
+        )
     )
-    place = F.struct("block", "at")
     started = known.withColumn(
-        "start", F.last(F.when(~F.col("inside"), place), ignorenulls=True).over(block)
+        "start", F.last(F.when(~F.col("inside"), F.col("ix")), ignorenulls=True).over(block)
     )
     open_at = (
         started.groupBy("file", "block")
@@ -170,24 +161,24 @@ def _joined_lines(lines: DataFrame) -> DataFrame:
         )
     )
     whole = ~F.col("inside") & (F.col("odd") == 0)
-    single = started.where(whole).select("file", "block", "at", F.col("line").alias("text"))
+    single = started.where(whole).select("file", "ix", F.col("line").alias("text"))
     joined = (
         started.where(~whole)
         .join(open_at, ["file", "block"])
         .withColumn("record", F.coalesce("start", "carried"))
         .groupBy("file", "record")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("parts"))
-        .select(
-            "file", "record.block", "record.at", F.array_join("parts.line", "\n").alias("text")
-        )
+        .agg(F.array_sort(F.collect_list(F.struct("ix", "line"))).alias("parts"))
+        .select("file", F.col("record").alias("ix"), F.array_join("parts.line", "\n").alias("text"))
     )
     return single.unionByName(joined)
 
 
-def _read_split(
-    spark: SparkSession, paths, names: Sequence[str], multi_line: bool
-) -> DataFrame:
-    """Like ``_read_alike``, but with the files cut into blocks."""
+def _read_split(spark: SparkSession, paths, names: Sequence[str], number: int) -> DataFrame:
+    """Like ``_read_alike``, but with the files cut into blocks, and with each row's place.
+
+    ``number`` tells the files of one header from those of others: places of a
+    higher number come later.
+    """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -197,18 +188,16 @@ def _read_split(
     # The second look at the lines must number them alike, so they are kept.
     records = _joined_lines(stage(lines, "csv-lines")).where(wide_trim(F.col("text")) != "")
     # The header is the first record of each file.
-    first = records.groupBy("file").agg(F.min(F.struct("block", "at")).alias("header"))
-    rows = (
-        records.join(first, "file")
-        .where(F.struct("block", "at") != F.col("header"))
-        .orderBy("file", "block", "at")
-    )
+    first = records.groupBy("file").agg(F.min("ix").alias("header"))
+    rows = records.join(first, "file").where(F.col("ix") != F.col("header"))
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
-    options = {k: str(v) for k, v in _CSV_OPTIONS.items()}
-    raw = rows.select(F.from_csv("text", F.lit(schema.simpleString()[7:-1].replace(":", " ")), options).alias("r"))
+    options = {k: str(v) for k, v in CSV_OPTIONS.items()}
+    fields = F.lit(schema.simpleString()[7:-1].replace(":", " "))
+    raw = rows.select(F.from_csv("text", fields, options).alias("r"), "ix")
     last = {name: i for i, name in enumerate(names)}
     return raw.select(
-        *[wide_trim(F.col(f"r._c{i}")).alias(name) for name, i in last.items()]
+        *[wide_trim(F.col(f"r._c{i}")).alias(name) for name, i in last.items()],
+        (F.col("ix") + F.lit(number << 48)).alias(_PLACE),
     )
 
 
