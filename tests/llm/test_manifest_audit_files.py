@@ -211,8 +211,11 @@ def test_words_like_the_library(tokenizer):
     ]
     random.seed(5)
     texts = ["".join(random.choices(pieces, k=random.randint(0, 9))) for _ in range(4000)]
-    for text in [*texts, "y " + "x" * 3_000_000 + " y", LONG]:
-        own = np.frombuffer(b"".join(words.ids(text.encode())), words.kind).tolist()
+    texts += ["y " + "x" * 3_000_000 + " y", LONG, "The Cat\n" * 200_000]
+    together = list(words.ids([t.encode() for t in texts]))
+    for text, ids in zip(texts, together):
+        assert np.frombuffer(ids, words.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        own = np.frombuffer(b"".join(words.ids([text.encode()])), words.kind).tolist()
         assert own == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)[:80]
 
 
@@ -221,7 +224,7 @@ def test_words_forget(tokenizer, monkeypatch):
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
         words = token_files.Words(f.read())
     for text in ("one two. three, four-five six", "two. six seven", "one one. eight 9 ten" * 5) * 20:
-        own = np.frombuffer(b"".join(words.ids(text.encode())), words.kind).tolist()
+        own = np.frombuffer(b"".join(words.ids([text.encode()])), words.kind).tolist()
         assert own == tokenizer.encode(text, add_special_tokens=False).ids
         assert len(words.young) + len(words.old) < 30
 

@@ -169,14 +169,10 @@ def test_pipeline_stages(spark):
         assert r.text == "\n".join(want) and r.n_chars == len(r.text)
 
     unique = works["simhash_near_dedup"](spark, lines, SF).cache()
-    from tests.llm.test_simhash import slow_components, slow_fingerprint
-
-    fp = {r.doc_id: slow_fingerprint(r.text) for r in lines.collect()}
-    parts = slow_components(fp.values())
-    least = {}
-    for doc in sorted(fp):
-        least.setdefault(parts[fp[doc]], doc)
-    assert sorted(r.doc_id for r in unique.collect()) == sorted(least.values())
+    from tests.llm.test_near_copies import survivors
+
+    kept_ids = survivors([(r.doc_id, r.text) for r in lines.collect()])
+    assert sorted(r.doc_id for r in unique.collect()) == kept_ids
 
     mixed = works["mixing"](spark, unique, SF).cache()
     assert mixed.columns == docs.columns

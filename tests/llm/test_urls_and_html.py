@@ -1,6 +1,7 @@
 """URL templates and HTML extraction on small tables with known answers."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +191,104 @@ def test_templates_against_sql(spark, same, tmp_path):
     same(got, oracle.OP3, pages=pages, labels=known)
     assert {"block", "allow"} == {r.verdict for r in got.where("host = 'a.com'").collect()}
     assert any("*" in r.template for r in got.collect())
+
+
+RUN = "A paragraph of running text that goes on for a while, with words."
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        (f'<article><div class="article-header"><h1>Title</h1></div><p>{RUN}</article>', ["Title", RUN]),
+        (f'<article><p>{RUN} 1<p class="reply">{RUN} 2</article>', [RUN + " 1", RUN + " 2"]),
+        (f'<article><p>{RUN}</p><div class="share-price"><p>{RUN} 2</p></div></article>', [RUN, RUN + " 2"]),
+        (f'<article><p>{RUN}</p><div class="share-tools"><p>Post it</p></div></article>', [RUN]),
+        (f'<article><p>{RUN}<p class="ad">Buy this now, it is really cheap today.</article>', [RUN]),
+        (f'<article><p>{RUN}</p><div class="user-comments">{f"<p>{RUN} no" * 9}</div></article>', [RUN]),
+        (
+            f'<div class="post-title"><h1>T</h1></div><div class="post-body"><p>{RUN}<p>{RUN}</div>'
+            f'<div class="post-more"><p>{RUN} more</div><div class="links"><a href=x>{RUN}</a></div>',
+            ["T", RUN, RUN, RUN + " more"],
+        ),
+        (
+            f'<div class="story"><p>{RUN} 1<blockquote><p>{RUN * 4}<p>{RUN * 2}</blockquote><p>{RUN} 2</div>'
+            '<div class="ad">buy</div>',
+            [RUN + " 1", RUN * 4, RUN * 2, RUN + " 2"],
+        ),
+        (f'<div class="widget"><p>{RUN}<p>{RUN}<p>{RUN}</div><p>note</p>', [RUN] * 3),
+        ('<p>unbalanced <a title="x>quote</a> here</p>', ["unbalanced quote here"]),
+    ],
+)
+def test_words_do_not_decide_alone(html, want):
+    assert html_extract.Page(f"<body><nav>menu</nav>{html}<footer>f</footer></body>").article([])[0] == "\n\n".join(want)
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 200_000 + RUN, "<a x" * 250_000, '<a x="' * 150_001 + ">", "<b>" * 100_000 + "</i>" * 100_000,
+        "<b>" * 80_000 + "<p>x" * 80_000, "<i><div>" + "<b>" * 80_000 + "</i>" * 80_000, "<!--" * 250_000,
+        "<div><p>x" * 60_000, "<table><tr><td>x" * 40_000, "<div class=share>x" * 40_000, "<li>x" * 100_000,
+        "<h1>" * 100_000 + "x", "<p class='a" * 50_000,
+    ],
+)
+def test_malformed_pages_take_time_in_proportion(html):
+    """Some hundred kilobytes of each fault; a cost that grows as the square would take minutes."""
+    start = time.process_time()
+    html_extract.Page(html).article([])
+    assert time.process_time() - start < 20
+
+
+def test_pages_by_construction():
+    """Random pages put together from parts whose place is known."""
+    rng = random.Random(12)
+    serial = iter(range(10**9))
+
+    def text():
+        return f"Sentence {next(serial)} with enough words to be running text."
+
+    junk = [
+        lambda: f"<nav><ul><li><a href=#>{text()}</a></ul></nav>", lambda: f"<aside><p>{text()}</aside>",
+        lambda: f"<div class='cookie-notice'>{text()}</div>", lambda: f"<form>{text()}<input></form>",
+        lambda: f"<div id=comments><p>{text()}<p>{text()}</div>", lambda: f"<script>var x = '{text()}'</script>",
+        lambda: f"<!-- {text()} -->", lambda: f"<section class='related posts'><p>{text()}</section>",
+    ]
+
+    def blocks(depth, want):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.randint(0, 6)
+            if kind == 0 and depth:
+                tag = rng.choice(["div", "section", "blockquote"])
+                out.append(f"<{tag} class='{rng.choice(['x1', 'part', 'share-price', 'c'])}'>{blocks(depth - 1, want)}</{tag}>")
+            elif kind == 1:
+                items = [text() for _ in range(rng.randint(1, 3))]
+                want += items
+                out.append("<ul>" + "".join(f"<li>{i}" for i in items) + "</ul>")
+            elif kind == 2:
+                out.append(rng.choice(junk)())
+            else:
+                want.append(text())
+                out.append(f"<p>{want[-1].replace('enough', '<b>enough</b>')}")
+        return "\n".join(out)
+
+    for _ in range(300):
+        want = [text()]
+        inner = f"<h1>{want[0]}</h1>" + blocks(2, want)
+        tag = rng.choice(["article", "main", "div class=entry"])
+        sides = ["".join(j() for j in rng.sample(junk, rng.randint(0, 4))) for _ in range(2)]
+        html = f"<html><body>{sides[0]}<{tag}>{inner}</{tag.split()[0]}>{sides[1]}<footer>{text()}</footer>"
+        assert html_extract.Page(html).article([])[0].split("\n\n") == want, html
+
+
+def test_deep_paths_are_judged_in_their_whole_depth(spark):
+    """A bad branch below the sixth segment is blocked, its good neighbour is not."""
+    rows = [
+        (i, f"http://h.com/a/b/c/d/e/f/{'good' if i % 2 else 'bad'}/p{i}", None if i < 40 else bool(i % 2))
+        for i in range(400)
+    ]
+    pages = spark.createDataFrame(rows, "page_id int, url string, __good boolean")
+    got = url_templates.judge_urls(pages.withColumn("shapes", F.lit(1)), {}, good=F.col("__good"))
+    assert {(r.page_id % 2, r.verdict) for r in got.collect()} == {(0, "block"), (1, "allow")}
+    assert got.columns[:4] == ["page_id", "url", "__good", "shapes"]
+    assert url_templates.judge_urls(pages.limit(0), {}).count() == 0

@@ -8,14 +8,16 @@ is quadratic, so pieces above ``SHORT`` symbols are merged with the same choices
 from a heap of ranks.
 
 Rows are encoded in Arrow batches, one pass over the table and no shuffle. Each
-Python worker keeps the pieces that it has met lately, at most ``CACHE`` of
-them, so memory does not grow with the input. The vocabulary file is read on the
-driver and sent to the executors as one broadcast of its fixed size.
+Python worker keeps one encoder, and in it the words that it has met lately, at
+most ``KEPT_BYTES`` of them, so memory grows neither with the input nor with the
+number of runs. The vocabulary file is read on the driver and sent to the
+executors as one broadcast of its fixed size.
 
 Special cases: null and empty texts give no ids, and no ids decode to the empty
 text. An id outside the vocabulary is skipped in decoding. Whole texts are
-encoded, whatever their length. Rows and columns are otherwise left alone;
-output columns that clash with existing ones replace them.
+encoded, whatever their length. Repeated rows are encoded each, an empty table
+gives no rows. Rows and columns are otherwise left alone; output columns that
+clash with existing ones replace them.
 """
 
 from __future__ import annotations
@@ -34,11 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import quoted
+from .words import free_name, quoted
+from .workers import kept
 
 SHORT = 96  # symbols; longer pieces are merged with a heap
-CACHE = 200_000  # words, and as many pieces, kept by a Python worker
-CACHED_LENGTH = 64  # characters; longer pieces are not kept
+KEPT_BYTES = 32 << 20  # words of a Python worker, and half as much for their pieces
+CACHED_LENGTH = 64  # characters; longer words and pieces are not kept
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1
 ROWS = 256  # that a worker holds encoded or decoded at a time
@@ -92,9 +95,8 @@ class Bpe:
         alphabet = byte_alphabet()
         self.inner = [self.ids[c] for c in alphabet]
         self.last = [self.ids[c + self.end] for c in alphabet]
-        self.written_tokens = {str(i): t for i, t in self.tokens.items()}
-        self.kept: dict[str, tuple[str, int, bytes]] = {}
-        self.kept_pieces: dict[str, tuple[int, ...]] = {}
+        self.words = _Kept(KEPT_BYTES)
+        self.pieces = _Kept(KEPT_BYTES // 2)
 
     def normalised(self, text: str) -> str:
         """NFC and lower case; white space is left as it is, since no piece holds any."""
@@ -103,20 +105,20 @@ class Bpe:
 
     def merged(self, piece: str) -> tuple[int, ...]:
         """Ids of one piece."""
-        found = self.kept_pieces.get(piece)
+        found = self.pieces.get(piece)
         if found is None:
             raw = piece.encode("utf-8")
             parts = [self.inner[b] for b in raw]
             parts[-1] = self.last[raw[-1]]
             found = tuple((_scan if len(parts) <= SHORT else _heap)(parts, self.ranks))
-            _keep(self.kept_pieces, piece, found)
+            self.pieces.keep(piece, found, 36 * len(found))
         return found
 
     def _entry(self, word: str) -> tuple[str, int, bytes]:
         """Of a stretch without white space: its ids in decimal, their number, and as int32."""
         ids = [i for piece in self.piece.findall(word) for i in self.merged(piece)]
         entry = _entry_of(ids)
-        _keep(self.kept, word, entry)
+        self.words.keep(word, entry, len(entry[0]) + len(entry[2]) + 150)
         return entry
 
     def entries(self, text: str) -> list[tuple[str, int, bytes]]:
@@ -137,7 +139,7 @@ class Bpe:
         text = self.normalised(text)
         # str.split() also parts at four control characters that are no white space here.
         words = self.space.split(text) if self.odd.search(text) else text.split()
-        find, make = self.kept.get, self._entry
+        find, make = self.words.get, self._entry
         return [find(w) or make(w) for w in words if w]
 
     def written(self, text: str) -> tuple[int, str]:
@@ -156,18 +158,27 @@ class Bpe:
 
     def read(self, written: str) -> str:
         """``decode`` of ids in decimal."""
-        return " ".join(map(self.written_tokens.__getitem__, written.split()))
+        return " ".join(map(self.tokens.__getitem__, map(int, written.split())))
 
 
 def _entry_of(ids: list[int]) -> tuple[str, int, bytes]:
     return " ".join(map(str, ids)), len(ids), np.array(ids, np.int32).tobytes()
 
 
-def _keep(cache: dict, key: str, value) -> None:
-    if len(key) <= CACHED_LENGTH:
-        if len(cache) >= CACHE:
-            cache.clear()
-        cache[key] = value
+class _Kept(dict):
+    """What was met lately: emptied when it holds ``most`` bytes, by a rough count."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.size = most, 0
+
+    def keep(self, key: str, value, size: int) -> None:
+        if len(key) <= CACHED_LENGTH:
+            self.size += size + 2 * len(key) + 200
+            if self.size > self.most:
+                self.clear()
+                self.size = size
+            self[key] = value
 
 
 def _scan(parts: list[int], ranks: dict) -> list[int]:
@@ -214,19 +225,18 @@ def _heap(parts: list[int], ranks: dict) -> list[int]:
 
 
 def _vocabulary(spark: SparkSession, path: str | None):
-    """The vocabulary, read by the driver and broadcast; its size is the file's."""
+    """The text of the vocabulary file as a broadcast, and its digest."""
     with open(path or public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
-        return spark.sparkContext.broadcast(json.load(f))
+        text = f.read()
+    return spark.sparkContext.broadcast(text), _sha256(text)
 
 
 def _bpe(shared) -> Bpe:
-    """The encoder of this Python worker: kept beside the vocabulary that it was sent."""
-    vocabulary = shared.value
-    if "encoder" not in vocabulary:
-        encoder = Bpe(vocabulary)
-        vocabulary.clear()  # the encoder holds all that it needs of it
-        vocabulary["encoder"] = encoder
-    return vocabulary["encoder"]
+    """The encoder of this Python worker, made once however many jobs use it."""
+    text, digest = shared
+    # What earlier stages left in Arrow's pool goes back to the machine.
+    pa.default_memory_pool().release_unused()
+    return kept("bpe", digest, lambda: Bpe(json.loads(text.value)))
 
 
 def _with_columns(docs: DataFrame, source: str, added: list[T.StructField], make) -> DataFrame:
@@ -245,7 +255,8 @@ def _with_columns(docs: DataFrame, source: str, added: list[T.StructField], make
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *made], names=names)
 
     # The source comes last, whatever the names of the others.
-    given = docs.select(*[quoted(f.name) for f in rest], quoted(source).alias("__source"))
+    last = free_name([f.name for f in rest], "source_text")
+    given = docs.select(*[quoted(f.name) for f in rest], quoted(source).alias(last))
     return given.mapInArrow(run, schema)
 
 
@@ -315,8 +326,8 @@ def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None)
                 rows.append((n, _sha256(written), _sha256(bpe.read(written))))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    out = "__bpe_round_trip"
     added = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    out = free_name(docs.columns, "round_trip")
     return docs.withColumn(out, both(quoted(text_col))).select(
         *[quoted(c) for c in docs.columns if c.lower() not in added],
         *[F.col(out)[c].alias(c) for c in added],

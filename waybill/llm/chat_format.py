@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import quoted
+from .words import free_name, quoted
 
 _FRAMES = {
     "user": ("[INST] ", " [/INST]"),
@@ -140,7 +140,7 @@ def format_turns(turns: DataFrame, role_col: str = "role", text_col: str = "text
             {"loss_start": "Int32", "loss_length": "Int32"}
         )
 
-    out = "__formatted"
+    out = free_name(turns.columns, "formatted")
     return turns.withColumn(out, form(quoted(role_col), quoted(text_col))).select(
         *[quoted(c) for c in turns.columns if c.lower() not in _ADDED],
         *[F.col(out)[c].alias(c) for c in _ADDED],
@@ -187,7 +187,11 @@ class _Reader:
 
 
 def read_back(
-    pieces: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
+    pieces: DataFrame,
+    conv_col: str = "conv_id",
+    turn_col: str = "turn",
+    role_col: str = "role",
+    text_col: str = "text",
 ) -> DataFrame:
     """What the formatted conversations say: one row per conversation with counts and digests."""
     schema = (
@@ -222,8 +226,8 @@ def read_back(
         pieces.select(
             quoted(conv_col).alias("conv"),
             quoted(turn_col).alias("turn"),
-            F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("said"),
+            F.coalesce(quoted(role_col), F.lit("")).alias("role"),
+            F.coalesce(quoted(text_col), F.lit("")).alias("said"),
             "piece",
             "loss_start",
             "loss_length",

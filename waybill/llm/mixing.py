@@ -139,6 +139,11 @@ def mix(
     """
     spark = docs.sparkSession
     added = ["size", "source_size", "target", "taken", "rounds"]
+    # Columns called like those of this module while it works step aside until the end.
+    clashing = [c for c in docs.columns if c.lower().startswith(_OWN)]
+    aside = {c: free_name(docs.columns, f"aside{i}") for i, c in enumerate(clashing)}
+    docs = docs.withColumnsRenamed(aside)
+    id_col, text_col, source_col = (aside.get(c, c) for c in (id_col, text_col, source_col))
     keep = [c for c in docs.columns if c.lower() not in added]
     ident = F.coalesce(quoted(id_col).cast("string"), F.lit(""))
     work = docs.select(
@@ -211,15 +216,16 @@ def mix(
         "target",
         sum((words(r) for r in range(1, max_repeats)), words(0)).alias("taken"),
         F.filter(every, lambda x: x["words"] > 0).alias("rounds"),
-    )
+    ).withColumnsRenamed({b: a for a, b in aside.items()})
 
 
 def in_training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per document and round that is taken, range-sorted by ``position``."""
+    at = free_name(mixed.columns, "taken_at")
     rest = [c for c in mixed.columns if c.lower() not in ("rounds", "round", "words", "position")]
     return (
-        mixed.select(*[quoted(c) for c in rest], F.explode("rounds").alias(_OWN + "at"))
-        .select(*[quoted(c) for c in rest], _own("at")["round"].alias("round"),
-                _own("at")["words"].alias("words"), _own("at")["position"].alias("position"))
+        mixed.select(*[quoted(c) for c in rest], F.explode("rounds").alias(at))
+        .select(*[quoted(c) for c in rest],
+                *[F.col(at)[c].alias(c) for c in ("round", "words", "position")])
         .orderBy("position", quoted(id_col), "round")
     )

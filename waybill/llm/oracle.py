@@ -129,7 +129,7 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
 FROM sizes GROUP BY conv_id
 """
 
-_LEVELS = 7  # six levels of segments and one wildcard for all below
+_LEVELS = 12  # of segments that may vary; where the tables go deeper, few paths of a host do
 
 
 def _wildcards() -> str:
@@ -169,9 +169,7 @@ WITH labelled AS (
     try_cast(nullif(regexp_extract(path, '([0-9]+)(?:[.][a-z]+)?/?$', 1), '') AS BIGINT) AS number
   FROM parts
 ), work AS (
-  SELECT page_id, host, path, good,
-    CASE WHEN len(all_shapes) > 6 THEN list_append(all_shapes[1:6], '**') ELSE all_shapes END
-      AS shapes
+  SELECT page_id, host, path, good, all_shapes AS shapes
   FROM shaped LEFT JOIN labelled ON number = doc_id
 ), t0 AS (
   SELECT host, shapes, count(*) AS n, count(good) AS labelled, coalesce(sum(good), 0) AS good,

@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import hash_sample
-from .words import quoted
+from .words import free_name, quoted
 
 DIMENSIONS = 1 << 16
+SPARSE = 4096  # n-grams; shorter texts are scored without an array of all dimensions
 CHARACTERS = (2, 3, 4)  # lengths of the character n-grams, in bytes of UTF-8
 MAX_ROWS = 1000  # labelled documents of each class that are fitted, at most
 MIN_CLASS = 5
@@ -112,9 +113,16 @@ def features(raw: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scored(raw: bytes, words: list[bytes], weights: np.ndarray) -> float:
-    total = np.zeros(DIMENSIONS)
-    for buckets in ngram_buckets(raw, words):
-        total += np.bincount(buckets, minlength=DIMENSIONS) * (1.0 / len(buckets))
+    families = list(ngram_buckets(raw, words))
+    if not families:
+        return 0.0
+    # One count over all families, each n-gram weighing as much as its family allows.
+    shares = np.repeat([1.0 / len(f) for f in families], [len(f) for f in families])
+    at = np.concatenate(families)
+    if len(at) < SPARSE:
+        at, places = np.unique(at, return_inverse=True)
+        return float(np.sqrt(np.bincount(places, weights=shares)) @ weights[at])
+    total = np.bincount(at, weights=shares, minlength=DIMENSIONS)
     return float(np.sqrt(total, out=total) @ weights)
 
 
@@ -179,12 +187,13 @@ def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str, label_col: str
-) -> DataFrame:
+    docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str, label_col: str,
+    label_id_col: str = "doc_id",
+) -> DataFrame:
     """(id, y, text) of at most ``max_rows`` labelled documents of each class."""
     ids = docs.select(quoted(id_col).alias("id")).where("id is not null").distinct()
     known = (
-        labels.select(F.col("doc_id").alias("id"), F.col(label_col).alias("y"))
+        labels.select(quoted(label_id_col).alias("id"), quoted(label_col).alias("y"))
         .where("id is not null and y is not null")
         .groupBy("id")
         .agg(F.min("y").alias("y"))
@@ -212,6 +221,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
+    label_id_col: str = "doc_id",
 ) -> Model | None:
     """Fit on four fifths of the sample, calibrate on the rest; None without enough labels."""
 
@@ -221,7 +231,9 @@ def train(
             rows = [features(raw := t.encode("utf-8"), raw.split()) for t in batch]
             yield pd.DataFrame({"at": [a for a, _ in rows], "value": [v for _, v in rows]})
 
-    sample = labelled_sample(docs, labels, max_rows, id_col, text_col, label_col)
+    sample = labelled_sample(
+        docs, labels, max_rows, id_col, text_col, label_col, label_id_col
+    )
     # At most 2 * max_rows rows, as Arrow arrays; only the fit holds them.
     table = sample.select("id", "y", vectors("text").alias("x")).toArrow().combine_chunks()
     y = table.column("y").to_numpy().astype(np.float64)
@@ -292,7 +304,7 @@ def judge(
                 )
             yield pd.DataFrame(rows, columns=[*_ADDED[:5], "probability"])
 
-    out = "__quality"
+    out = free_name(docs.columns, "quality_counts")
     found = docs.withColumn(out, counts(quoted(text_col)))
     n, repeated = F.col(out)["n_words"], F.col(out)["n_repeat_words"]
     failed = (n < min_words) | (100 * repeated > max_repeated * n)

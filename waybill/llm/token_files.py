@@ -75,7 +75,7 @@ KEPT_BYTES = 128 << 20  # words of one generation, as Python holds them
 KEPT_LENGTH = 64  # bytes; longer words are not kept
 MAGIC, FOOT = b"WBIDS\x00\x01\n", b"WBIDSEND"
 
-_BLANKS = b" \t\n\r\x0b\x0c"
+_BLANKS = (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c")
 
 
 # --- encoding --------------------------------------------------------------------------------
@@ -137,13 +137,6 @@ class Words:
         )
         return [np.array(e.ids, self.kind) for e in found]
 
-    def _keep(self, word: bytes, ids: bytes) -> None:
-        if len(word) <= KEPT_LENGTH:
-            self.young[word] = ids
-            self.size += len(word) + len(ids) + 200
-            if self.size >= KEPT_BYTES:
-                self.old, self.young, self.size = self.young, {}, 0
-
     def _parts(self, word: bytes) -> list[bytes]:
         """A word cut where the library's pieces end for certain."""
         if word.isalpha() or b"'" in word or b"<" in word:
@@ -153,48 +146,80 @@ class Words:
         return self.seam.split(word)
 
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words that are not among the young."""
+        """Ids of words that are not among the young, which they now are."""
+        young, old = self.young, self.old
         known: dict[bytes, bytes] = {}
-        parts = {}
+        cut: dict[bytes, list[bytes]] = {}
+        wanted: set[bytes] = set()
         for w in words:
-            if (ids := self.old.get(w)) is not None:
+            if (ids := old.get(w)) is not None:
                 known[w] = ids
+            elif w.isalpha():
+                wanted.add(w)
             else:
-                parts[w] = self._parts(w)
-        wanted = {p for cut in parts.values() for p in cut}
-        young, old = self.young, self.old
-        have = {p: ids for p in wanted if (ids := young.get(p) or old.get(p)) is not None}
-        new = list(wanted - have.keys())
-        if new:
-            have.update(self._library(new))
-        known.update((w, b"".join([have[p] for p in cut])) for w, cut in parts.items())
-        for w, ids in (known | have).items():
-            self._keep(w, ids)
-        return known
-
-    def ids(self, text: bytes) -> Iterator[bytes]:
-        """Ids as numbers of ``kind``, of one piece of the text after the other."""
+                cut[w] = parts = self._parts(w)
+                wanted.update(parts)
+        have = {p: ids for p in wanted if (ids := young.get(p) or old.get(p))}
+        have.update(self._library([p for p in wanted if p not in have]))
+        for w, parts in cut.items():
+            known[w] = b"".join([have[p] for p in parts]) if len(parts) > 1 else have[w]
+        have.update(known)
+        young.update(i for i in have.items() if len(i[0]) <= KEPT_LENGTH)
+        self.size += 200 * len(have) + sum(map(len, have)) + sum(map(len, have.values()))
+        if self.size >= KEPT_BYTES:
+            self.old, self.young, self.size = young, {}, 0
+        return have
+
+    def _group(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of some texts; unknown words of all of them are learnt together."""
+        get = self.young.get
+        split = [t.split() for t in texts]
+        got = [list(map(get, words)) for words in split]
+        if new := {w for words, g in zip(split, got) if None in g for w, i in zip(words, g) if i is None}:
+            known = self._learn(new)
+            got = [
+                [known[w] if i is None else i for w, i in zip(words, g)] if None in g else g
+                for words, g in zip(split, got)
+            ]
+        return [b"".join(g) for g in got]
+
+    def _plain(self, text: bytes) -> bytes:
+        """The text with A-Z lower-cased where that changes no ids.
+
+        Not where a special token may stand, nor where a letter may join with an
+        accent that follows it (U+0300 to U+036F).
+        """
+        if self.lowers and not (b"<" in text or b"\xcc" in text or b"\xcd" in text):
+            return text.lower()
+        return text
+
+    def _pieces(self, text: bytes) -> Iterator[bytes]:
+        """A long text in pieces that end before a blank."""
         at = 0
         while at < len(text):
-            end = len(text)
-            if end - at > PIECE:
-                end = min(
-                    (e for b in _BLANKS if (e := text.find(b, at + PIECE, at + 2 * PIECE)) >= 0),
-                    default=-1,
-                )
-                if end < 0:  # a stretch of a megabyte without a blank
-                    end = min(
-                        (e for b in _BLANKS if (e := text.find(b, at + PIECE)) >= 0),
-                        default=len(text),
-                    )
-            words = text[at:end].split()
-            got = list(map(self.young.get, words))
-            if None in got:
-                known = self._learn({w for w, g in zip(words, got) if g is None})
-                got = [known[w] if g is None else g for w, g in zip(words, got)]
-            yield b"".join(got)
+            ends = (text.find(b, at + PIECE, at + 2 * PIECE) for b in _BLANKS)
+            end = min((e for e in ends if e >= 0), default=-1)
+            if end < 0:  # the rest, or a stretch of a megabyte without a blank
+                ends = (text.find(b, at + PIECE) for b in _BLANKS)
+                end = min((e for e in ends if e >= 0), default=len(text))
+            yield text[at:end]
             at = end
 
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Ids of each text as numbers of ``kind``."""
+        group, size = [], 0
+        for text in texts:
+            text = self._plain(text)
+            if group and size + len(text) > PIECE:
+                yield from self._group(group)
+                group, size = [], 0
+            if len(text) > PIECE:
+                yield b"".join([self._group([p])[0] for p in self._pieces(text)])
+            else:
+                group.append(text)
+                size += len(text)
+        yield from self._group(group)
+
 
 def encode_ids(
     docs: DataFrame,
@@ -228,8 +253,7 @@ def encode_ids(
             for at in range(0, len(batch), 128):
                 part = batch.slice(at, 128)
                 raw = []
-                for text in part.column(1).to_pylist():
-                    ids = b"".join(words.ids(text))
+                for ids in words.ids(part.column(1).to_pylist()):
                     if kind != words.kind:
                         ids = np.frombuffer(ids, words.kind).astype(kind).tobytes()
                     raw.append(ids + end)

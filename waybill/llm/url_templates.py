@@ -15,10 +15,12 @@ Pages are counted by (host, path) with partial counts before any shuffle, so a
 host that holds a third of the pages is a few rows per task; everything after
 that works on distinct templates. The verdict comes back by an equi-join, which
 adaptive execution broadcasts if the templates are small and splits if a host
-is hot. Segments below ``depth`` levels are one wildcard.
+is hot. Paths are taken in their whole depth; there are as many steps from level
+to level as are shared by more than ``many`` paths of one host.
 
 Special cases: a null url or one without "://" has empty host and path, which
-fit no rule and form a template of their own. Repeated rows are judged alike.
+fit no rule and form a template of their own. Repeated rows are judged alike. An
+empty table gives no rows. A very long url is judged whole.
 Without labels every purity is 1 and nothing is blocked but by rule. The longest
 rule wins; of equally long ones the first by code point. Extra columns are
 handed through; columns called like an added one are replaced.
@@ -26,13 +28,12 @@ handed through; columns called like an added one are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .words import lower_ascii, quoted
+from .words import free_name, lower_ascii, quoted
 
-DEPTH = 6
 MANY_CHILDREN = 20  # a node with more children than this ...
 ROWS_PER_CHILD = 10  # ... and fewer rows per child than this has a variable segment
 Z = 2.0
@@ -67,21 +68,19 @@ def matching_rule(host: Column, path: Column, rules: list[str]) -> Column:
     return out
 
 
-def segment_shapes(path: Column, depth: int = DEPTH) -> Column:
+def segment_shapes(path: Column) -> Column:
     """The segments of a path with digit runs as ``#`` and long hex strings as ``h``."""
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    shapes = F.transform(
+    return F.transform(
         segments,
         lambda s: F.regexp_replace(
             F.regexp_replace(s, r"(?i)\b[0-9a-f]{8,}\b", "h"), r"[0-9]+", "#"
         ),
     )
-    deep = F.concat(F.slice(shapes, 1, depth), F.array(F.lit("**")))
-    return F.when(F.size(shapes) > depth, deep).otherwise(shapes)
 
 
 def templates(
-    counted: DataFrame, depth: int = DEPTH, many: int = MANY_CHILDREN, per_child: int = ROWS_PER_CHILD
+    counted: DataFrame, many: int = MANY_CHILDREN, per_child: int = ROWS_PER_CHILD
 ) -> DataFrame:
     """Wildcards for variable segments.
 
@@ -89,7 +88,17 @@ def templates(
     comes back with the array ``template``.
     """
     now = counted.withColumn("template", F.col("shapes"))
-    levels = counted.agg(F.max(F.size("shapes"))).first()[0] or 0  # at most depth + 1
+    # A segment varies only where more than ``many`` paths of a host go as deep.
+    deeper = Window.partitionBy("host").orderBy(F.desc("size"))
+    levels = (
+        counted.groupBy("host", F.size("shapes").alias("size"))
+        .agg(F.count(F.lit(1)).alias("paths"))
+        .withColumn("as_deep", F.sum("paths").over(deeper))
+        .where(F.col("as_deep") > many)
+        .agg(F.max("size"))
+        .first()[0]
+        or 0
+    )
     for level in range(levels):
         above = F.slice("template", 1, level)
         child = F.get("template", level)
@@ -107,7 +116,7 @@ def templates(
         met = now.join(
             variable, (F.col("host") == F.col("v_host")) & (above == F.col("v_above")), "left"
         )
-        wild = F.concat(above, F.array(F.lit("*")), F.slice("template", level + 2, depth + 1))
+        wild = F.concat(above, F.array(F.lit("*")), F.slice("template", F.lit(level + 2), F.size("template")))
         now = met.withColumn(
             "template",
             F.when(F.col("v_host").isNotNull() & (F.size("template") > level), wild).otherwise(
@@ -120,7 +129,6 @@ def templates(
 
 def merged_templates(
     templated: DataFrame,
-    depth: int = DEPTH,
     z: float = Z,
     smoothing: float = SMOOTHING,
 ) -> DataFrame:
@@ -188,7 +196,6 @@ def judge_urls(
     url_col: str = "url",
     good: Column | None = None,
     min_purity: float = MIN_PURITY,
-    depth: int = DEPTH,
 ) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``template`` and ``purity``.
 
@@ -198,20 +205,21 @@ def judge_urls(
     url = quoted(url_col)
     keep = [quoted(c) for c in pages.columns if c.lower() not in _ADDED]
     label = F.lit(None).cast("boolean") if good is None else good
+    own = {c: free_name([*pages.columns, *_ADDED], c) for c in ("label", "shapes", "f_host", "f_shapes")}
     work = pages.select(
-        *keep, url_host(url).alias("host"), url_path(url).alias("path"), label.alias("__good")
-    ).withColumn("__shapes", segment_shapes(F.col("path"), depth))
+        *keep, url_host(url).alias("host"), url_path(url).alias("path"), label.alias(own["label"])
+    ).withColumn(own["shapes"], segment_shapes(F.col("path")))
     counted = stage(
-        work.groupBy("host", F.col("__shapes").alias("shapes")).agg(
+        work.groupBy("host", F.col(own["shapes"]).alias("shapes")).agg(
             F.count(F.lit(1)).alias("n"),
-            F.count("__good").alias("labelled"),
-            F.count_if("__good").alias("good"),
+            F.count(own["label"]).alias("labelled"),
+            F.count_if(own["label"]).alias("good"),
         ),
         "url-paths",
     )
-    found = stage(merged_templates(templates(counted, depth), depth), "url-templates").select(
-        F.col("host").alias("__f_host"),
-        F.col("shapes").alias("__f_shapes"),
+    found = stage(merged_templates(templates(counted)), "url-templates").select(
+        F.col("host").alias(own["f_host"]),
+        F.col("shapes").alias(own["f_shapes"]),
         F.concat(F.col("host"), F.lit("/"), F.array_join("node", "/")).alias("template"),
         "purity",
     )
@@ -222,7 +230,9 @@ def judge_urls(
     by_template = F.when(F.col("purity") < min_purity, "block").otherwise("allow")
     return (
         work.join(
-            found, (F.col("host") == F.col("__f_host")) & (F.col("__shapes") == F.col("__f_shapes"))
+            found,
+            (F.col("host") == F.col(own["f_host"]))
+            & (F.col(own["shapes"]) == F.col(own["f_shapes"])),
         )
         .withColumn("rule", rule)
         .withColumn("verdict", F.coalesce(by_rule, by_template))

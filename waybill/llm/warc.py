@@ -18,7 +18,7 @@ Special cases: null pages have the empty payload. A null url gives no target
 header; control characters and spaces of a url are percent-encoded in it. Rows
 of the same page with the same payload are all responses if that page is the
 first. A null page id never is the first, and its row is a revisit only if
-another page is. An empty table gives no archives and no records. Extra columns
+another page is. Ids may be numbers or texts; an empty text is as a null id. An empty table gives no archives and no records. Extra columns
 are not written. A damaged record comes back with ``error`` set; a damaged frame
 ends its archive with one such row.
 """
@@ -30,6 +30,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -61,7 +62,8 @@ _RECORDS = (
 
 
 def record_id(page_id) -> str:
-    return f"<urn:x-page:{'' if page_id is None else page_id}>"
+    """The page's id, percent-encoded, in a URN."""
+    return f"<urn:x-page:{'' if page_id is None else quote(str(page_id), safe='')}>"
 
 
 def _uri(url: str) -> str:
@@ -354,15 +356,17 @@ def read_archives(archives: DataFrame, archive_col: str = "archive") -> DataFram
     return archives.select(quoted(archive_col)).repartition(n).mapInArrow(read, _RECORDS)
 
 
-def page_of(record: str):
-    """The page id in a record id, as a Column."""
-    return F.regexp_extract(F.col(record), r"^<urn:x-page:(.+)>$", 1).try_cast("bigint")
+def page_of(record: str, kind="bigint"):
+    """The page id in a record id, as a Column of type ``kind``; null for a null id."""
+    written = F.nullif(F.regexp_extract(F.col(record), r"^<urn:x-page:(.*)>$", 1), F.lit(""))
+    return F.url_decode(written).try_cast(kind)
 
 
 def archived(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Pages written to archives and read back: the records, with ``page_id`` and ``first_page``."""
+    kind = pages.schema["page_id"].dataType
     return (
         read_archives(write_archives(pages))
-        .withColumn("page_id", page_of("record_id"))
-        .withColumn("first_page", page_of("refers_to"))
+        .withColumn("page_id", page_of("record_id", kind))
+        .withColumn("first_page", page_of("refers_to", kind))
     )
