@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .words import quoted, word_count
+from .words import free_name, quoted, word_count
 
 # Weight at the start and at the end of training, by the rank of the source;
 # the means are 5, 2 and 1.
