@@ -254,9 +254,9 @@ def _with_columns(docs: DataFrame, source: str, added: list[T.StructField], make
                 made = build(part.column(len(rest)))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *made], names=names)
 
-    # The source comes last, whatever the names of the others.
-    last = free_name([f.name for f in rest], "source_text")
-    given = docs.select(*[quoted(f.name) for f in rest], quoted(source).alias(last))
+    # The source comes last; names on the way in are plain, since dots in them would be taken apart.
+    plain = [quoted(f.name).alias(f"c{i}") for i, f in enumerate(rest)]
+    given = docs.select(*plain, quoted(source).alias("given"))
     return given.mapInArrow(run, schema)
 
 
