@@ -67,7 +67,7 @@ from .workers import kept
 
 END_ID = 2
 LIMIT = 18  # bits of the longest code, or as many as the vocabulary needs
-BLOCK = 1 << 18  # ids
+BLOCK = 1 << 20  # ids
 STEP = 128  # ids between two checkpoints
 FILE_IDS = 1 << 25  # a new file is begun after so many ids
 PIECE = 1 << 20  # bytes of a text that are encoded at a time
@@ -86,6 +86,17 @@ def id_kind(largest: int) -> np.dtype:
     return np.dtype("<u2" if largest < 1 << 16 else "<u4")
 
 
+def _holes(items: list) -> list[int]:
+    """Where ``None`` stands."""
+    found, at = [], -1
+    try:
+        while True:
+            at = items.index(None, at + 1)
+            found.append(at)
+    except ValueError:
+        return found
+
+
 class Words:
     """Ids of texts by the ``tokenizers`` library, word by word; one per Python worker."""
 
@@ -175,12 +186,11 @@ class Words:
         get = self.young.get
         split = [t.split() for t in texts]
         got = [list(map(get, words)) for words in split]
-        if new := {w for words, g in zip(split, got) if None in g for w, i in zip(words, g) if i is None}:
-            known = self._learn(new)
-            got = [
-                [known[w] if i is None else i for w, i in zip(words, g)] if None in g else g
-                for words, g in zip(split, got)
-            ]
+        holes = [(g, words, at) for g, words in zip(got, split) for at in _holes(g)]
+        if holes:
+            known = self._learn({words[at] for _, words, at in holes})
+            for g, words, at in holes:
+                g[at] = known[words[at]]
         return [b"".join(g) for g in got]
 
     def _plain(self, text: bytes) -> bytes:
@@ -276,7 +286,10 @@ def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, n) of all ids of a task, from (ids, width)."""
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for raw, width in zip(*(c.to_pylist() for c in batch.columns)):
+        for at in range(0, len(batch), 512):
+            part = batch.slice(at, 512)
+            width = part.column("width")[0].as_py()  # the same in all rows
+            raw = b"".join(part.column("ids").to_pylist())
             more = np.bincount(np.frombuffer(raw, f"<u{width}"), minlength=len(counts))
             more[: len(counts)] += counts
             counts = more
