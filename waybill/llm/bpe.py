@@ -40,7 +40,7 @@ from .words import free_name, quoted
 from .workers import kept
 
 SHORT = 96  # symbols; longer pieces are merged with a heap
-KEPT_BYTES = 32 << 20  # words of a Python worker, and half as much for their pieces
+KEPT_BYTES = 64 << 20  # words of a Python worker, and half as much for their pieces
 CACHED_LENGTH = 64  # characters; longer words and pieces are not kept
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1

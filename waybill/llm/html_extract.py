@@ -119,7 +119,6 @@ _ATTRIBUTE = re.compile(
     r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.DOTALL
 )
 _WORDS = re.compile(r"[a-z]+|(?<=[a-z])[A-Z][a-z]*|[A-Z][a-z]*")
-_SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 _FAMILY = re.compile(r"[A-Za-z]{3,}")
 
@@ -207,7 +206,7 @@ class Page:
 
     def _flush(self) -> None:
         if self._text:
-            text = _SPACE.sub(" ", "".join(self._text)).strip()
+            text = " ".join("".join(self._text).split())
             if text:
                 top = self._stack[-1]
                 linked = min(self._linked, len(text))
@@ -243,18 +242,25 @@ class Page:
 
     def _pop_to(self, depth: int) -> None:
         """Close the elements from ``depth`` on."""
-        if any(e.tag in _BLOCK for e in self._stack[depth:]):
-            self._flush()
-        while len(self._stack) > depth:
-            element = self._stack.pop()
-            self._open[element.tag].pop()
-            if element.tag in _SCOPE:
-                self._scopes.pop()
-            if element.tag in _CONTAINERS:
-                self._walls.pop()
-            if element.tag in _BLOCK:
+        stack, opened = self._stack, self._open
+        if self._text:
+            for at in range(len(stack) - 1, depth - 1, -1):
+                if stack[at].tag in _BLOCK:
+                    self._flush()
+                    break
+        while len(stack) > depth:
+            tag = stack.pop().tag
+            opened[tag].pop()
+            if tag in _BLOCK:
                 self._ways_open.pop()
-            self._links -= element.tag == "a"
+                if tag in _SCOPE:
+                    self._scopes.pop()
+                if tag in _CONTAINERS:
+                    self._walls.pop()
+            elif tag == "a":
+                self._links -= 1
+            elif tag in _SCOPE:
+                self._scopes.pop()
 
     def _close_implied(self, tag: str) -> None:
         """Close what a start tag ends unsaid, inside the nearest scope."""
@@ -274,7 +280,8 @@ class Page:
             return
         if tag in _BLOCK:
             self._close_implied(tag)
-            self._flush()
+            if self._text:
+                self._flush()
         if tag in _VOID:
             return
         above = self._stack[-1]
@@ -327,34 +334,34 @@ class Page:
     def _read(self, source: str) -> None:
         at, size, lower = 0, len(source), None
         last = source.rfind(">")  # no tag ends after this
+        match = _TAG.match
         while at < size:
             start = source.find("<", at)
             if start < 0 or start > last:
                 self._say(source[at:])
                 return
-            follows = source[start + 1 : start + 2]
-            if follows in ("!", "?"):
-                if start > at:
-                    self._say(source[at:start])
-                if source.startswith("<!--", start):
-                    found = _COMMENT_END.search(source, start + 4)
-                    at = found.end() if found else size
-                else:
-                    at = source.find(">", start) + 1
-                continue
-            m = None
-            if follows.isascii() and (follows.isalpha() or follows == "/"):
-                m = _TAG.match(source, start, start + TAG_LENGTH)
-                if m is None and (name := _TAG_NAME.match(source, start)):
-                    # Quotes that do not end, or a very long tag: it ends at the next ">".
-                    end = source.find(">", name.end())
-                    m = (name[1], name[2], source[name.end() : end], end + 1)
-                elif m is not None:
-                    m = (m[1], m[2], m[3], m.end())
-            if m is None:
-                self._say(source[at : start + 1])
-                at = start + 1
-                continue
+            found = match(source, start, start + TAG_LENGTH)
+            if found is not None:
+                m = (found[1], found[2], found[3], found.end())
+            else:
+                follows = source[start + 1 : start + 2]
+                if follows in ("!", "?"):
+                    if start > at:
+                        self._say(source[at:start])
+                    if source.startswith("<!--", start):
+                        found = _COMMENT_END.search(source, start + 4)
+                        at = found.end() if found else size
+                    else:
+                        at = source.find(">", start) + 1
+                    continue
+                name = _TAG_NAME.match(source, start)
+                if name is None:
+                    self._say(source[at : start + 1])
+                    at = start + 1
+                    continue
+                # Quotes that do not end, or a very long tag: it ends at the next ">".
+                end = source.find(">", name.end())
+                m = (name[1], name[2], source[name.end() : end], end + 1)
             if start > at:
                 self._say(source[at:start])
             closing, tag, raw, at = m
