@@ -259,15 +259,15 @@ def question_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = _pick(CITIES, key % 8), _pick(CITIES, F.col("o_custkey") % 8)
     price = F.format_number(F.col("o_totalprice"), 2)
     forms = [
-        [F.lit("Which shipments are delayed?")],
+        [F.lit("What is running late today, what is delayed?")],
         [F.lit("Show shipments to "), a],
         [F.lit("Show shipments from "), a, F.lit(" to "), b],
         [F.lit("How many shipments are there?")],
-        [F.lit("What is our total freight cost by carrier?")],
+        [F.lit("Add up the total cost by carrier")],
         [F.lit("  Total cost please ")],
-        [F.lit("What is the average transit time?")],
+        [F.lit("How long is transit on average?")],
         [F.lit("How is our on-time performance?")],
-        [F.lit("Which carrier is the cheapest per mile?")],
+        [F.lit("Name the cheapest carrier for a mile")],
         [F.lit("Who is the most expensive carrier?")],
         [F.lit("Any shipments over $"), price, F.lit("?")],
         [F.lit("List all carriers")],

@@ -621,15 +621,15 @@ def queries() -> dict[str, Query]:
         "classify_conversations": lambda s, d: w.classify_questions(
             conversation_questions(s, d), w.known_places(shipments(s, d), ordered=False)
         ),
-        "ask_delayed": _ask("Which shipments are delayed?"),
+        "ask_delayed": _ask("What is running late today, what is delayed?"),
         "ask_delayed_lane": _ask("Which shipments to St. Paul are late?"),
         "ask_lane": _ask("Show shipments from El Paso to Boise"),
         "ask_counts": _ask("How many shipments are there?"),
-        "ask_spend_by_carrier": _ask("What is our total freight cost by carrier?"),
+        "ask_spend_by_carrier": _ask("Add up the total cost by carrier"),
         "ask_total_spend": _ask("What is our total cost?"),
-        "ask_avg_transit": _ask("What is the average transit time?"),
+        "ask_avg_transit": _ask("How long is transit on average?"),
         "ask_on_time": _ask("How is our on-time performance?"),
-        "ask_carrier_rank": _ask("Which carrier is the cheapest per mile?"),
+        "ask_carrier_rank": _ask("Name the cheapest carrier for a mile"),
         "ask_carrier_pick": lambda s, d: q.carrier_pick(shipments(s, d), cheapest=False),
         "ask_cost_threshold": _ask("Show shipments over $50,000"),
         "ask_carrier_list": _ask("List all carriers"),

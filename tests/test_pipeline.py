@@ -284,7 +284,7 @@ def test_known_places(shipments):
 @pytest.mark.parametrize(
     ("question", "intent", "rows", "text"),
     [
-        ("Which shipments are delayed?", "delayed_shipments", ["A-2", "A-3"],
+        ("Tell me which loads are delayed", "delayed_shipments", ["A-2", "A-3"],
          "2 shipments are currently delayed (delivered after the promised date, or still in "
          "transit past it)."),
         ("any late loads to st. paul", "delayed_shipments", ["A-3"],
