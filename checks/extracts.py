@@ -87,49 +87,84 @@ def _city_text(nation: Column, line: Column) -> Column:
 
 
 _WRITTEN: dict[tuple, tuple[str, DataFrame]] = {}
+_ORDER = "order_key"  # beside the texts: tells where something is planted
 
 
 def shipment_extract(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFrame:
-    """The messy shipment extract as a table of its own, one per application.
+    """The messy shipment extract; ``planted`` adds rows to reject.
 
-    Extracts arrive as files; this writes the texts once, in as many files as
-    there are cores, and reads them from then on.
+    Extracts arrive as files; this writes the texts once per application, and
+    reads them from then on. What is planted is put over the texts as they are
+    read, so that both extracts come from the same files.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, planted)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    found = None
     if key in _WRITTEN:
         path, df = _WRITTEN[key]
         try:
-            return spark.read.schema(df.schema).parquet(path)
+            found = spark.read.schema(df.schema).parquet(path)
         except AnalysisException:  # the staging folder was emptied
             pass
-    texts = shipment_texts(spark, sf_dir, planted)
-    path = new_staging_path(spark, "extract")
-    texts.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
-    _WRITTEN[key] = (path, texts)
-    return spark.read.schema(texts.schema).parquet(path)
+    if found is None:
+        texts = shipment_texts(spark, sf_dir)
+        path = new_staging_path(spark, "extract")
+        texts.write.parquet(path)
+        _WRITTEN[key] = (path, texts)
+        found = spark.read.schema(texts.schema).parquet(path)
+    return (with_planted(found) if planted else found).drop(_ORDER)
+
+
+def with_planted(texts: DataFrame) -> DataFrame:
+    """The texts with missing ids, impossible pickup dates and unknown statuses in some orders."""
+    wrong = {"id": (97, ""), "pickup_date": (83, "13/45/2026"), "status": (89, "teleporting")}
+    return texts.withColumns(
+        {
+            SHIPMENT_HEADERS[f]: F.when(F.col(_ORDER) % n == 0, F.lit(text)).otherwise(
+                F.col(f"`{SHIPMENT_HEADERS[f]}`")
+            )
+            for f, (n, text) in wrong.items()
+        }
+    )
+
 
+def shipment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line items as messy shipments, with the order that each belongs to.
 
-def shipment_texts(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFrame:
-    """The line items as messy shipments; ``planted`` adds rows to reject."""
+    Only used columns travel. Orders meet their customers first; the many line
+    items then travel by order, and are numbered where that has brought them.
+    """
+    orders = (
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("pickup"))
+        .join(
+            table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
+            F.col("o_custkey") == F.col("c_custkey"),
+        )
+        .select("o_orderkey", "pickup", "c_nationkey")
+    )
     base = (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+        )
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(
+            table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_name"),
+            F.col("l_suppkey") == F.col("s_suppkey"),
+        )
+    )
+    # Lines alike in all of these have the same texts, so their order does not show.
+    same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "pickup", "c_nationkey"
     )
     order, line, part, supp = (
         F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     )
     step, style = part % 20, order % 4
-    pickup = F.col("o_orderdate").cast("date")
+    pickup = F.col("pickup")
     promised = F.date_add(pickup, (supp % 5 + 3).cast("int"))
     delivery = F.date_add(pickup, (F.col("l_quantity").cast("bigint") % 9 + 1).cast("int"))
 
-    same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate",
-    )
-
     ident = F.concat_ws("-", F.lit("SHP"), order, line)
     ident = F.when(line == 7, F.concat(F.lit("  "), ident, F.lit("\t"))).otherwise(ident)
     pickup_text = _date_text(pickup, style)
@@ -139,10 +174,6 @@ def shipment_texts(spark: SparkSession, sf_dir: str, planted: bool = False) -> D
         .when(step <= 6, _pick(STATUS_SPELLINGS["in_transit"], supp % 3))
         .otherwise(_pick(STATUS_SPELLINGS["delivered"], supp % 3))
     )
-    if planted:
-        ident = F.when(order % 97 == 0, F.lit("")).otherwise(ident)
-        pickup_text = F.when(order % 83 == 0, F.lit("13/45/2026")).otherwise(pickup_text)
-        status = F.when(order % 89 == 0, F.lit("teleporting")).otherwise(status)
     price = F.col("l_extendedprice")
     values = {
         "id": ident,
@@ -165,6 +196,7 @@ def shipment_texts(spark: SparkSession, sf_dir: str, planted: bool = False) -> D
         *[values[f].alias(h) for f, h in SHIPMENT_HEADERS.items()],
         # Several lines may share order and line number: they are counted apart.
         ((order * 8 + line) * (1 << 20) + F.row_number().over(same_line)).alias("_ix"),
+        order.alias(_ORDER),
     )
 
 

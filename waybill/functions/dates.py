@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from string import ascii_letters
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WIDE_SPACE_CLASS, wide_trim
+from .text import WIDE_SPACE, WIDE_SPACE_CLASS, wide_trim
 
 # The format tags, and the month names that are understood
 # (in full or by their first three letters).
@@ -56,18 +58,33 @@ def date_format_of(c: Column, trimmed: bool = False) -> Column:
     return _by_format(v, {fmt: F.lit(fmt) for fmt in DATE_FORMATS})
 
 
+def _day(year: Column, month_name: Column | None, month: Column | None, day: Column) -> Column:
+    """The DATE of parts that a pattern has let through; null if there is no such day."""
+    if month is None:
+        at = F.position(F.lower(month_name), F.lit("".join(m[:3].lower() for m in MONTHS)))
+        month = F.floor((at + 2) / 3).cast("string")
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
+
+
 def parse_date(c: Column, trimmed: bool = False) -> Column:
     """A date text in any known format as DATE; null if unreadable or impossible."""
     v = c if trimmed else wide_trim(c)
-    short = F.regexp_replace(
-        v, rf"^([A-Za-z]{{3}})[A-Za-z]*{_SPACE}+(\d+){_SPACE}+(\d+)", "$2-$1-$3"
-    )
+    year = F.substring(v, -4, 4)
+    # Between the first three letters of the month and the year: letters, white space, the day.
+    middle = F.substr(v, F.lit(4), F.length(v) - 7)
     return _by_format(
         v,
         {
             "ISO": v.try_cast("date"),
-            "US": F.try_to_date(v, "M/d/yyyy"),
-            "Long": F.try_to_date(short, "d-MMM-yyyy"),
-            "D-Mon-Y": F.try_to_date(v, "d-MMM-yyyy"),
+            "US": _day(
+                year,
+                None,
+                F.substring_index(v, "/", 1),
+                F.substring_index(F.substring_index(v, "/", 2), "/", -1),
+            ),
+            "Long": _day(
+                year, F.left(v, F.lit(3)), None, F.translate(middle, ascii_letters + WIDE_SPACE, "")
+            ),
+            "D-Mon-Y": _day(year, F.substring(v, -8, 3), None, F.substring_index(v, "-", 1)),
         },
     )
