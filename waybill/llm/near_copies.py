@@ -3,8 +3,11 @@
 Two texts are near copies if the sets of their five-word shingles have a Jaccard
 similarity of at least 0.8; copies of copies form one component.
 
-1. Texts with the same set become one node.
-2. In one order of all shingles, two sets at 0.8 share a shingle among the first
+1. Texts with the same set become one node. Nodes whose SimHash fingerprints of the
+   same shingles are linked within ``RADIUS`` bits (``simhash.links``) are verified
+   against the first of their component on the whole sets; what is then joined
+   needs no further pairs.
+2. Fingerprints miss most pairs at 0.8, so the rest is found exactly. In one order of all shingles, two sets at 0.8 share a shingle among the first
    n - ceil(0.8 n) + 1 of each (prefix filter), so nodes meet by these shingles
    in one shuffle. Any order gives the same result; shingles that are frequent
    in a sample come last, as a passage that many texts share would else bring
@@ -38,10 +41,12 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 from .components import connected
-from .simhash import SEED, keep_first, label_rows
+from .simhash import SEED, _bit_counts, keep_first, label_rows
+from .simhash import links as simhash_links
 from .words import quoted
 
 SHINGLE = 5
+RADIUS = 4  # bits in which the fingerprints of linked nodes differ, at most
 SAMPLE = 10_000  # texts, about, whose shingles are counted for the order
 FREQUENT = 1 << 18  # shingles that come last, at most
 SLOTS = 1 << 20  # of the filter that spares texts without a partner the shuffle
@@ -53,12 +58,17 @@ REFINES = 3  # times that this may happen
 
 def shingle_set(text: str | None) -> np.ndarray:
     """The hashes of the shingles of a text, sorted, each once."""
+    return fingerprint_and_set(text)[0]
+
+
+def fingerprint_and_set(text: str | None) -> tuple[np.ndarray, int]:
+    """``shingle_set`` and, from the same shingles with repeats, the SimHash as a signed number."""
     import xxhash
 
     words = (text or "").encode("utf-8").lower().split()  # bytes: A-Z and ASCII white space only
     n = len(words)
     if not n:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int64), 0
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     width = min(SHINGLE, n)
@@ -67,7 +77,9 @@ def shingle_set(text: str | None) -> np.ndarray:
     hashes = b"".join(
         [digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())]
     )
-    return np.unique(np.frombuffer(hashes, ">i8").astype(np.int64))
+    set_bits = _bit_counts(np.frombuffer(hashes, np.uint8).reshape(-1, 8))
+    value = int.from_bytes(np.packbits(2 * set_bits > len(starts)).tobytes(), "big", signed=True)
+    return np.unique(np.frombuffer(hashes, ">i8").astype(np.int64)), value
 
 
 def set_hash(shingles: np.ndarray) -> int:
@@ -152,6 +164,17 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(similar).select("a", "b")
 
 
+def by_fingerprint(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of nodes at 0.8 or more whose SimHash fingerprints are linked by at most
+    ``RADIUS`` bits: each node with the first of its fingerprints' component."""
+    sims = nodes.select(F.col("sim").alias("fp")).distinct()
+    members = connected(simhash_links(sims, RADIUS)).select(F.col("node").alias("sim"), "root")
+    placed = nodes.join(members, "sim", "left").select("fp", F.coalesce("root", "sim").alias("up"))
+    firsts = placed.groupBy("up").agg(F.min("fp").alias("a"))
+    pairs = placed.join(firsts, "up").where("fp <> a").select("a", F.col("fp").alias("b"))
+    return stage(_verified(stage(pairs, "copies-alike"), nodes, texts), "copies-sim-links")
+
+
 def _sized(n: str, m: str):
     return 5 * F.least(n, m) >= 4 * F.greatest(n, m)
 
@@ -165,12 +188,13 @@ def _enough(n: str, m: str, c: str):
     return 9 * (F.col(c) + behind) >= 4 * (F.col(n) + F.col(m))
 
 
-def links(met: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of nodes at 0.8 or more.
+def links(
+    met: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame | None = None
+) -> DataFrame:
+    """``found`` and further links (a, b) whose components are those of all pairs of nodes at 0.8 or more.
 
     ``met``: (shingle, fp, n), the nodes and their sizes by the shingles of their prefixes.
     """
-    found = None
     for turn in range(ROUNDS + 1):
         groups = met.groupBy("shingle").agg(F.count(F.lit(1)).cast("double").alias("k"))
         rows, pairs = groups.agg(F.sum("k"), F.sum(F.expr("k * (k - 1) / 2"))).first()
@@ -230,7 +254,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         order = _merged(order, _frequent(again.join(F.broadcast(wanted), "t").select("text")))
         if len(order[0]) == known:  # near copies of each other, of which all shingles are frequent
             break
-    members = connected(links(met, nodes, texts))
+    known = by_fingerprint(nodes, texts)
+    joined = connected(known).select(F.col("node").alias("fp"), F.col("root").alias("top"))
+    met = met.drop("root").join(joined, "fp", "left")
+    met = met.select("shingle", "fp", "n", F.coalesce("top", "fp").alias("root"))
+    members = connected(links(met, nodes, texts, known))
     return label_rows(rows.select("id", "t", "fp"), nodes, members)
 
 
@@ -253,7 +281,8 @@ def _placed(
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
-                sets = [shingle_set(t) for t in part.column("text").to_pylist()]
+                both = [fingerprint_and_set(t) for t in part.column("text").to_pylist()]
+                sets = [b[0] for b in both]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
@@ -261,19 +290,23 @@ def _placed(
                         pa.array([set_hash(s) for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int32()),
                         _lists([prefix(s, often, counts) for s in sets]),
+                        pa.array([b[1] for b in both], pa.int64()),
                     ],
-                    names=["id", "t", "fp", "n", "first"],
+                    names=["id", "t", "fp", "n", "first", "sim"],
                 )
 
     kind = narrow.schema["id"].dataType.simpleString()
     rows = stage(
         narrow.withColumn("t", F.xxhash64("text")).mapInArrow(
-            shingled, f"id {kind}, t bigint, fp bigint, n int, first array<bigint>"
+            shingled, f"id {kind}, t bigint, fp bigint, n int, first array<bigint>, sim bigint"
         ),
         "copies",
     )
     nodes = stage(
-        rows.groupBy("fp").agg(F.min("id").alias("least"), F.min("t").alias("t")), "copies-nodes"
+        rows.groupBy("fp").agg(
+            F.min("id").alias("least"), F.min("t").alias("t"), F.min("sim").alias("sim")
+        ),
+        "copies-nodes",
     )
     places = (
         rows.groupBy("fp")
