@@ -2,9 +2,19 @@
 
 from pyspark.sql import functions as F
 
+from checks import extracts
 from checks.extracts import SHIPMENT_HEADERS, shipment_extract, shipment_texts
-from waybill.functions import parse_date, wide_trim
+from waybill import SHIPMENT, columns_table, profile
+from waybill.functions import name_key, name_tokens, parse_date, wide_trim
+from waybill.operators import profiling
+from waybill.operators.mapping import name_similarity, score_columns
+from waybill.operators.materializing import flag_rows, report_of
 from waybill.sources.sinks import write_flagged
+from waybill.sources.staging import stage
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def small_tables(spark, path):
@@ -64,3 +74,44 @@ def test_dates_and_trims_by_their_parts(spark):
     trims = [("　a b\x0b", "a b"), ("a\x7f", "a\x7f"), ("é ", "é"), (" ", ""), ("x", "x")]
     df = spark.createDataFrame(trims, "t string, d string")
     assert df.where(wide_trim(F.col("t")) != F.col("d")).count() == 0
+
+
+def test_wide_tables_are_dealt_out_by_rows(spark, monkeypatch):
+    names = [f"c{i}" for i in range(profiling.WIDE)]
+    rows = spark.range(0, 40, numPartitions=1).select(
+        F.when(F.col("id") < 30, F.col("id")).alias("_ix"),
+        *[F.when(F.col("id") % (i + 2) > 0, F.col("id") % 7 + i).alias(n) for i, n in enumerate(names)],
+    )
+    twice = rows.union(rows.filter("_ix > 25")).coalesce(1)
+    whole = profile(twice, names).collect()
+    assert "REPARTITION_BY_NUM" not in physical(profiling.column_values(twice, names))
+    monkeypatch.setattr(profiling, "TASK_CELLS", 4 * len(names))
+    dealt = profiling.column_values(twice, names)
+    assert "REPARTITION_BY_NUM" in physical(dealt)
+    assert profiling._dealt(twice, names, "_ix").rdd.getNumPartitions() == 22
+    assert profile(twice, names).collect() == whole
+    narrow = profiling.column_values(twice.drop(names[0]))
+    assert "REPARTITION_BY_NUM" not in physical(narrow)
+
+
+def test_a_staged_write_may_say_how_much_a_task_merges(spark):
+    name, seen = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+
+    class Table:
+        sparkSession, schema = spark, "id bigint"
+        write = property(lambda self: self)
+
+        def parquet(self, path):
+            seen.append(spark.conf.get(name, None))
+            spark.range(1).write.parquet(path)
+
+    before = spark.conf.get(name, None)
+    for given in (None, "3m"):
+        if given:
+            spark.conf.set(name, given)
+        try:
+            assert stage(Table(), "small", 1 << 20).count() == 1
+            assert spark.conf.get(name, None) == (given or before)
+        finally:
+            spark.conf.unset(name)
+    assert seen == [str(1 << 20), "3m"]
