@@ -115,3 +115,21 @@ def test_a_staged_write_may_say_how_much_a_task_merges(spark):
         finally:
             spark.conf.unset(name)
     assert seen == [str(1 << 20), "3m"]
+
+
+def test_headings_are_scored_in_all_tasks(spark):
+    headings = ["shipment_id", "To", "Distance Miles", "pickup date of it", "", None, "***", "Cost", "ID"]
+    columns = columns_table(spark, {"d": (headings, "Shipment"), "e": (["x"], "nothing")}).coalesce(1)
+    scored = score_columns(columns)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert scored.rdd.getNumPartitions() == tasks and "Join" not in physical(scored)
+    by_field = None
+    for f in SHIPMENT.fields:
+        one = columns.filter("entity = 'Shipment'").select(
+            F.lit(f.name).alias("target_field"), "col_pos",
+            name_similarity(f, name_key(F.col("column")), name_tokens(F.col("column"))).alias("score"),
+        )
+        by_field = one if by_field is None else by_field.union(one)
+    got = scored.select("target_field", "col_pos", "score").collect()
+    assert sorted(got) == sorted(by_field.collect()) and len(got) == len(headings) * 11
+    assert {r.score for r in got} >= {0.0, 0.85, 0.95, 1.0}

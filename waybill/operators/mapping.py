@@ -46,16 +46,23 @@ def _tokens(name: str) -> list[str]:
 
 def name_similarity(field: FieldSpec, key: Column, words: Column) -> Column:
     """How well a column name, given as its key and its words, fits a field, 0 to 1."""
-    f, field_words = _key(field.name), _tokens(field.name)
+    field_words = _tokens(field.name)
     # The words of either side are distinct, so counting is all that the sets need.
     shared = sum((F.array_contains(words, w).cast("int") for w in field_words), F.lit(0))
-    union = F.size(words) + len(field_words) - shared
+    synonym = key.isin(*sorted({_key(s) for s in field.synonyms}))
+    return _similarity(F.lit(_key(field.name)), synonym, F.lit(len(field_words)), shared, key, words)
+
+
+def _similarity(
+    f: Column, synonym: Column, n_words: Column, shared: Column, key: Column, words: Column
+) -> Column:
+    """``name_similarity`` for a field of key ``f`` and ``n_words`` words, ``shared`` of them in common."""
+    union = F.size(words) + n_words - shared
     jaccard = F.when(union > 0, shared.cast("double") / union).otherwise(0.0)
-    long_enough = F.lit(len(f) > 2)
-    contained = long_enough & (key != "") & (F.contains(key, F.lit(f)) | F.contains(F.lit(f), key))
+    contained = (F.length(f) > 2) & (key != "") & (F.contains(key, f) | F.contains(f, key))
     return (
         F.when(key == f, SAME_NAME)
-        .when(key.isin(*sorted({_key(s) for s in field.synonyms})), SYNONYM)
+        .when(synonym, SYNONYM)
         .when(contained, CONTAINED)
         .when(jaccard >= SHARED_WORDS_FROM, SHARED_WORDS_BASE + SHARED_WORDS_WEIGHT * jaccard)
         .otherwise(0.0)
@@ -85,31 +92,51 @@ def _keyed(columns: DataFrame) -> DataFrame:
     )
 
 
+def _dealt(columns: DataFrame, *by: str) -> DataFrame:
+    """Headings dealt out to as many tasks as a shuffle has.
+
+    The number is given, since scoring costs more than the few bytes suggest.
+    """
+    partitions = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return columns.repartition(partitions, *by)
+
+
 def score_columns(
     columns: DataFrame, entities: tuple[EntitySpec, ...] = FREIGHT
 ) -> DataFrame:
     """Every column of a dataset scored against every field of its entity.
 
-    Field names and synonyms are constants of the configuration, so a heading is
-    scored where it stands: no join and no shuffle.
+    Field names and synonyms are constants of the configuration: no join. They come
+    as an array of rows, since one expression over all fields is too long for Java to
+    compile. Headings are few bytes and much to score, so a file of many is dealt out.
     """
-    return _keyed(columns).select(
-        "dataset_id",
-        "entity",
-        "col_pos",
-        "column",
-        F.inline(
-            _by_entity(
-                F.col("entity"),
-                entities,
-                lambda pos, f: F.struct(
-                    F.lit(pos).alias("field_pos"),
-                    F.lit(f.name).alias("target_field"),
-                    name_similarity(f, F.col("key"), F.col("words")).alias("score"),
-                ),
-            )
-        ),
-    ).select("dataset_id", "entity", "field_pos", "target_field", "col_pos", "column", "score")
+
+    def texts(found: list[str]) -> Column:
+        return F.array(*[F.lit(x) for x in found]).cast("array<string>")
+
+    def field(pos: int, f: FieldSpec) -> Column:
+        return F.struct(
+            F.lit(pos).alias("field_pos"),
+            F.lit(f.name).alias("target_field"),
+            F.lit(_key(f.name)).alias("field_key"),
+            texts(sorted({_key(s) for s in f.synonyms})).alias("field_synonyms"),
+            texts(_tokens(f.name)).alias("field_words"),
+        )
+
+    keyed = _keyed(_dealt(columns, "dataset_id", "col_pos", "column"))
+    key, words, field_words = F.col("key"), F.col("words"), F.col("field_words")
+    score = _similarity(
+        F.col("field_key"),
+        F.array_contains("field_synonyms", key),
+        F.size(field_words),
+        F.size(F.array_intersect(words, field_words)),
+        key,
+        words,
+    )
+    return keyed.select("*", F.inline(_by_entity(F.col("entity"), entities, field))).select(
+        "dataset_id", "entity", "field_pos", "target_field", "col_pos", "column",
+        score.alias("score"),
+    )
 
 
 def suggest_mappings(
@@ -121,10 +148,8 @@ def suggest_mappings(
     fields that picked the same column the best scoring one gets it (the
     earlier field on a tie); the others stay unmapped.
     """
-    # One shuffle of the headings by dataset serves the maxima and the claims. The number
-    # of partitions is given, since scoring costs more than the few bytes suggest.
-    partitions = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = _keyed(columns.repartition(partitions, "dataset_id")).select(
+    # One shuffle of the headings by dataset serves the maxima and the claims.
+    scored = _keyed(_dealt(columns, "dataset_id")).select(
         "dataset_id",
         "entity",
         (-F.col("col_pos")).alias("rank"),
