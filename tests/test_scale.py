@@ -133,3 +133,18 @@ def test_headings_are_scored_in_all_tasks(spark):
     got = scored.select("target_field", "col_pos", "score").collect()
     assert sorted(got) == sorted(by_field.collect()) and len(got) == len(headings) * 11
     assert {r.score for r in got} >= {0.0, 0.85, 0.95, 1.0}
+
+
+def test_report_leaves_the_rows_of_named_extracts_where_they_are(spark):
+    rows = spark.range(20).selectExpr(
+        "id AS _ix", "concat('S', id) AS id", "'2026-01-02' AS day", "if(id = 17, 'odd', 'booked') AS status"
+    )
+    given = {"id": "id", "pickup_date": "day", "promised_date": "day", "status": "status", "delivery_date": "status"}
+    flagged = flag_rows(rows, given, SHIPMENT, "a")
+    report = report_of(flagged, SHIPMENT, ["a", "b"])
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 1
+    many = report_of(flagged, SHIPMENT, spark.sql("SELECT 'a' dataset_id UNION ALL SELECT 'b'"))
+    assert "strategy=broadcast" not in many._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(report.collect()) == sorted(many.collect())
+    a = report.filter("dataset_id = 'a'").first()
+    assert (a.records, a.dropped, len(a.warnings)) == (19, 1, 8) and a.warnings[7].startswith("Row 8 ")

@@ -235,12 +235,16 @@ def report_of(
     )
     # How many of the warned rows a row comes after, or is.
     passed = F.coalesce(F.size(F.filter("marks", lambda m: m <= F.col("ix"))), F.lit(0))
-    # One short row per dataset; adaptive execution decides how to join it.
+    # One short row per dataset. Of named ones there are a few, and all rows may be of one, so
+    # rows stay where they are; of a table of them adaptive execution decides how to join it.
+    marks = first_warnings.select("dataset_id", "marks")
+    if not isinstance(dataset_ids, DataFrame):
+        marks = F.broadcast(marks)
     counted = (
         flagged.select(
             "dataset_id", ix.alias("ix"), F.col("reject_reason").isNull().alias("kept")
         )
-        .join(first_warnings.select("dataset_id", "marks"), "dataset_id", "left")
+        .join(marks, "dataset_id", "left")
         .select("dataset_id", passed.alias("passed"), "kept")
         .groupBy("dataset_id", "passed")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept"))
