@@ -5,6 +5,8 @@ Each is a query over the whole of the given tables, so work grows with them.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -87,6 +89,7 @@ def _city_text(nation: Column, line: Column) -> Column:
 
 
 _WRITTEN: dict[tuple, tuple[str, DataFrame]] = {}
+TASK_LINES = 250_000
 _ORDER = "order_key"  # beside the texts: tells where something is planted
 
 
@@ -131,8 +134,16 @@ def shipment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line items as messy shipments, with the order that each belongs to.
 
     Only used columns travel. Orders meet their customers first; the many line
-    items then travel by order, and are numbered where that has brought them.
+    items then travel by order, and are numbered where that has brought them. A
+    task gets some ``TASK_LINES`` of them, however many there are.
     """
+    lines = table(spark, sf_dir, "lineitem")
+    tasks = ceil(lines.count() / TASK_LINES)
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        # What each core takes at once is left to adaptive execution.
+        return df.repartition(tasks, key) if tasks > spark.sparkContext.defaultParallelism else df
+
     orders = (
         table(spark, sf_dir, "orders")
         .select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("pickup"))
@@ -142,12 +153,12 @@ def shipment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("o_orderkey", "pickup", "c_nationkey")
     )
+    used = lines.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    )
     base = (
-        table(spark, sf_dir, "lineitem")
-        .select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-        )
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        dealt(used, "l_orderkey")
+        .join(dealt(orders, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(
             table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_name"),
             F.col("l_suppkey") == F.col("s_suppkey"),

@@ -148,3 +148,15 @@ def test_report_leaves_the_rows_of_named_extracts_where_they_are(spark):
     assert sorted(report.collect()) == sorted(many.collect())
     a = report.filter("dataset_id = 'a'").first()
     assert (a.records, a.dropped, len(a.warnings)) == (19, 1, 8) and a.warnings[7].startswith("Row 8 ")
+
+
+def test_a_task_gets_a_bounded_number_of_lines(spark, tmp_path, monkeypatch):
+    at = small_tables(spark, tmp_path)
+    few = shipment_texts(spark, at)
+    assert "REPARTITION_BY_NUM" not in physical(few)
+    rows = few.collect()
+    monkeypatch.setattr(extracts, "TASK_LINES", 1)
+    many = shipment_texts(spark, at)
+    assert physical(many).count("REPARTITION_BY_NUM") == 2
+    assert many.rdd.getNumPartitions() == 8 > spark.sparkContext.defaultParallelism
+    assert sorted(many.collect()) == sorted(rows)
