@@ -1,6 +1,7 @@
 """Line dedup, mixing and BPE on edge tables, against SQL and the tokenizers library."""
 
 import hashlib
+import json
 import random
 
 import public_tokenizers
@@ -122,3 +123,10 @@ def test_bpe_query(spark, tokenizer):
         ids = tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert bpe.round_trip(spark.createDataFrame([], "text string")).count() == 0
+
+
+def test_bpe_reads_ids_by_their_decimals(spark):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        coder = bpe.Bpe(json.load(f))
+    assert coder.by_decimal == {str(i): t for i, t in coder.tokens.items()}
+    assert coder.read("007 7\n+7") == coder.decode([7, 7, 7]) and coder.read("") == ""

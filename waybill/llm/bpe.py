@@ -26,7 +26,9 @@ import hashlib
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -75,6 +77,8 @@ class Bpe:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in vocabulary["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
+        self.decimals = {i: str(i) for i in self.tokens}
+        self.by_decimal = _ByDecimal(self.decimals, self.tokens)
         # The rank of a pair and the id that it makes, in one number that sorts by rank.
         self.ranks: dict[tuple[int, int], int] = {}
         for rank, (a, b) in enumerate(model["merges"]):
@@ -108,7 +112,7 @@ class Bpe:
         found = self.pieces.get(piece)
         if found is None:
             raw = piece.encode("utf-8")
-            parts = [self.inner[b] for b in raw]
+            parts = list(map(self.inner.__getitem__, raw))
             parts[-1] = self.last[raw[-1]]
             found = tuple((_scan if len(parts) <= SHORT else _heap)(parts, self.ranks))
             self.pieces.keep(piece, found, 36 * len(found))
@@ -116,8 +120,8 @@ class Bpe:
 
     def _entry(self, word: str) -> tuple[str, int, bytes]:
         """Of a stretch without white space: its ids in decimal, their number, and as int32."""
-        ids = [i for piece in self.piece.findall(word) for i in self.merged(piece)]
-        entry = _entry_of(ids)
+        ids = list(chain.from_iterable(map(self.merged, self.piece.findall(word))))
+        entry = self._entry_of(ids)
         self.words.keep(word, entry, len(entry[0]) + len(entry[2]) + 150)
         return entry
 
@@ -128,7 +132,7 @@ class Bpe:
                 e
                 for part in parts
                 for e in (
-                    [_entry_of([self.special[part]])]
+                    [self._entry_of([self.special[part]])]
                     if part in self.special
                     else self._plain(part)
                 )
@@ -158,11 +162,21 @@ class Bpe:
 
     def read(self, written: str) -> str:
         """``decode`` of ids in decimal."""
-        return " ".join(map(self.tokens.__getitem__, map(int, written.split())))
+        return " ".join(map(self.by_decimal.__getitem__, written.split()))
 
+    def _entry_of(self, ids: list[int]) -> tuple[str, int, bytes]:
+        return " ".join(map(self.decimals.__getitem__, ids)), len(ids), array("i", ids).tobytes()
 
-def _entry_of(ids: list[int]) -> tuple[str, int, bytes]:
-    return " ".join(map(str, ids)), len(ids), np.array(ids, np.int32).tobytes()
+
+class _ByDecimal(dict):
+    """Tokens by their ids in decimal, in the usual writing or any other."""
+
+    def __init__(self, decimals: dict[int, str], tokens: dict[int, str]) -> None:
+        super().__init__((decimals[i], t) for i, t in tokens.items())
+        self.tokens = tokens
+
+    def __missing__(self, written: str) -> str:
+        return self.tokens[int(written)]
 
 
 class _Kept(dict):
@@ -184,7 +198,7 @@ class _Kept(dict):
 def _scan(parts: list[int], ranks: dict) -> list[int]:
     """Merge with an array of adjacent ranks, scanned for the minimum each time."""
     rank = ranks.get
-    beside = [rank(pair, NEVER) for pair in zip(parts, parts[1:])]
+    beside = list(map(rank, zip(parts, parts[1:]), repeat(NEVER)))
     while beside and (least := min(beside)) != NEVER:
         at = beside.index(least)  # the leftmost of equals
         parts[at] = joined = least & ID_MASK
