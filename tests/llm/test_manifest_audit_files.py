@@ -229,6 +229,38 @@ def test_words_forget(tokenizer, monkeypatch):
         assert len(words.young) + len(words.old) < 30
 
 
+def test_words_go_through_the_library_once(tokenizer):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = token_files.Words(f.read())
+    asked, encode = [], words._encode
+    words._encode = lambda texts: asked.extend(texts) or encode(texts)
+    stems = [f"{a}ü{b}ß" for a in "abcdefghij" for b in "klmnopqrst"] + ["the", "cat", "2019"]
+    texts = [f"({s}, {s}. {s}!? {s.upper()};{s}-{s}2 <{s}, {s}'s," for s in stems]
+    ids = list(words.ids([t.encode() for t in texts]))
+    for text, own in zip(texts, ids):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own, words.kind).tolist() == want, text
+    texts = [f"{s}?! {s}: [{s}] {s};" for s in stems]
+    asked.clear()
+    ids = list(words.ids([t.encode() for t in texts]))
+    for text, own in zip(texts, ids):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own, words.kind).tolist() == want, text
+    # Known words beside unknown signs: the signs alone are asked for.
+    assert sorted(b" ".join(asked).split()) == [b":", b"?!", b"[", b"]"]
+    assert len(asked) == 1
+
+
+def test_seams_part_no_piece(tokenizer):
+    chars = "aZéÉßÿ×÷İſ5½,.'<|>-_\x1c\x00\u0301\u0338\u00a0ñ 日\n"
+    random.seed(8)
+    for _ in range(6000):
+        text = "".join(random.choices(chars, k=random.randint(1, 8)))
+        cut = [w.decode() for w in token_files._words([text.encode()])[0]]
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert tokenizer.encode(" ".join(cut), add_special_tokens=False).ids == want, repr(text)
+
+
 def slow_huffman(counts):
     """The bits of all ids under a plain Huffman code."""
     import heapq

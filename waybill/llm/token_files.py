@@ -26,11 +26,13 @@ running sum over the list of files, one row per file of some ``FILE_IDS`` ids.
 
 **Words.** The library is called once for a word that a worker has not met lately.
 That gives the ids of the whole text, because its pieces never hold white space
-and nothing it does looks beyond a blank: texts are cut at ASCII white space, and
-an unknown word also between an ASCII letter and another ASCII character, unless
-an apostrophe or ``<`` may bind them. Unknown words of ASCII letters go through
-the library as one text; the ids that end a word tell them apart. Words are kept in two generations of
-``KEPT_BYTES`` bytes; when the younger is full, the older is dropped.
+and nothing it does looks beyond a blank: texts are cut at ASCII white space,
+between letters of ASCII or Latin-1, ASCII digits and other ASCII characters, and
+between digits, unless an apostrophe or ``<`` may bind them. A word cannot differ
+from another by the punctuation around it, so fewer are met. Unknown words that
+are one piece to the library go through it as one text; the ids that end a word
+tell them apart. Words are kept in two generations of ``KEPT_BYTES`` bytes; when
+the younger is full, the older is dropped.
 
 Special cases: null and empty texts give the end id alone. Documents with a null
 id come first, repeated ids keep all their rows, in order of their checksums. An
@@ -71,12 +73,52 @@ BLOCK = 1 << 20  # ids
 STEP = 128  # ids between two checkpoints
 FILE_IDS = 1 << 25  # a new file is begun after so many ids
 PIECE = 1 << 20  # bytes of a text that are encoded at a time
-KEPT_BYTES = 128 << 20  # words of one generation, as Python holds them
+KEPT_BYTES = 64 << 20  # words of one generation, as Python holds them
 KEPT_LENGTH = 64  # bytes; longer words are not kept
 MAGIC, FOOT = b"WBIDS\x00\x01\n", b"WBIDSEND"
 
 _BLANKS = (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c")
 
+# What a byte can be cut from: 1 letters, 2 other ASCII, 3 digits (from each other too); 0 nothing.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[:128] = 2
+_CLASS[[*b"'<", *b"".join(_BLANKS)]] = 0
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_CLASS[0x30:0x3A] = 3
+_LATIN = 0xC3  # U+00C0 to U+00FF begin with it: letters, but for these two
+_LATIN_SIGNS = (0x97, 0xB7)
+
+
+def _seams(text: np.ndarray) -> np.ndarray:
+    """Where the library's pieces end for certain: before these bytes."""
+    kind = _CLASS[text]
+    lead = np.flatnonzero(text[:-1] == _LATIN)
+    lead = lead[~np.isin(text[lead + 1], _LATIN_SIGNS)]
+    kind[lead] = kind[lead + 1] = 1
+    left, right = kind[:-1], kind[1:]
+    cut = ((left != right) | (right == 3)) & (left != 0) & (right != 0)
+    if len(bound := np.flatnonzero(text == 0x3C)):  # "<": a special token's word stays whole
+        word = np.cumsum((text == 0x20) | ((text >= 0x09) & (text <= 0x0D)))
+        whole = np.zeros(int(word[-1]) + 1, bool)
+        whole[word[bound]] = True
+        cut &= ~whole[word[1:]]
+    return np.flatnonzero(cut) + 1
+
+
+def _words(texts: list[bytes]) -> list[list[bytes]]:
+    """Each text's words, cut at the seams."""
+    joined = np.frombuffer(b"\n".join(texts), np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    seams = _seams(joined)
+    apart = np.empty(len(joined) + len(seams), np.uint8)
+    blank = np.zeros(len(apart), bool)
+    blank[seams + np.arange(len(seams))] = True
+    apart[blank] = 0x20
+    apart[~blank] = joined
+    ends = (ends + np.searchsorted(seams, ends)).tolist()
+    raw = apart.tobytes()
+    return [raw[a:b].split() for a, b in zip([0, *ends], ends)]
+
 
 # --- encoding --------------------------------------------------------------------------------
 
@@ -117,28 +159,32 @@ class Words:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
             self.ends[[i for w, i in given["model"]["vocab"].items() if w.endswith(suffix)]] = True
-        letter, other = rb"[A-Za-z]", rb"[\x00-&(-;=-@\[-`{-\x7f]"
-        self.seam = re.compile(
-            rb"(?<=%b)(?=%b)|(?<=%b)(?=%b)" % (letter, other, other, letter)
-        )
+        self.signs = re.compile(rb"[!-&(-/:;=-@\[-`{-~]+")
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.size = 0
 
+    def _one_piece(self, word: bytes) -> bool:
+        """Letters alone or ASCII signs alone: at least one piece, and mostly just that."""
+        if word.isalpha() or self.signs.fullmatch(word):
+            return True
+        return not word.isascii() and word.decode("utf-8").isalpha()
+
     def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of words; those of ASCII letters only go through the library together."""
-        plain = [w for w in words if w.isalpha()]
+        """Ids of words; those that are one piece go through the library together."""
+        plain, rest = [], []
+        for w in words:
+            (plain if self._one_piece(w) else rest).append(w)
         once = list({w.lower() for w in plain} if self.lowers else plain)
         ids = self._encode([b" ".join(once)])[0] if once else np.empty(0, self.kind)
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(once):
+        if len(cuts) == len(once):  # every word ends at least once, so none ends twice
             raw, cuts = ids.tobytes(), (cuts * ids.itemsize).tolist()
             found = {w: raw[a:b] for w, a, b in zip(once, [0, *cuts], cuts)}
         else:
             found = {w: i.tobytes() for w, i in zip(once, self._encode(once))}
         if self.lowers:
             found = {w: found[w.lower()] for w in plain}
-        rest = [w for w in words if not w.isalpha()]
         found.update((w, i.tobytes()) for w, i in zip(rest, self._encode(rest)))
         return found
 
@@ -148,43 +194,21 @@ class Words:
         )
         return [np.array(e.ids, self.kind) for e in found]
 
-    def _parts(self, word: bytes) -> list[bytes]:
-        """A word cut where the library's pieces end for certain."""
-        if word.isalpha() or b"'" in word or b"<" in word:
-            return [word]
-        if word[:-1].isalpha() and word[-1] < 0x80:
-            return [word[:-1], word[-1:]]
-        return self.seam.split(word)
-
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not among the young, which they now are."""
-        young, old = self.young, self.old
-        known: dict[bytes, bytes] = {}
-        cut: dict[bytes, list[bytes]] = {}
-        wanted: set[bytes] = set()
-        for w in words:
-            if (ids := old.get(w)) is not None:
-                known[w] = ids
-            elif w.isalpha():
-                wanted.add(w)
-            else:
-                cut[w] = parts = self._parts(w)
-                wanted.update(parts)
-        have = {p: ids for p in wanted if (ids := young.get(p) or old.get(p))}
-        have.update(self._library([p for p in wanted if p not in have]))
-        for w, parts in cut.items():
-            known[w] = b"".join([have[p] for p in parts]) if len(parts) > 1 else have[w]
-        have.update(known)
-        young.update(i for i in have.items() if len(i[0]) <= KEPT_LENGTH)
+        old = self.old
+        have = {w: old[w] for w in words if w in old}
+        have.update(self._library([w for w in words if w not in have]))
+        self.young.update(i for i in have.items() if len(i[0]) <= KEPT_LENGTH)
         self.size += 200 * len(have) + sum(map(len, have)) + sum(map(len, have.values()))
         if self.size >= KEPT_BYTES:
-            self.old, self.young, self.size = young, {}, 0
+            self.old, self.young, self.size = self.young, {}, 0
         return have
 
     def _group(self, texts: list[bytes]) -> list[bytes]:
         """Ids of some texts; unknown words of all of them are learnt together."""
+        split = _words(texts)
         get = self.young.get
-        split = [t.split() for t in texts]
         got = [list(map(get, words)) for words in split]
         holes = [(g, words, at) for g, words in zip(got, split) for at in _holes(g)]
         if holes:
