@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 from waybill.llm import audit_sql, divergence, merkle, queries, token_files
+from waybill.llm.words import cut_words
 
 LONG = "word Word wörd's " * 20_000 + "\n" + "x" * 70_000
 ROWS = [
@@ -256,7 +257,7 @@ def test_seams_part_no_piece(tokenizer):
     random.seed(8)
     for _ in range(6000):
         text = "".join(random.choices(chars, k=random.randint(1, 8)))
-        cut = [w.decode() for w in token_files._words([text.encode()])[0]]
+        cut = [w.decode() for w in cut_words([text.encode()])[0]]
         want = tokenizer.encode(text, add_special_tokens=False).ids
         assert tokenizer.encode(" ".join(cut), add_special_tokens=False).ids == want, repr(text)
 

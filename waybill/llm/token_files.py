@@ -52,6 +52,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -64,61 +65,22 @@ from pyspark.sql import types as T
 
 from ..sources.staging import new_staging_path, stage
 from .warc import _place
-from .words import quoted
+from .words import cut_words, quoted
 from .workers import kept
 
 END_ID = 2
 LIMIT = 18  # bits of the longest code, or as many as the vocabulary needs
 BLOCK = 1 << 20  # ids
 STEP = 128  # ids between two checkpoints
+CHUNK = 1 << 15  # ids whose bits are put together at a time, so that they stay in the cache
 FILE_IDS = 1 << 25  # a new file is begun after so many ids
 PIECE = 1 << 20  # bytes of a text that are encoded at a time
-KEPT_BYTES = 64 << 20  # words of one generation, as Python holds them
+KEPT_BYTES = 96 << 20  # words of one generation, as Python holds them
 KEPT_LENGTH = 64  # bytes; longer words are not kept
 MAGIC, FOOT = b"WBIDS\x00\x01\n", b"WBIDSEND"
 
 _BLANKS = (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c")
 
-# What a byte can be cut from: 1 letters, 2 other ASCII, 3 digits (from each other too); 0 nothing.
-_CLASS = np.zeros(256, np.uint8)
-_CLASS[:128] = 2
-_CLASS[[*b"'<", *b"".join(_BLANKS)]] = 0
-_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
-_CLASS[0x30:0x3A] = 3
-_LATIN = 0xC3  # U+00C0 to U+00FF begin with it: letters, but for these two
-_LATIN_SIGNS = (0x97, 0xB7)
-
-
-def _seams(text: np.ndarray) -> np.ndarray:
-    """Where the library's pieces end for certain: before these bytes."""
-    kind = _CLASS[text]
-    lead = np.flatnonzero(text[:-1] == _LATIN)
-    lead = lead[~np.isin(text[lead + 1], _LATIN_SIGNS)]
-    kind[lead] = kind[lead + 1] = 1
-    left, right = kind[:-1], kind[1:]
-    cut = ((left != right) | (right == 3)) & (left != 0) & (right != 0)
-    if len(bound := np.flatnonzero(text == 0x3C)):  # "<": a special token's word stays whole
-        word = np.cumsum((text == 0x20) | ((text >= 0x09) & (text <= 0x0D)))
-        whole = np.zeros(int(word[-1]) + 1, bool)
-        whole[word[bound]] = True
-        cut &= ~whole[word[1:]]
-    return np.flatnonzero(cut) + 1
-
-
-def _words(texts: list[bytes]) -> list[list[bytes]]:
-    """Each text's words, cut at the seams."""
-    joined = np.frombuffer(b"\n".join(texts), np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    seams = _seams(joined)
-    apart = np.empty(len(joined) + len(seams), np.uint8)
-    blank = np.zeros(len(apart), bool)
-    blank[seams + np.arange(len(seams))] = True
-    apart[blank] = 0x20
-    apart[~blank] = joined
-    ends = (ends + np.searchsorted(seams, ends)).tolist()
-    raw = apart.tobytes()
-    return [raw[a:b].split() for a, b in zip([0, *ends], ends)]
-
 
 # --- encoding --------------------------------------------------------------------------------
 
@@ -128,17 +90,6 @@ def id_kind(largest: int) -> np.dtype:
     return np.dtype("<u2" if largest < 1 << 16 else "<u4")
 
 
-def _holes(items: list) -> list[int]:
-    """Where ``None`` stands."""
-    found, at = [], -1
-    try:
-        while True:
-            at = items.index(None, at + 1)
-            found.append(at)
-    except ValueError:
-        return found
-
-
 class Words:
     """Ids of texts by the ``tokenizers`` library, word by word; one per Python worker."""
 
@@ -207,15 +158,15 @@ class Words:
 
     def _group(self, texts: list[bytes]) -> list[bytes]:
         """Ids of some texts; unknown words of all of them are learnt together."""
-        split = _words(texts)
-        get = self.young.get
-        got = [list(map(get, words)) for words in split]
-        holes = [(g, words, at) for g, words in zip(got, split) for at in _holes(g)]
-        if holes:
-            known = self._learn({words[at] for _, words, at in holes})
-            for g, words, at in holes:
-                g[at] = known[words[at]]
-        return [b"".join(g) for g in got]
+        split = cut_words(texts)
+        words = list(chain.from_iterable(split))
+        got = list(map(self.young.get, words))
+        if holes := [at for at, ids in enumerate(got) if ids is None]:
+            known = self._learn({words[at] for at in holes})
+            for at in holes:
+                got[at] = known[words[at]]
+        ends = list(accumulate(map(len, split)))
+        return [b"".join(got[a:b]) for a, b in zip([0, *ends], ends)]
 
     def _plain(self, text: bytes) -> bytes:
         """The text with A-Z lower-cased where that changes no ids.
@@ -376,18 +327,25 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
 
 def pack_bits(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bits of ``ids`` from the highest bit of the first byte on, and where every id begins."""
-    bits = lengths[ids].astype(np.int64)
-    ends = np.cumsum(bits)
-    starts = ends - bits
-    total = int(ends[-1]) if len(ends) else 0
-    words = np.zeros((total + 63) // 32 + 1, np.int64)
-    word, place = starts >> 5, starts & 31
-    # A code of up to 32 bits lies in two words of 32 bits; no two codes share a bit, so
-    # adding is the same as setting.
-    wide = codes[ids] << (64 - place - bits).astype(np.uint64)
-    for half, shift in ((wide >> np.uint64(32), 0), (wide & np.uint64(0xFFFFFFFF), 1)):
-        sums = np.bincount(word + shift, weights=half.astype(np.float64), minlength=len(words))
-        words += sums.astype(np.int64)
+    starts = np.empty(len(ids), np.int64)
+    words = np.zeros(len(ids) * int(lengths.max(initial=0)) // 32 + 3, np.int64)
+    total = 0
+    for at in range(0, len(ids), CHUNK):
+        part = ids[at : at + CHUNK]
+        bits = lengths[part].astype(np.int64)
+        ends = np.cumsum(bits)
+        ends += total
+        begin = np.subtract(ends, bits, out=starts[at : at + CHUNK])
+        # A code of up to 32 bits lies in two words of 32 bits; no two codes share a bit, so
+        # adding is the same as setting.
+        wide = codes[part] << (64 - (begin & 31) - bits).astype(np.uint64)
+        first = total >> 5
+        word = (begin >> 5) - first
+        for half, shift in ((wide >> np.uint64(32), 0), (wide & np.uint64(0xFFFFFFFF), 1)):
+            sums = np.bincount(word, weights=half).astype(np.int64)
+            words[first + shift : first + shift + len(sums)] += sums
+        total = int(ends[-1])
+    words = words[: (total + 31) // 32]
     return words.astype(">u4").tobytes()[: (total + 7) // 8], starts
 
 
@@ -396,36 +354,35 @@ class Decoder:
 
     def __init__(self, lengths: np.ndarray) -> None:
         self.longest = int(lengths.max(initial=0))
-        self.ids = np.zeros(1 << self.longest, np.int32)
-        self.bits = np.zeros(1 << self.longest, np.int64)
+        # id and bits in one number
+        self.table = np.zeros(1 << self.longest, np.int64 if len(lengths) >> 25 else np.int32)
         used = np.flatnonzero(lengths)
         order = used[np.lexsort((used, lengths[used]))]
         spans = np.int64(1) << (self.longest - lengths[order].astype(np.int64))
-        full = int(spans.sum())
-        self.ids[:full] = np.repeat(order, spans)
-        self.bits[:full] = np.repeat(lengths[order], spans)
+        self.table[: int(spans.sum())] = np.repeat(order << 6 | lengths[order], spans)
 
     def decode(self, data: bytes, points: np.ndarray, n: int, step: int) -> np.ndarray:
         """``n`` ids; ``points`` are the bits at which every ``step``-th of them begins."""
-        padded = np.frombuffer(data + bytes(16), np.uint8)
         at = np.asarray(points, np.int64).copy()
         lanes = len(at)
         out = np.empty((step, lanes), np.int32)
         last = n - (lanes - 1) * step
         end = 8 * len(data)
-        shift = 64 - self.longest
-        # the eight bytes that begin at each byte, as one number
-        pieces = np.lib.stride_tricks.sliding_window_view(padded, 8)
+        if lanes and int(at.max()) > end:
+            raise ValueError("the bits of a block are damaged")
+        shift = np.uint64(64 - self.longest)
+        # the 64 bits that begin at each word of 32 bits, as one number
+        padded = np.frombuffer(data + bytes(12 - len(data) % 4), ">u4").astype(np.uint64)
+        pieces = padded[:-1] << np.uint64(32) | padded[1:]
         for i in range(step):
             if i == last:
                 at, lanes = at[:-1], lanes - 1
                 if not lanes:
                     break
-            window = pieces[at >> 3].view(">u8")[:, 0].astype(np.uint64)
-            key = (window << (at & 7).astype(np.uint64)) >> np.uint64(shift)
-            key = key.astype(np.int64)
-            out[i, :lanes] = self.ids[key]
-            used = self.bits[key]
+            window = pieces[at >> 5] << (at & 31).view(np.uint64)
+            found = self.table[(window >> shift).view(np.int64)]
+            out[i, :lanes] = found >> 6
+            used = found & 63
             at = at + used
             if not used.all() or (lanes and int(at.max()) > end):
                 raise ValueError("the bits of a block are damaged")
