@@ -130,3 +130,55 @@ def test_bpe_reads_ids_by_their_decimals(spark):
         coder = bpe.Bpe(json.load(f))
     assert coder.by_decimal == {str(i): t for i, t in coder.tokens.items()}
     assert coder.read("007 7\n+7") == coder.decode([7, 7, 7]) and coder.read("") == ""
+
+
+@pytest.fixture
+def coder():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return bpe.Bpe(json.load(f))
+
+
+def test_bpe_merges_side_by_side_like_one_by_one(coder):
+    random.seed(2)
+    pieces = [bytes(random.choices(b"abcdeinrst\xc3\xa9!#", k=random.randint(1, 120))) for _ in range(800)]
+    pieces = list(dict.fromkeys([b"a", b"zz", *pieces]))
+    found = coder.merged(pieces)
+    assert set(found) == set(pieces) and coder.merged([]) == {}
+    for p in pieces:
+        parts = [*map(coder.inner.__getitem__, p[:-1]), coder.last[p[-1]]]
+        assert found[p] == bpe._scan(parts, coder.ranks), p
+    pairs = list(coder.ranks)
+    a, b = (list(x) for x in zip(*pairs, (0, 0), (49407, 49407)))
+    import numpy as np
+
+    got = coder.pairs(np.array(a), np.array(b)).tolist()
+    assert got == [coder.ranks.get(p, bpe.NEVER) for p in zip(a, b)]
+
+
+def test_bpe_learns_words_once_whatever_signs_are_beside_them(coder, tokenizer):
+    stems = [f"{a}ü{b}ß" for a in "abcdef" for b in "klmnop"] + ["The", "2019"]
+    texts = [f"({s}, {s}. {s}!? {s.upper()};{s}-{s}2 [{s}]\n{s}:" for s in stems]
+    asked, merged = [], coder.merged
+    coder.merged = lambda pieces: asked.append(pieces) or merged(pieces)
+    for text, ids in zip(texts, coder.encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(asked) == 1  # the unknown words of all texts together
+    for text, ids in zip(texts, coder.written([f"{t}?!" for t in texts])):
+        want = tokenizer.encode(f"{text}?!", add_special_tokens=False).ids
+        assert ids == " ".join(map(str, want))
+    assert b"?!" in coder.written_words.young or b":?!" in coder.written_words.young
+    assert len(coder.written_words.young) < 2 * len(stems) + 20
+
+
+def test_bpe_forgets_words_and_knows_special_tokens(coder, tokenizer, monkeypatch):
+    coder.words.most = coder.written_words.most = 3000
+    monkeypatch.setattr(bpe, "GROUP", 30)
+    chars = ["a", "The", "é", "É", "´", "́", "ſ", "'s", "'LL", "5", "½", ",", "?!", "<", "|", "\x1c", "\x85",
+             " ", " ", "\n", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "İ", "日本", "×"]
+    random.seed(4)
+    texts = ["".join(random.choices(chars, k=random.randint(0, 9))) for _ in range(3000)]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for text, ids, written, own in zip(texts, coder.encode(texts), coder.written(texts), want):
+        assert ids.tolist() == own and written == " ".join(map(str, own)), repr(text)
+        assert coder.read(written) == coder.decode(own)
+    assert len(coder.words.young) + len(coder.words.old) < 60

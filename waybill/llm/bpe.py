@@ -3,14 +3,16 @@
 A text is cut at special tokens, normalised, and cut into pieces; a piece is
 merged in a contiguous rank array: the boundaries of its parts and, beside each,
 the rank of joining that part with the next. The smallest rank is sought by a
-scan, its boundary deleted, and the two ranks beside it looked up anew. The scan
-is quadratic, so pieces above ``SHORT`` symbols are merged with the same choices
-from a heap of ranks.
+scan, its boundary deleted, and the two ranks beside it looked up anew. The rank
+arrays of many pieces are scanned side by side, a row each. The scan is quadratic,
+so pieces above ``SHORT`` symbols are merged with the same choices from a heap of
+ranks.
 
 Rows are encoded in Arrow batches, one pass over the table and no shuffle. Each
-Python worker keeps one encoder, and in it the words that it has met lately, at
-most ``KEPT_BYTES`` of them, so memory grows neither with the input nor with the
-number of runs. The vocabulary file is read on the driver and sent to the
+Python worker keeps one encoder, and in it the words that it has met lately, in two
+generations of at most ``KEPT_BYTES``, so memory grows neither with the input nor
+with the number of runs. Words are cut at white space and where pieces end for
+certain; those of some texts that are not known are merged together. The vocabulary file is read on the driver and sent to the
 executors as one broadcast of its fixed size.
 
 Special cases: null and empty texts give no ids, and no ids decode to the empty
@@ -28,7 +30,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -38,12 +40,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .words import free_name, quoted
+from .words import cut_words, free_name, quoted
 from .workers import kept
 
 SHORT = 96  # symbols; longer pieces are merged with a heap
-KEPT_BYTES = 64 << 20  # words of a Python worker, and half as much for their pieces
-CACHED_LENGTH = 64  # characters; longer words and pieces are not kept
+SIDE_BY_SIDE = 24  # symbols; longer pieces are scanned one by one
+PIECES = 4096  # that are scanned side by side
+GROUP = 1 << 20  # characters of texts whose unknown words are merged together
+KEPT_BYTES = 48 << 20  # words of one generation
+CACHED_LENGTH = 64  # bytes; longer words are not kept
 ID_BITS = 24
 ID_MASK = (1 << ID_BITS) - 1
 ROWS = 256  # that a worker holds encoded or decoded at a time
@@ -89,8 +94,6 @@ class Bpe:
         )
         pattern = split["pattern"]["Regex"].replace(r"[^\s", f"[^{_SPACE}")
         self.piece = regex.compile(pattern)
-        self.space = regex.compile(f"[{_SPACE}]+")
-        self.odd = regex.compile("[\x1c-\x1f]")
         self.cut = (
             regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
             if self.special
@@ -99,61 +102,100 @@ class Bpe:
         alphabet = byte_alphabet()
         self.inner = [self.ids[c] for c in alphabet]
         self.last = [self.ids[c + self.end] for c in alphabet]
+        self.pairs = _Pairs(self.ranks)
+        # Words with their ids in decimal, and as 32-bit numbers.
+        self.written_words = _Kept(KEPT_BYTES)
         self.words = _Kept(KEPT_BYTES)
-        self.pieces = _Kept(KEPT_BYTES // 2)
 
     def normalised(self, text: str) -> str:
         """NFC and lower case; white space is left as it is, since no piece holds any."""
         # Lower-casing goes letter by letter there: no final form of sigma.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def merged(self, piece: str) -> tuple[int, ...]:
-        """Ids of one piece."""
-        found = self.pieces.get(piece)
-        if found is None:
-            raw = piece.encode("utf-8")
-            parts = list(map(self.inner.__getitem__, raw))
-            parts[-1] = self.last[raw[-1]]
-            found = tuple((_scan if len(parts) <= SHORT else _heap)(parts, self.ranks))
-            self.pieces.keep(piece, found, 36 * len(found))
+    def merged(self, pieces: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of some pieces, each once."""
+        found: dict[bytes, list[int]] = {}
+        side: list[bytes] = []
+        for piece in pieces:
+            if len(piece) <= SIDE_BY_SIDE:
+                side.append(piece)
+                continue
+            parts = list(map(self.inner.__getitem__, piece))
+            parts[-1] = self.last[piece[-1]]
+            found[piece] = (_scan if len(parts) <= SHORT else _heap)(parts, self.ranks)
+        side.sort(key=len)
+        for at in range(0, len(side), PIECES):
+            some = side[at : at + PIECES]
+            found.update(zip(some, _side_by_side(some, self.inner, self.last, self.pairs)))
         return found
 
-    def _entry(self, word: str) -> tuple[str, int, bytes]:
-        """Of a stretch without white space: its ids in decimal, their number, and as int32."""
-        ids = list(chain.from_iterable(map(self.merged, self.piece.findall(word))))
-        entry = self._entry_of(ids)
-        self.words.keep(word, entry, len(entry[0]) + len(entry[2]) + 150)
-        return entry
-
-    def entries(self, text: str) -> list[tuple[str, int, bytes]]:
-        """The text, white space left out, as stretches with their ids."""
-        if self.cut and (parts := self.cut.split(text)) and len(parts) > 1:
-            return [
-                e
-                for part in parts
-                for e in (
-                    [self._entry_of([self.special[part]])]
-                    if part in self.special
-                    else self._plain(part)
-                )
-            ]
-        return self._plain(text)
-
-    def _plain(self, text: str) -> list[tuple[str, int, str]]:
-        text = self.normalised(text)
-        # str.split() also parts at four control characters that are no white space here.
-        words = self.space.split(text) if self.odd.search(text) else text.split()
-        find, make = self.words.get, self._entry
-        return [find(w) or make(w) for w in words if w]
-
-    def written(self, text: str) -> tuple[int, str]:
-        """Number of ids, and the ids in decimal with single spaces between."""
-        entries = self.entries(text)
-        return sum([e[1] for e in entries]), " ".join([e[0] for e in entries])
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids, 32 bits each."""
-        return np.frombuffer(b"".join([e[2] for e in self.entries(text)]), np.int32)
+    def _pieces(self, word: bytes) -> list[bytes]:
+        if word.isalpha():  # ASCII letters
+            return [word]
+        text = word.decode("utf-8")
+        if text.isalpha() and max(text) < "\u02b0":
+            return [word]
+        return [p.encode("utf-8") for p in self.piece.findall(text)]
+
+    def _learnt(self, words: set[bytes], known: _Kept, make) -> dict:
+        """What ``make`` makes of the ids of words that are not among the young."""
+        have = known.older(words)
+        cut = {w: self._pieces(w) for w in words if w not in have}
+        ids = self.merged(list(set(chain.from_iterable(cut.values()))))
+        for word, pieces in cut.items():
+            if len(pieces) == 1:
+                have[word] = make(ids[pieces[0]])
+            else:
+                have[word] = make(list(chain.from_iterable(map(ids.__getitem__, pieces))))
+        known.keep(have)
+        return have
+
+    def _stretches(self, texts: list[str]) -> list[list[bytes]]:
+        """Texts, cut at special tokens, as words; a special token begins with a blank."""
+        if not (self.cut and any(map(self.cut.search, texts))):
+            return cut_words([self.normalised(t).encode("utf-8") for t in texts])
+        out = []
+        for text in texts:
+            words: list[bytes] = []
+            for part in self.cut.split(text):
+                if part in self.special:
+                    words.append(b" " + part.encode("utf-8"))
+                else:
+                    words += cut_words([self.normalised(part).encode("utf-8")])[0]
+            out.append(words)
+        return out
+
+    def _coded(self, texts: list[str], known: _Kept, make) -> Iterator[list]:
+        """Of each text: what ``make`` makes of the ids of its words."""
+        at = 0
+        while at < len(texts):
+            end, size = at + 1, len(texts[at])
+            while end < len(texts) and size + len(texts[end]) <= GROUP:
+                size += len(texts[end])
+                end += 1
+            split = self._stretches(texts[at:end])
+            words = list(chain.from_iterable(split))
+            got = list(map(known.young.get, words))
+            if holes := [i for i, g in enumerate(got) if g is None]:
+                new = {words[i] for i in holes}
+                special = {w for w in new if w[:1] == b" "}
+                have = self._learnt(new - special, known, make)
+                have.update((w, make([self.special[w[1:].decode("utf-8")]])) for w in special)
+                for i in holes:
+                    got[i] = have[words[i]]
+            ends = list(accumulate(map(len, split)))
+            yield from (got[a:b] for a, b in zip([0, *ends], ends))
+            at = end
+
+    def written(self, texts: list[str]) -> Iterator[str]:
+        """The ids of each text in decimal, with single spaces between."""
+        for words in self._coded(texts, self.written_words, self._decimal):
+            yield " ".join(filter(None, words))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, 32 bits each."""
+        coded = self._coded(texts, self.words, _int32)
+        return [np.frombuffer(b"".join(words), np.int32) for words in coded]
 
     def decode(self, ids) -> str:
         """Token texts with single spaces between, special tokens included."""
@@ -164,8 +206,12 @@ class Bpe:
         """``decode`` of ids in decimal."""
         return " ".join(map(self.by_decimal.__getitem__, written.split()))
 
-    def _entry_of(self, ids: list[int]) -> tuple[str, int, bytes]:
-        return " ".join(map(self.decimals.__getitem__, ids)), len(ids), array("i", ids).tobytes()
+    def _decimal(self, ids: list[int]) -> str:
+        return " ".join(map(self.decimals.__getitem__, ids))
+
+
+def _int32(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 class _ByDecimal(dict):
@@ -179,20 +225,112 @@ class _ByDecimal(dict):
         return self.tokens[int(written)]
 
 
-class _Kept(dict):
-    """What was met lately: emptied when it holds ``most`` bytes, by a rough count."""
+class _Kept:
+    """What was met lately, in two generations of ``most`` bytes by a rough count."""
 
     def __init__(self, most: int) -> None:
-        super().__init__()
+        self.young: dict[bytes, str | bytes] = {}
+        self.old: dict[bytes, str | bytes] = {}
         self.most, self.size = most, 0
 
-    def keep(self, key: str, value, size: int) -> None:
-        if len(key) <= CACHED_LENGTH:
-            self.size += size + 2 * len(key) + 200
-            if self.size > self.most:
-                self.clear()
-                self.size = size
-            self[key] = value
+    def older(self, words: set[bytes]) -> dict:
+        """Those of the words that are among the old."""
+        old = self.old
+        return {w: old[w] for w in words if w in old}
+
+    def keep(self, met: dict) -> None:
+        kept = {w: v for w, v in met.items() if len(w) <= CACHED_LENGTH}
+        self.young.update(kept)
+        self.size += 220 * len(kept) + sum(map(len, kept)) + sum(map(len, kept.values()))
+        if self.size >= self.most:
+            self.old, self.young, self.size = self.young, {}, 0
+
+
+class _Pairs:
+    """Ranks of many pairs at once: a hash table with linear probing in two arrays."""
+
+    def __init__(self, ranks: dict[tuple[int, int], int]) -> None:
+        self.bits = max(8, (4 * len(ranks)).bit_length())
+        self.mask = (1 << self.bits) - 1
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.ranks = np.full(1 << self.bits, NEVER, np.int64)
+        pairs = np.array(list(ranks), np.int64).reshape(-1, 2)
+        keys, values = self._key(pairs[:, 0], pairs[:, 1]), np.array(list(ranks.values()), np.int64)
+        at = self._slot(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] < 0]
+            _, first = np.unique(at[free], return_index=True)
+            now = free[first]
+            self.keys[at[now]], self.ranks[at[now]] = keys[now], values[now]
+            left = np.setdiff1d(left, now, assume_unique=True)
+            at[left] = (at[left] + 1) & self.mask
+
+    def _key(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return a << ID_BITS | b
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or ``NEVER``."""
+        keys = self._key(a, b)
+        at = self._slot(keys)
+        met = self.keys[at]
+        found = np.where(met == keys, self.ranks[at], NEVER)
+        left = np.flatnonzero((met != keys) & (met >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            met = self.keys[at[left]]
+            same = met == keys[left]
+            found[left[same]] = self.ranks[at[left[same]]]
+            left = left[~same & (met >= 0)]
+        return found
+
+
+def _side_by_side(pieces: list[bytes], inner, last, pairs: _Pairs) -> list[list[int]]:
+    """``_scan`` of many pieces: a row of adjacent ranks for each, all scanned at a time."""
+    n, width = len(pieces), max(map(len, pieces)) + 1
+    sizes = np.fromiter(map(len, pieces), np.int64, n)
+    raw = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8)
+    parts = np.array(inner, np.int64)[raw].reshape(n, width)
+    row = np.arange(n)
+    parts[row, sizes - 1] = np.array(last, np.int64)[raw.reshape(n, width)[row, sizes - 1]]
+    place = np.arange(width)
+    inside = place < sizes[:, None]
+    parts[~inside] = -1
+    ranks = np.full((n, width), NEVER, np.int64)
+    joins = place < sizes[:, None] - 1
+    at, to = np.nonzero(joins)
+    ranks[at, to] = pairs(parts[at, to], parts[at, to + 1])
+    # Of each part that is left: the part after and before it; the last column is no part.
+    after = np.minimum(np.broadcast_to(place + 1, (n, width)), sizes[:, None]).copy()
+    before = np.broadcast_to(place - 1, (n, width)).copy()
+    while len(row):
+        least = ranks[row].argmin(axis=1)  # the leftmost of equals
+        rank = ranks[row, least]
+        more = rank != NEVER
+        row, least, rank = row[more], least[more], rank[more]
+        joined = rank & ID_MASK
+        gone = after[row, least]
+        then = after[row, gone]
+        parts[row, least], parts[row, gone] = joined, -1
+        ranks[row, gone] = NEVER
+        after[row, least] = then
+        before[row, then] = least
+        right = parts[row, then]
+        ranks[row, least] = NEVER
+        has = right >= 0
+        ranks[row[has], least[has]] = pairs(joined[has], right[has])
+        left = before[row, least]
+        has = left >= 0
+        left_row, left = row[has], left[has]
+        ranks[left_row, left] = pairs(parts[left_row, left], joined[has])
+    alive = parts >= 0
+    ends = np.cumsum(alive.sum(axis=1)).tolist()
+    ids = parts[alive].tolist()
+    return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _scan(parts: list[int], ranks: dict) -> list[int]:
@@ -291,7 +429,7 @@ def encode(
         bpe = _bpe(shared)
 
         def ids(texts: pa.Array) -> list[pa.Array]:
-            rows = [bpe.encode(t or "") for t in texts.to_pylist()]
+            rows = bpe.encode([t or "" for t in texts.to_pylist()])
             ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
             flat = np.concatenate([np.empty(0, np.int32), *rows])
             out = [pa.ListArray.from_arrays(ends, flat)]
@@ -335,9 +473,10 @@ def round_trip(docs: DataFrame, text_col: str = "text", path: str | None = None)
         bpe = _bpe(shared)
         for batch in texts:
             rows = []
-            for text in batch:
-                n, written = bpe.written(text or "")
-                rows.append((n, _sha256(written), _sha256(bpe.read(written))))
+            for at in range(0, len(batch), ROWS):
+                for written in bpe.written([t or "" for t in batch.iloc[at : at + ROWS]]):
+                    n = written.count(" ") + 1 if written else 0
+                    rows.append((n, _sha256(written), _sha256(bpe.read(written))))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     added = ["n_tokens", "ids_sha256", "decoded_sha256"]
