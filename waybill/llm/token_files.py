@@ -30,8 +30,8 @@ and nothing it does looks beyond a blank: texts are cut at ASCII white space,
 between letters of ASCII or Latin-1, ASCII digits and other ASCII characters, and
 between digits, unless an apostrophe or ``<`` may bind them. A word cannot differ
 from another by the punctuation around it, so fewer are met. Unknown words that
-are one piece to the library go through it as one text; the ids that end a word
-tell them apart. Words are kept in two generations of ``KEPT_BYTES`` bytes; when
+are one piece to the library go through it ``TOGETHER`` in a text; the ids that end
+a word tell them apart. Words are kept in two generations of ``KEPT_BYTES`` bytes; when
 the younger is full, the older is dropped.
 
 Special cases: null and empty texts give the end id alone. Documents with a null
@@ -76,6 +76,7 @@ CHUNK = 1 << 15  # ids whose bits are put together at a time, so that they stay
 FILE_IDS = 1 << 25  # a new file is begun after so many ids
 PIECE = 1 << 20  # bytes of a text that are encoded at a time
 KEPT_BYTES = 96 << 20  # words of one generation, as Python holds them
+TOGETHER = 256  # words that go through the library as one text
 KEPT_LENGTH = 64  # bytes; longer words are not kept
 MAGIC, FOOT = b"WBIDS\x00\x01\n", b"WBIDSEND"
 
@@ -127,7 +128,9 @@ class Words:
         for w in words:
             (plain if self._one_piece(w) else rest).append(w)
         once = list({w.lower() for w in plain} if self.lowers else plain)
-        ids = self._encode([b" ".join(once)])[0] if once else np.empty(0, self.kind)
+        starts = range(0, len(once), TOGETHER)
+        coded = self._encode([b" ".join(once[a : a + TOGETHER]) for a in starts])
+        ids = np.concatenate([np.empty(0, self.kind), *coded])
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) == len(once):  # every word ends at least once, so none ends twice
             raw, cuts = ids.tobytes(), (cuts * ids.itemsize).tolist()
