@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 from waybill.llm import audit_sql, divergence, merkle, queries, token_files
-from waybill.llm.words import cut_words
+from waybill.llm.words import cut_words, word_array
 
 LONG = "word Word wörd's " * 20_000 + "\n" + "x" * 70_000
 ROWS = [
@@ -252,6 +252,49 @@ def test_words_go_through_the_library_once(tokenizer):
     assert len(asked) == 1
 
 
+def test_a_word_is_looked_up_once_in_many_texts(tokenizer):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, word):
+            self.asked += 1
+            return super().get(word)
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = token_files.Words(f.read())
+    words.young = Counted()
+    texts = ["The cat, the Ünï7 dog!\n" * 30, "", "\x1c", "the dog"] * 20
+    ids = list(words.ids([t.encode() for t in texts]))
+    for text, own in zip(texts, ids, strict=True):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own, words.kind).tolist() == want
+    assert words.young.asked == len(["the", "cat", ",", "Ünï", "7", "dog", "!", "\x1c"])
+
+
+@pytest.mark.parametrize("group, piece", [(1, 1), (20, 5), (7, 30), (1 << 22, 1 << 20)])
+def test_groups_of_texts(spark, table, tokenizer, monkeypatch, group, piece):
+    monkeypatch.setattr(token_files, "GROUP", group)
+    monkeypatch.setattr(token_files, "PIECE", piece)
+    rows = [(d, t if t != LONG else t[:4000], s, g) for d, t, s, g in ROWS] + many(20)
+    rows += [(900 + i, t, None, None) for i, t in enumerate(["", " ", "\x1c", "", "a  b\tc", None])]
+    got = token_files.encode_ids(table(rows).coalesce(1)).collect()
+    for row, (doc, text, *_) in zip(got, rows, strict=True):
+        want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        assert (row.id, np.frombuffer(row.ids, f"<u{row.width}").tolist()) == (doc, want)
+
+
+def test_word_array_has_the_words_of_each_text():
+    chars = "aZéÿ×5½,.'<|-\x1c\u0301 ñ日\n\t "
+    random.seed(9)
+    for _ in range(300):
+        texts = ["".join(random.choices(chars, k=random.randint(0, 12))).encode() for _ in range(9)]
+        words, ends = word_array(texts)
+        words, ends = words.to_pylist(), ends.tolist()
+        assert [words[a:b] for a, b in zip([0, *ends], ends)] == cut_words(texts)
+        assert len(words) == ends[-1]
+    assert word_array([])[0].to_pylist() == [] and word_array([b""])[1].tolist() == [0]
+
+
 def test_seams_part_no_piece(tokenizer):
     chars = "aZéÉßÿ×÷İſ5½,.'<|>-_\x1c\x00\u0301\u0338\u00a0ñ 日\n"
     random.seed(8)

@@ -29,7 +29,9 @@ That gives the ids of the whole text, because its pieces never hold white space
 and nothing it does looks beyond a blank: texts are cut at ASCII white space,
 between letters of ASCII or Latin-1, ASCII digits and other ASCII characters, and
 between digits, unless an apostrophe or ``<`` may bind them. A word cannot differ
-from another by the punctuation around it, so fewer are met. Unknown words that
+from another by the punctuation around it, so fewer are met. Of some ``GROUP`` bytes
+of texts each different word is looked up once; Arrow numbers the words and puts
+their ids together. Unknown words that
 are one piece to the library go through it ``TOGETHER`` in a text; the ids that end
 a word tell them apart. Words are kept in two generations of ``KEPT_BYTES`` bytes; when
 the younger is full, the older is dropped.
@@ -52,11 +54,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -65,7 +67,7 @@ from pyspark.sql import types as T
 
 from ..sources.staging import new_staging_path, stage
 from .warc import _place
-from .words import cut_words, quoted
+from .words import quoted, word_array
 from .workers import kept
 
 END_ID = 2
@@ -75,6 +77,7 @@ STEP = 128  # ids between two checkpoints
 CHUNK = 1 << 15  # ids whose bits are put together at a time, so that they stay in the cache
 FILE_IDS = 1 << 25  # a new file is begun after so many ids
 PIECE = 1 << 20  # bytes of a text that are encoded at a time
+GROUP = 2 << 20  # bytes of texts that are encoded together
 KEPT_BYTES = 96 << 20  # words of one generation, as Python holds them
 TOGETHER = 256  # words that go through the library as one text
 KEPT_LENGTH = 64  # bytes; longer words are not kept
@@ -118,16 +121,17 @@ class Words:
 
     def _one_piece(self, word: bytes) -> bool:
         """Letters alone or ASCII signs alone: at least one piece, and mostly just that."""
-        if word.isalpha() or self.signs.fullmatch(word):
-            return True
-        return not word.isascii() and word.decode("utf-8").isalpha()
+        if word.isascii():
+            return word.isalpha() or self.signs.fullmatch(word) is not None
+        return word.decode("utf-8").isalpha()
 
     def _library(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words; those that are one piece go through the library together."""
         plain, rest = [], []
         for w in words:
-            (plain if self._one_piece(w) else rest).append(w)
-        once = list({w.lower() for w in plain} if self.lowers else plain)
+            (plain if w.isalpha() or self._one_piece(w) else rest).append(w)
+        lower = list(map(bytes.lower, plain)) if self.lowers else plain
+        once = list(dict.fromkeys(lower))
         starts = range(0, len(once), TOGETHER)
         coded = self._encode([b" ".join(once[a : a + TOGETHER]) for a in starts])
         ids = np.concatenate([np.empty(0, self.kind), *coded])
@@ -138,7 +142,7 @@ class Words:
         else:
             found = {w: i.tobytes() for w, i in zip(once, self._encode(once))}
         if self.lowers:
-            found = {w: found[w.lower()] for w in plain}
+            found = dict(zip(plain, map(found.get, lower)))
         found.update((w, i.tobytes()) for w, i in zip(rest, self._encode(rest)))
         return found
 
@@ -148,11 +152,10 @@ class Words:
         )
         return [np.array(e.ids, self.kind) for e in found]
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words that are not among the young, which they now are."""
-        old = self.old
-        have = {w: old[w] for w in words if w in old}
-        have.update(self._library([w for w in words if w not in have]))
+        have = dict(zip(words, map(self.old.get, words)))
+        have.update(self._library([w for w, ids in have.items() if ids is None]))
         self.young.update(i for i in have.items() if len(i[0]) <= KEPT_LENGTH)
         self.size += 200 * len(have) + sum(map(len, have)) + sum(map(len, have.values()))
         if self.size >= KEPT_BYTES:
@@ -160,16 +163,21 @@ class Words:
         return have
 
     def _group(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of some texts; unknown words of all of them are learnt together."""
-        split = cut_words(texts)
-        words = list(chain.from_iterable(split))
-        got = list(map(self.young.get, words))
+        """Ids of some texts; each different word of all of them is looked up once."""
+        words, ends = word_array(texts)
+        words = words.dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        got = list(map(self.young.get, distinct))
         if holes := [at for at, ids in enumerate(got) if ids is None]:
-            known = self._learn({words[at] for at in holes})
+            known = self._learn([distinct[at] for at in holes])
             for at in holes:
-                got[at] = known[words[at]]
-        ends = list(accumulate(map(len, split)))
-        return [b"".join(got[a:b]) for a, b in zip([0, *ends], ends)]
+                got[at] = known[distinct[at]]
+        # The ids of a text's words follow each other in the bytes of the array.
+        _, cuts, ids = pa.array([*got, b""], pa.large_binary()).take(words.indices).buffers()
+        if not ids:
+            return [b""] * len(texts)
+        cuts, ids = np.frombuffer(cuts, np.int64)[ends].tolist(), memoryview(ids)
+        return [bytes(ids[a:b]) for a, b in zip([0, *cuts], cuts)]
 
     def _plain(self, text: bytes) -> bytes:
         """The text with A-Z lower-cased where that changes no ids.
@@ -198,7 +206,7 @@ class Words:
         group, size = [], 0
         for text in texts:
             text = self._plain(text)
-            if group and size + len(text) > PIECE:
+            if group and (size + len(text) > GROUP or len(text) > PIECE):
                 yield from self._group(group)
                 group, size = [], 0
             if len(text) > PIECE:
@@ -238,8 +246,10 @@ def encode_ids(
         kind = max(words.kind, id_kind(end_id), key=lambda k: k.itemsize)
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.slice(at, 128)
+            size = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64)
+            cuts = (np.flatnonzero(np.diff(size // GROUP)) + 1).tolist()
+            for at, to in zip([0, *cuts], [*cuts, len(batch)]):
+                part = batch.slice(at, to - at)
                 raw = []
                 for ids in words.ids(part.column(1).to_pylist()):
                     if kind != words.kind:
