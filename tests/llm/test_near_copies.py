@@ -1,11 +1,14 @@
 """Near copies of the pipeline's stage against brute-force Jaccard."""
 
 import random
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
 import pytest
-from waybill.llm import near_copies
+from pyspark.sql import functions as F
+from waybill.llm import mixing, near_copies, simhash
+from waybill.sources import staging_root
 
 
 def slow_set(text):
@@ -108,3 +111,73 @@ def test_a_passage_that_the_sample_missed(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()}
     assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
     assert len(calls) > 1 and sum(compared) < 5 * len(rows)
+
+
+def test_phrases_that_a_sample_of_a_large_table_misses(spark, monkeypatch):
+    """Unlike texts that share phrases too rare for the sample are not compared on whole sets."""
+    monkeypatch.setattr(near_copies, "PAIRS", 1)
+    monkeypatch.setattr(near_copies, "SAMPLE", 0)
+    random.seed(8)
+    words = [f"w{i}" for i in range(20_000)]
+    phrases = [" ".join(random.choices(words, k=5)) for _ in range(60)]
+
+    def text():
+        parts = [" ".join(random.choices(words, k=9)) for _ in range(12)]
+        return " ".join(p + " " + f for p, f in zip(parts, random.sample(phrases, 12)))
+
+    rows = [(i, text()) for i in range(300)]
+    rows += [(i + 1000, rows[i][1] + " more") for i in range(0, 300, 20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    compared = []
+    verified = near_copies._verified
+
+    def counting(pairs, nodes, texts):
+        compared.append(pairs.count())
+        return verified(pairs, nodes, texts)
+
+    monkeypatch.setattr(near_copies, "_verified", counting)
+    kept = near_copies.drop_near_copies(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == survivors(rows) == list(range(300))
+    assert sum(compared) < 50
+
+
+def test_staged_tables_are_dropped(spark):
+    rows = texts()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def held():
+        found = Path(staging_root(spark).removeprefix("file:")).glob("*/part-*.parquet")
+        return {p for p in found if p.parent.name.startswith("copies")}
+
+    before = held()
+    kept = near_copies.drop_near_copies(docs)
+    left = {p.parent.name.rpartition("-")[0] for p in held() - before}
+    assert left <= {"copies-rows", "copies-links", "copies-alike"}
+    assert sorted(r.doc_id for r in kept.collect()) == survivors(rows)
+
+
+def exchanges_of(spark, make):
+    """How often rows are dealt out by the plan of a DataFrame when no side of a join is broadcast."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, -1)
+    try:
+        result = make()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange "), result.collect()
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_texts_are_dealt_out_once_for_joins_and_choices(spark):
+    rows = [(None, "a b", None), (None, "a b", None), (1, "a b", "s"), (2, "c", "t"), (2, "c", "t"), (3, "c", "t")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"))
+    by_id = found.withColumn("component", F.coalesce("id", F.lit(0)))
+    # By component, and both sides of the join.
+    count, kept = exchanges_of(spark, lambda: simhash.keep_first(docs, by_id, "doc_id", "text"))
+    assert count == 3
+    assert sorted(map(tuple, kept), key=str) == sorted({*rows}, key=str)
+    # Both sides of the join, and the sort.
+    count, mixed = exchanges_of(spark, lambda: mixing.in_training_order(mixing.mix(docs)))
+    assert count == 3
+    assert {r.doc_id for r in mixed} == {None, 1, 2, 3}

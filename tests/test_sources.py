@@ -1,8 +1,10 @@
 import gzip
 import io
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 from waybill.sources import as_text, clear_staged, drop_staged, preview, read_extract, stage, staging_root
 from waybill.sources import extracts, heads, staging
 
@@ -156,6 +158,22 @@ def test_one_staged_table_can_be_dropped(spark):
         gone.collect()
 
 
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    counts = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert counts.count() == 7
+
+
 def test_clearing_staged_tables(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(staging, "staging_root", lambda s: str(tmp_path / "mine"))
     stage(spark.range(3), "t")

@@ -174,10 +174,10 @@ def mix(
         .agg(F.sum("size").alias("in_bucket"))
         .withColumn("offset", F.coalesce(F.sum("in_bucket").over(starts), F.lit(0)))
     )
+    # Source and bucket are one column, so that documents are dealt out once for the sums and the join.
     places = stage(
         offsets.join(targets, offsets["source"].eqNullSafe(targets["source"])).select(
-            offsets["source"].alias(_OWN + "of"),
-            F.col("bucket").alias(_OWN + "bucket"),
+            F.struct(offsets["source"], "bucket").alias(_OWN + "place"),
             F.col("offset").alias(_OWN + "offset"),
             "source_size",
             "target",
@@ -185,13 +185,14 @@ def mix(
         ),
         "mix-places",
     )
-    inside = Window.partitionBy(source, bucket).orderBy(
+    place = F.struct(source.alias("source"), bucket.alias("bucket"))
+    place = place.cast(places.schema[_OWN + "place"].dataType)  # else the join deals out a cast of it
+    work = work.withColumn(_OWN + "place", place)
+    inside = Window.partitionBy(_own("place")).orderBy(
         _own("order"), _own("id"), F.col("size")
     ).rowsBetween(Window.unboundedPreceding, -1)
     placed = work.withColumn(_OWN + "before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    joined = placed.join(
-        places, source.eqNullSafe(_own("of")) & (bucket == _own("bucket")), "left"
-    )
+    joined = placed.join(places, _OWN + "place", "left")
     limit = F.round("target").cast("bigint")
     start = _own("offset") + _own("before")
 

@@ -11,19 +11,23 @@ similarity of at least 0.8; copies of copies form one component.
    n - ceil(0.8 n) + 1 of each (prefix filter), so nodes meet by these shingles
    in one shuffle. Any order gives the same result; shingles that are frequent
    in a sample come last, as a passage that many texts share would else bring
-   all of them together. Where more than ``HOT`` nodes meet by one shingle, the
-   sample has missed such a passage: texts that hold it are sampled, their
-   shingles join those that come last, and the prefixes are taken again.
+   all of them together. A sample of fixed size misses more of them the larger
+   the table is. So where nodes make more than ``PAIRS`` pairs each, the shingles
+   by which most of them meet join those that come last, and the prefixes are
+   taken again. Where more than ``HOT`` nodes meet by one shingle, so do all
+   frequent shingles of a sample of the texts that hold it.
 3. Every pair that met, and for which the sizes and the number of shingles that
    both prefixes share allow 0.8, is verified on the whole sets.
-   Where many nodes share a shingle, one leader of each is compared with the
-   others first; a shingle whose nodes are all of one component by then needs no
-   more pairs, so a large group of near copies is not compared pair by pair.
+   Where there still are too many pairs, one leader of each shingle that many nodes
+   share is compared with the others first; a shingle whose nodes are all of one
+   component by then needs no more pairs, so a large group of near copies is not
+   compared pair by pair.
 4. ``connected`` joins the verified links to components.
 
 No pair is lost and no link stays unverified; shingles and sets are known by
 hashes of 64 bits. Texts that meet by a shingle of at most ``HOT`` nodes may be
 compared pair by pair; beyond that only those of which all shingles are frequent.
+Staged tables are dropped as soon as the next one has been made from them.
 
 Special cases: null, empty and blank texts have the empty set and are copies of
 each other. Texts of fewer words than a shingle are one shingle. Null ids and
@@ -39,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
+from ..sources.staging import drop_staged, shuffles_freed, stage
 from .components import connected
 from .simhash import SEED, _bit_counts, keep_first, label_rows
 from .simhash import links as simhash_links
@@ -50,10 +54,10 @@ RADIUS = 4  # bits in which the fingerprints of linked nodes differ, at most
 SAMPLE = 10_000  # texts, about, whose shingles are counted for the order
 FREQUENT = 1 << 18  # shingles that come last, at most
 SLOTS = 1 << 20  # of the filter that spares texts without a partner the shuffle
-PAIRS = 8  # pairs for each node and shingle that are compared without leaders
+PAIRS = 8  # pairs for each node and shingle that are compared without another look or leaders
 ROUNDS = 6  # of leaders
 HOT = 10_000  # nodes by one shingle from which the order of shingles is looked at again
-REFINES = 3  # times that this may happen
+REFINES = 3  # times that the order may be looked at again
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -141,7 +145,7 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets have a similarity of 0.8 or more."""
+    """The pairs (a, b) whose whole sets have a similarity of 0.8 or more, staged."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     wanted = stage(named.join(nodes.select("fp", "t"), "fp").select("t").distinct(), "copies-wanted")
     slot = F.pmod("t", F.lit(SLOTS))
@@ -154,14 +158,18 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
         .join(wanted, "t", "left_semi")
     )
     sets = stage(own.select("text").mapInArrow(_shingled, _SETS), "copies-sets")
-    sets = sets.dropDuplicates(["fp"])
+    once = sets.dropDuplicates(["fp"])
     left, right = (
-        sets.select(F.col("fp").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b")
+        once.select(F.col("fp").alias(c), F.col("shingles").alias(f"{c}_set")) for c in ("a", "b")
     )
     common = F.size(F.array_intersect("a_set", "b_set"))
     # common / (n + m - common) >= 4 / 5
     similar = 9 * common >= 4 * (F.size("a_set") + F.size("b_set"))
-    return pairs.join(left, "a").join(right, "b").where(similar).select("a", "b")
+    found = pairs.join(left, "a").join(right, "b").where(similar).select("a", "b")
+    found = stage(found, "copies-links")
+    for table in (wanted, sets):
+        drop_staged(table)
+    return found
 
 
 def by_fingerprint(nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -172,7 +180,7 @@ def by_fingerprint(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     placed = nodes.join(members, "sim", "left").select("fp", F.coalesce("root", "sim").alias("up"))
     firsts = placed.groupBy("up").agg(F.min("fp").alias("a"))
     pairs = placed.join(firsts, "up").where("fp <> a").select("a", F.col("fp").alias("b"))
-    return stage(_verified(stage(pairs, "copies-alike"), nodes, texts), "copies-sim-links")
+    return _verified(stage(pairs, "copies-alike"), nodes, texts)
 
 
 def _sized(n: str, m: str):
@@ -188,78 +196,134 @@ def _enough(n: str, m: str, c: str):
     return 9 * (F.col(c) + behind) >= 4 * (F.col(n) + F.col(m))
 
 
-def links(
-    met: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame | None = None
-) -> DataFrame:
+def _mixed(met: DataFrame) -> DataFrame:
+    """The shingles whose nodes are of more than one component, and their number of nodes ``k``."""
+    return (
+        met.groupBy("shingle")
+        .agg(
+            F.count(F.lit(1)).cast("double").alias("k"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+        )
+        .where("low <> high")
+        .select("shingle", "k")
+    )
+
+
+def _rooted(met: DataFrame, members: DataFrame) -> DataFrame:
+    """``met`` with the roots that its nodes have in ``members``, staged; drops ``met``."""
+    tops = members.select(F.col("node").alias("fp"), F.col("root").alias("top"))
+    placed = met.select("shingle", "fp", "n").join(tops, "fp", "left")
+    now = stage(
+        placed.select("shingle", "fp", "n", F.coalesce("top", "fp").alias("root")), "copies-met"
+    )
+    drop_staged(met)
+    return now
+
+
+def links(met: DataFrame, nodes: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     """``found`` and further links (a, b) whose components are those of all pairs of nodes at 0.8 or more.
 
-    ``met``: (shingle, fp, n), the nodes and their sizes by the shingles of their prefixes.
+    ``met``: (shingle, fp, n, root), the nodes, their sizes and their roots by ``found``, by the
+    shingles of their prefixes; a staged table, which is dropped.
     """
-    for turn in range(ROUNDS + 1):
-        groups = met.groupBy("shingle").agg(F.count(F.lit(1)).cast("double").alias("k"))
-        rows, pairs = groups.agg(F.sum("k"), F.sum(F.expr("k * (k - 1) / 2"))).first()
-        if not rows:
-            break
-        last = pairs <= PAIRS * rows or turn == ROUNDS
-        if last:
-            side = met.select("shingle", F.col("fp").alias("b"), F.col("n").alias("m"), F.col("root").alias("up"))
-            both = met.withColumnRenamed("fp", "a").join(side, "shingle").where("a < b and root <> up")
-        else:
-            order = F.struct(F.xxhash64("fp", F.lit(turn)).alias("at"), "fp", "n", "root")
-            heads = met.groupBy("shingle").agg(F.min(order).alias("head"))
-            led = met.join(heads, "shingle")
-            both = led.where("fp <> head.fp and root <> head.root").select(
-                F.col("fp").alias("a"), "n", F.col("head.fp").alias("b"), F.col("head.n").alias("m")
-            )
-        both = both.where(_sized("n", "m")).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
-        if last and not turn:  # all prefixes are whole, so c counts all that a pair shares in them
-            both = both.where(_enough("n", "m", "c"))
-        both = stage(both.select("a", "b"), "copies-pairs")
-        now = stage(_verified(both, nodes, texts), "copies-links")
-        found = now if found is None else found.union(now)
-        if last:
+    rows = _mixed(met).agg(F.sum("k")).first()[0]
+    if not rows:
+        drop_staged(met)
+        return found
+    # Where few nodes share a shingle, their pairs are fewer than PAIRS for each of them.
+    crowd, led = met, _mixed(met).where(F.col("k") > 2 * PAIRS + 1)
+    for turn in range(ROUNDS):
+        pairs = led.agg(F.sum(F.expr("k * (k - 1) / 2"))).first()[0]
+        if not pairs or pairs <= PAIRS * rows:
             break
-        # A leader has been compared with all others of its shingle.
-        members = connected(found).select(F.col("node").alias("fp"), F.col("root").alias("top"))
-        rest = (
-            led.where("fp <> head.fp")
-            .select("shingle", "fp", "n")
-            .join(members, "fp", "left")
-            .select("shingle", "fp", "n", F.coalesce("top", "fp").alias("root"))
+        order = F.struct(F.xxhash64("fp", F.lit(turn)).alias("at"), "fp", "n", "root")
+        heads = crowd.join(led.select("shingle"), "shingle", "left_semi")
+        heads = heads.groupBy("shingle").agg(F.min(order).alias("head"))
+        others = stage(crowd.join(heads, "shingle").where("fp <> head.fp"), "copies-led")
+        both = others.where("root <> head.root").select(
+            F.col("fp").alias("a"), "n", F.col("head.fp").alias("b"), F.col("head.n").alias("m")
         )
-        mixed = (
-            rest.groupBy("shingle")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-            .where("low <> high")
-            .select("shingle")
-        )
-        met = stage(rest.join(mixed, "shingle", "left_semi"), "copies-met")
-    return met.sparkSession.createDataFrame([], "a bigint, b bigint") if found is None else found
+        both = stage(both.where(_sized("n", "m")).select("a", "b").distinct(), "copies-pairs")
+        found = found.union(_verified(both, nodes, texts))
+        drop_staged(both)
+        if turn:
+            drop_staged(crowd)
+        # A leader has been compared with all others of its shingle.
+        members = connected(found)
+        crowd = _rooted(others, members)
+        led = _mixed(crowd)
+    if crowd is not met:
+        drop_staged(crowd)
+        met = _rooted(met, members)
+    # All nodes of different components that share a shingle are there, leaders too, so that c counts
+    # all that a pair shares in both prefixes.
+    left = stage(met.join(_mixed(met).select("shingle"), "shingle", "left_semi"), "copies-met")
+    drop_staged(met)
+    side = left.select("shingle", F.col("fp").alias("b"), F.col("n").alias("m"), F.col("root").alias("up"))
+    both = left.withColumnRenamed("fp", "a").join(side, "shingle").where("a < b and root <> up")
+    both = both.where(_sized("n", "m")).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("c"))
+    both = stage(both.where(_enough("n", "m", "c")).select("a", "b"), "copies-pairs")
+    drop_staged(left)
+    found = found.union(_verified(both, nodes, texts))
+    drop_staged(both)
+    return found
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     narrow = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     texts = narrow.select("text")
     order = _frequent(texts)
-    for turn in range(REFINES + 1):
-        rows, nodes, met = _placed(narrow, order)
-        hot = met.groupBy("shingle").count().where(F.col("count") > HOT).select("shingle")
-        if turn == REFINES or hot.isEmpty():
+    rows, nodes, met = _placed(narrow, order)
+    known = by_fingerprint(nodes, texts)
+    joined = connected(known)
+    met, before = _rooted(met, joined), None
+    for _ in range(REFINES):
+        total, pairs, most = _mixed(met).agg(
+            F.sum("k"), F.sum(F.expr("k * (k - 1) / 2")), F.max("k")
+        ).first()
+        if not total or (pairs <= PAIRS * total and most <= HOT):
             break
-        crowd = met.join(hot, "shingle", "left_semi").select("fp").distinct()
-        some = crowd.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE)
-        wanted = nodes.join(some, "fp").select("t")  # at most SAMPLE rows
-        known = len(order[0])
-        again = texts.where(F.col("text").isNotNull()).withColumn("t", F.xxhash64("text"))
-        order = _merged(order, _frequent(again.join(F.broadcast(wanted), "t").select("text")))
-        if len(order[0]) == known:  # near copies of each other, of which all shingles are frequent
+        if before and pairs > before / 2:  # near copies of each other, of which all shingles are frequent
             break
-    known = by_fingerprint(nodes, texts)
-    joined = connected(known).select(F.col("node").alias("fp"), F.col("root").alias("top"))
-    met = met.drop("root").join(joined, "fp", "left")
-    met = met.select("shingle", "fp", "n", F.coalesce("top", "fp").alias("root"))
+        before, had = pairs, len(order[0])
+        order = _looked_again(order, met, nodes, texts, most > HOT)
+        if len(order[0]) == had:
+            break
+        for table in (rows, nodes, met):
+            drop_staged(table)
+        rows, nodes, met = _placed(narrow, order)
+        met = _rooted(met, joined)
     members = connected(links(met, nodes, texts, known))
-    return label_rows(rows.select("id", "t", "fp"), nodes, members)
+    found = label_rows(rows, nodes, members)
+    drop_staged(nodes)
+    return found
+
+
+def _looked_again(
+    order: tuple[np.ndarray, np.ndarray],
+    met: DataFrame,
+    nodes: DataFrame,
+    texts: DataFrame,
+    hot: bool,
+) -> tuple[np.ndarray, np.ndarray]:
+    """``order`` and the shingles by which many nodes meet; if ``hot``, all frequent ones of such texts."""
+    met_by = _mixed(met)
+    many = (
+        met_by.where(F.col("k") > max(2 * PAIRS, 2))
+        .orderBy(F.desc("k"), "shingle")
+        .limit(FREQUENT)
+        .toArrow()
+    )
+    often, counts = (many.column(c).to_numpy() for c in ("shingle", "k"))
+    order = _merged(order, (often, counts))
+    if not hot:
+        return order
+    crowd = met.join(met_by.where(F.col("k") > HOT), "shingle", "left_semi").select("fp").distinct()
+    some = crowd.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE)
+    wanted = nodes.join(some, "fp").select("t")  # at most SAMPLE rows
+    again = texts.where(F.col("text").isNotNull()).withColumn("t", F.xxhash64("text"))
+    return _merged(order, _frequent(again.join(F.broadcast(wanted), "t").select("text")))
 
 
 def _merged(
@@ -273,7 +337,7 @@ def _merged(
 def _placed(
     narrow: DataFrame, order: tuple[np.ndarray, np.ndarray]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (id, t, fp), nodes (fp, least, t), and nodes by the shingles of their prefixes."""
+    """Rows (id, t, fp), nodes (fp, least, t, sim), and nodes by the shingles of their prefixes."""
     index = narrow.sparkSession.sparkContext.broadcast(order)
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,20 +360,20 @@ def _placed(
                 )
 
     kind = narrow.schema["id"].dataType.simpleString()
-    rows = stage(
+    whole = stage(
         narrow.withColumn("t", F.xxhash64("text")).mapInArrow(
             shingled, f"id {kind}, t bigint, fp bigint, n int, first array<bigint>, sim bigint"
         ),
         "copies",
     )
     nodes = stage(
-        rows.groupBy("fp").agg(
+        whole.groupBy("fp").agg(
             F.min("id").alias("least"), F.min("t").alias("t"), F.min("sim").alias("sim")
         ),
         "copies-nodes",
     )
     places = (
-        rows.groupBy("fp")
+        whole.groupBy("fp")
         .agg(F.first("n").alias("n"), F.first("first").alias("first"))
         .select(F.explode("first").alias("shingle"), "fp", "n")
     )
@@ -332,19 +396,23 @@ def _placed(
     met = stage(
         places.repartition("shingle")
         .sortWithinPartitions("shingle")
-        .mapInArrow(shared, "shingle bigint, fp bigint, n int")
-        .withColumn("root", F.col("fp")),
+        .mapInArrow(shared, "shingle bigint, fp bigint, n int"),
         "copies-met",
     )
+    rows = stage(whole.select("id", "t", "fp"), "copies-rows")
+    drop_staged(whole)
     return rows, nodes, met
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id and ``component_id`` (smallest id reachable)."""
-    found = _classes(docs, id_col, text_col)
+    with shuffles_freed(docs.sparkSession):
+        found = _classes(docs, id_col, text_col)
     return found.select(F.col("id").alias(id_col), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, chosen as in ``drop_near_duplicates``."""
-    return keep_first(docs, _classes(docs, id_col, text_col), id_col, text_col)
+    with shuffles_freed(docs.sparkSession):
+        found = _classes(docs, id_col, text_col)
+    return keep_first(docs, found, id_col, text_col)

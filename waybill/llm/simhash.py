@@ -437,9 +437,11 @@ def drop_near_duplicates(
 def keep_first(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with the first document of each component of ``found`` (id, t, component)."""
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t"))
-    side = free_name(docs.columns, "survivor")
-    survivors = found.groupBy("component").agg(first.alias(side)).select(side)
-    key = free_name(docs.columns, "text_hash")
-    keyed = docs.withColumn(key, F.xxhash64(quoted(text_col)))
-    same = quoted(id_col).eqNullSafe(F.col(f"{side}.id")) & (F.col(key) == F.col(f"{side}.t"))
-    return keyed.join(survivors, same, "left_semi").dropDuplicates([id_col, key]).drop(key)
+    key = free_name(docs.columns, "survivor")
+    best = found.groupBy("component").agg(first.alias("best"))
+    survivors = best.select(F.struct("best.id", "best.t").alias(key))
+    # One column, in which a null id is like another: the texts are dealt out once for join and choice.
+    own = F.struct(quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("t"))
+    own = own.cast(survivors.schema[key].dataType)  # else the join deals out a cast of it
+    kept = docs.withColumn(key, own).join(survivors, key, "left_semi")
+    return kept.dropDuplicates([key]).drop(key)
