@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from waybill.llm import queries, simhash
+from waybill.llm import components, queries, simhash
 from waybill.llm.components import connected
 
 
@@ -151,3 +151,18 @@ def test_components_of_chains_and_hubs(spark):
         **{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1301)}
     }
     assert len(rows) == 502
+
+
+@pytest.mark.parametrize("few", [0, 1 << 17])
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few)
+    random.seed(12)
+    pairs = [(random.randint(-400, 400), random.randint(-400, 400)) for _ in range(350)]
+    pairs += [(i, i + 1) for i in range(1000, 1300)] + [(7, 7), (5000, 5000)]
+    links = spark.createDataFrame(pairs, "a bigint, b bigint")
+    root = {x: x for p in pairs for x in p if p[0] != p[1]}
+    for _ in range(400):
+        for a, b in pairs:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    assert sorted(map(tuple, connected(links).collect())) == sorted(root.items())

@@ -4,15 +4,22 @@ Each step rewires links towards smaller nodes with joins and minimum
 aggregates; nothing gathers the neighbours of a node, so a hub may have any
 number of links. The links are staged after each round (a written table in the
 shared folder), which cuts the lineage and survives lost executors. Rounds grow
-with the logarithm of the largest component, not with its diameter.
+with the logarithm of the largest component, not with its diameter. At most
+``FEW`` links, a few megabytes, are joined by one task instead of in rounds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.staging import drop_staged, stage
 
-from ..sources.staging import stage
+FEW = 1 << 17  # links that one task joins
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -47,6 +54,25 @@ def _mark(links: DataFrame) -> tuple:
     )
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of all links and the smallest node of their component."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    for batch in batches:
+        for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            x, y = top(a), top(b)
+            up[max(x, y)] = min(x, y)
+    if up:
+        nodes = list(up)
+        columns = [pa.array(nodes, pa.int64()), pa.array([top(x) for x in nodes], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "root"])
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``(node, root)`` for the nodes of ``links`` (a, b); root is the smallest of the component.
 
@@ -57,6 +83,11 @@ def connected(links: DataFrame) -> DataFrame:
         links.where("a <> b").select(high.alias("a"), low.alias("b")).distinct(), "links"
     )
     mark = _mark(now)
+    if 0 < mark[0] <= FEW and now.schema["a"].dataType == now.schema["b"].dataType == T.LongType():
+        roots = now.select("a", "b").coalesce(1).mapInArrow(_joined, "node bigint, root bigint")
+        roots = stage(roots, "links")
+        drop_staged(now)
+        return roots
     while mark[0]:
         now = stage(_small_star(_large_star(now)), "links")
         before, mark = mark, _mark(now)
